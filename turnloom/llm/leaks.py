@@ -225,12 +225,11 @@ def _keys(texts: DataFrame, key: str, text: str, literals, templates) -> DataFra
     return texts.select(key, text).mapInPandas(run, f"{key} bigint, k bigint, p int, t bigint")
 
 
-def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 4.0, agree: float = 0.6) -> float:
+def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.6) -> float:
     """Share of the item's letters and digits that the best passage of ``doc`` covers in order, replaced words included.
 
     ``item``: hash, length and whether it is a slot, of each token. Matched runs are chained; a gap costs ``penalty``
-    tokens for each token replaced or left out, so that a passage with more than about one token in five replaced
-    breaks up. Of the slots in the passage at least the share ``agree`` must be the same, else it is another
+    tokens for each token replaced or left out, so that a passage with more than one token in three replaced breaks up. Of the slots in the passage at least the share ``agree`` must be the same, else it is another
     sentence of the same build.
     """
     toks, sizes, slots = item
