@@ -162,28 +162,46 @@ def repeated_paths(e: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def _window_keys(flagged: DataFrame, docs: DataFrame, span: int) -> DataFrame:
-    """(key, doc_id): hashes of the span-character windows of the flagged stretches."""
+    """(key, doc_id, start): hashes of the span-character windows of the flagged stretches, each window once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             at = dict(zip(pdf["doc_id"].tolist(), pdf["reach"]))
             for ids, texts in _blocks(pdf["doc_id"].tolist(), pdf["text"].tolist(), span):
                 h = Hashed(texts)
-                starts, owner = [], []
+                starts, owner, begins = [], [], []
                 for i, d in enumerate(ids):
-                    for r in at[d]:
-                        a, b = max(0, int(r["lo"])), min(len(texts[i]), int(r["hi"]))
-                        if b - a >= span:
-                            s = np.arange(a, b - span + 1) + h.begins[i]
-                            starts.append(s)
-                            owner.append(np.full(len(s), d, np.int64))
+                    own = [np.arange(a, b - span + 1) for r in at[d] if (b := min(len(texts[i]), int(r["hi"]))) - (a := max(0, int(r["lo"]))) >= span]
+                    if own:
+                        s = np.unique(np.concatenate(own))
+                        starts.append(s)
+                        owner.append(np.full(len(s), d, np.int64))
+                        begins.append(np.full(len(s), h.begins[i]))
                 if starts:
                     s = np.concatenate(starts)
-                    yield pd.DataFrame({"key": h.of(s, s + span).view(np.int64), "doc_id": np.concatenate(owner)})
+                    g = s + np.concatenate(begins)
+                    yield pd.DataFrame({"key": h.of(g, g + span).view(np.int64), "doc_id": np.concatenate(owner), "start": s.astype(np.int32)})
 
     small = flagged.count() <= BROADCAST_ROWS
     joined = docs.select("doc_id", "text").join(F.broadcast(flagged) if small else flagged, "doc_id")
-    return joined.mapInPandas(run, "key bigint, doc_id bigint").dropDuplicates(["key", "doc_id"])
+    return joined.mapInPandas(run, "key bigint, doc_id bigint, start int")
+
+
+def _short_reach(paths: DataFrame, span: int, w: int) -> DataFrame:
+    """(doc_id, lo, hi): stretches of short paths between long ones; a window that holds a long path's edge is proven by that path."""
+    doc = Window.partitionBy("doc_id").orderBy("pos")
+    cut = F.when(F.col("long") | (F.col("run") != F.lag("run").over(doc)), 1).otherwise(0)
+    short = paths.withColumn("stretch", F.sum(cut).over(doc.rowsBetween(Window.unboundedPreceding, 0))).where("not long")
+    reach = short.groupBy("doc_id", "run", "stretch").agg((F.min("pos") - w).alias("lo"), (F.max("end") + w).alias("hi"))
+    return reach.where(F.col("hi") - F.col("lo") >= span).select("doc_id", "lo", "hi")
+
+
+def _matched_windows(reach: DataFrame, docs: DataFrame, span: int) -> DataFrame:
+    """(key, doc_id, start) of the windows within the stretches that stand in at least two documents."""
+    flagged = checkpointed(reach.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("reach")))
+    keys = checkpointed(_window_keys(flagged, docs, span))
+    twice = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
+    return keys.join(twice, "key")
 
 
 def groups(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFrame:
@@ -192,17 +210,27 @@ def groups(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFra
     Null and short texts have none. Each grp is a path of at least span characters, or a window of span characters
     around shorter paths; it has at least two documents. Copies aren't expanded into pairs here.
     """
-    e = edges(docs, span, k, w)
-    paths = checkpointed(repeated_paths(e, span))
-    long = paths.where("long").select(F.col("path").alias("grp"), "doc_id").distinct()
-    # stretches of short paths between long ones; a window that touches a long path's edge is proven by that path
-    doc = Window.partitionBy("doc_id").orderBy("pos")
-    short = paths.withColumn("stretch", F.sum(F.when(F.col("long") | (F.col("run") != F.lag("run").over(doc)), 1).otherwise(0)).over(doc.rowsBetween(Window.unboundedPreceding, 0))).where("not long")
-    reach = short.groupBy("doc_id", "run", "stretch").agg((F.min("pos") - w).alias("lo"), (F.max("end") + w).alias("hi")).where(F.col("hi") - F.col("lo") >= span)
-    flagged = checkpointed(reach.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("reach")))
-    keys = checkpointed(_window_keys(flagged, docs, span))
-    twice = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
-    return long.unionByName(keys.join(twice, "key").select(F.col("key").alias("grp"), "doc_id"))
+    paths = checkpointed(repeated_paths(edges(docs, span, k, w), span))
+    long = paths.where("long").select(F.col("path").alias("grp"), "doc_id")
+    return long.unionByName(_matched_windows(_short_reach(paths, span, w), docs, span).select(F.col("key").alias("grp"), "doc_id")).distinct()
+
+
+def shared_share(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFrame:
+    """(doc_id, n_chars, shared_chars, share) of each document with text: how much of it stands in another document too.
+
+    A character counts if it lies in a stretch of at least ``span`` characters that stands verbatim elsewhere. Long
+    paths count whole; how far beyond its ends a stretch goes on is found by the windows that reach over them.
+    """
+    paths = checkpointed(repeated_paths(edges(docs, span, k, w), span))
+    long = paths.where("long")
+    over = long.select("doc_id", (F.col("pos") - w).alias("lo"), (F.col("pos") + span - 1).alias("hi")).unionByName(long.select("doc_id", (F.col("end") - span + 1).alias("lo"), (F.col("end") + w).alias("hi")))
+    hit = _matched_windows(_short_reach(paths, span, w).unionByName(over), docs, span)
+    spans = long.select("doc_id", F.col("pos").alias("lo"), F.col("end").alias("hi")).unionByName(hit.select("doc_id", F.col("start").alias("lo"), (F.col("start") + span).alias("hi")))
+    zero = F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("top"))
+    step = lambda acc, x: F.struct((acc["sum"] + F.greatest(F.lit(0), x["hi"] - F.greatest(x["lo"], acc["top"]))).alias("sum"), F.greatest(acc["top"], x["hi"]).alias("top"))
+    covered = spans.groupBy("doc_id").agg(F.aggregate(F.array_sort(F.collect_set(F.struct("lo", "hi"))), zero, step, lambda acc: acc["sum"]).alias("shared_chars"))
+    sizes = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", F.length("text").alias("n_chars"))
+    return sizes.join(covered, "doc_id", "left").select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.round(F.coalesce("shared_chars", F.lit(0)) / F.col("n_chars"), 6).alias("share"))
 
 
 def found_shared(docs: DataFrame, span: int = SPAN) -> DataFrame:
