@@ -38,3 +38,23 @@ def current_rows(df: DataFrame, keys: list[str], columns: list[str], version: st
     packed = F.struct(F.col(version).alias("__v"), *[F.col(c) for c in rest])
     kept = df.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())
     return kept.groupBy(*keys).agg(F.max(packed).alias("__r")).select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that Python tasks find it wherever they run."""
+    import zipfile
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="turnloom-")) / "turnloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"turnloom/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
