@@ -20,12 +20,12 @@ w as (select *, max(e) over (partition by unit_key order by s, e rows between un
 span as (select unit_key, min(s) as s, max(e) as e from k group by unit_key having max(e) - min(s) > 30000),
 pause as (select unit_key, top as a, s as b from w where s - top >= 300),
 cuts as (
-  select unit_key, s as at, e, true as natural from span
+  select unit_key, s as at, e, true as in_pause from span
   union all
   select c.unit_key, coalesce((select max(least(p.b, c.at + 30000)) from pause p where p.unit_key = c.unit_key and p.a <= c.at + 30000 and least(p.b, c.at + 30000) - 1000 > c.at), c.at + 30000) - 1000 as at, c.e,
-         exists (select 1 from pause p where p.unit_key = c.unit_key and p.a <= c.at + 30000 and least(p.b, c.at + 30000) - 1000 > c.at) as natural
+         exists (select 1 from pause p where p.unit_key = c.unit_key and p.a <= c.at + 30000 and least(p.b, c.at + 30000) - 1000 > c.at) as in_pause
   from cuts c where c.e - c.at > 30000)
-select unit_key, case when bool_and(natural) then 'natural' else 'forced' end as cut from cuts group by unit_key
+select unit_key, case when bool_and(in_pause) then 'natural' else 'forced' end as cut from cuts group by unit_key
 """
 
 
