@@ -40,6 +40,7 @@ def fresh_overlap(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
     return {
+        "eval_cer": lambda s, d: read_table(s, d, "meetings"),
         "p6_found": lambda s, d: intervals.gaps(_p6(s, d), "meeting_id"),
         "p6_periods": lambda s, d: intervals.periods(_p6(s, d), "meeting_id"),
         "p6_overlap": fresh_overlap,

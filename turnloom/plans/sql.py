@@ -7,7 +7,7 @@ CURRENT_UNITS = "u as (select * from (select *, row_number() over (partition by
 VALID = """v as (select *, cast(round(start_s * 1000) as bigint) as s, cast(round(end_s * 1000) as bigint) as e from t
   where isfinite(start_s) and isfinite(end_s) and end_s > start_s and round(end_s * 1000) - round(start_s * 1000) >= 10)"""
 _REACH = "w as (select meeting_id, s, e, max(e) over (partition by meeting_id order by s, e rows between unbounded preceding and 1 preceding) as m from v)"
-LABEL = """coalesce('speaker_' || nullif(regexp_extract(translate(regexp_replace({c}, '[\\u00ad\\u200b-\\u200f\\u2060\\ufeff]', '', 'g'), '０１２３４５６７８９', '0123456789'),
+LABEL = """coalesce('speaker_' || nullif(regexp_extract(translate(regexp_replace({c}, '[\u00ad\u200b-\u200f\u2060\ufeff]', '', 'g'), '０１２３４５６７８９', '0123456789'),
   '(?i)^[^\\pL\\pN]*(speaker|spk|s|发言人|说话人)[\\s_-]*0*([0-9]+)[^\\pL\\pN]*$', 2), ''), 'unknown')"""
 
 
