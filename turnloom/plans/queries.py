@@ -8,28 +8,94 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import speaker_label
-from turnloom.operators import intervals
-from turnloom.session import current_rows, read_table
+from turnloom.operators import context, hyps, intervals, metrics, passes, replies, reports, textgrid, units, validators
+from turnloom.session import checkpointed, current_rows, read_table
 
+_TURN = ["meeting_id", "turn_index", "start_s", "end_s", "speaker_id", "text", "asr_status", "source", "confidence"]
+_UNIT = ["meeting_id", "unit_id", "speaker_id", "turn_indices", "contains_overlap", "heavy_overlap", "skip_asr", "skip_reason"]
 
-def valid_turns(spark: SparkSession, d: str) -> DataFrame:
-    """Current turns with possible times: meeting_id, turn_id, turn_index, start_ms, end_ms, speaker."""
-    t = current_rows(read_table(spark, d, "turns"), ["turn_id"], ["meeting_id", "turn_index", "start_s", "end_s", "speaker_id"])
-    return intervals.valid_times(t).select("meeting_id", "turn_id", "turn_index", "start_ms", "end_ms", speaker_label(F.col("speaker_id")).alias("speaker"))
 
+def current_turns(s: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
+    """The current row of each turn."""
+    return current_rows(read_table(s, d, "turns"), ["turn_id"], columns or _TURN)
 
-def _p6(spark: SparkSession, d: str) -> DataFrame:
-    return intervals.label_periods(valid_turns(spark, d), "meeting_id")
 
+def current_units(s: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
+    """The current row of each unit, null flags false."""
+    u = current_rows(read_table(s, d, "units"), ["unit_key"], columns or _UNIT)
+    return u.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("contains_overlap", "heavy_overlap", "skip_asr") if c in u.columns})
 
-def fresh_overlap(spark: SparkSession, d: str) -> DataFrame:
+
+def current_hyps(s: SparkSession, d: str) -> DataFrame:
+    """The current row of each unit and model."""
+    return current_rows(read_table(s, d, "hyps"), ["unit_key", "model"], ["text"])
+
+
+def valid_turns(s: SparkSession, d: str, *more: str) -> DataFrame:
+    """Current turns with possible times: meeting_id, turn_id, turn_index, start_ms, end_ms, speaker and ``more``."""
+    t = current_turns(s, d, ["meeting_id", "turn_index", "start_s", "end_s", "speaker_id", *more])
+    return intervals.valid_times(t).select("meeting_id", "turn_id", "turn_index", "start_ms", "end_ms", speaker_label(F.col("speaker_id")).alias("speaker"), *more)
+
+
+def _grid_turns(s: SparkSession, d: str) -> DataFrame:
+    t = units.coerce_turns(valid_turns(s, d, "text", "source", "confidence", "asr_status"))
+    return t.withColumn("dur_s", (F.col("end_ms") - F.col("start_ms")) / 1000.0)
+
+
+def _members(s: SparkSession, d: str) -> DataFrame:
+    return textgrid.members(current_units(s, d, ["meeting_id", "turn_indices"]), _grid_turns(s, d))
+
+
+def _unit_spans(s: SparkSession, d: str) -> DataFrame:
+    """unit_key, meeting_id, turn_indices, start_ms, end_ms from the valid member turns."""
+    u = current_units(s, d, ["meeting_id", "turn_indices"])
+    m = u.select("unit_key", "meeting_id", F.explode(F.array_distinct("turn_indices")).alias("turn_index")).join(valid_turns(s, d).select("meeting_id", "turn_index", "start_ms", "end_ms"), ["meeting_id", "turn_index"])
+    return m.groupBy("unit_key", "meeting_id").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.array_sort(F.collect_set("turn_index")).alias("turn_indices"))
+
+
+def turn_validation(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, meeting_id, turn_index, reason): the turns left out and why."""
+    t = current_turns(s, d, ["meeting_id", "turn_index", "start_s", "end_s"])
+    return t.withColumn("reason", units.invalid_reason(F.col("start_s"), F.col("end_s"))).where("reason is not null").select("turn_id", "meeting_id", "turn_index", "reason")
+
+
+def turn_positions(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, pos): the index of each valid turn after the invalid ones are gone."""
+    return units.reindexed(valid_turns(s, d)).select("turn_id", "pos")
+
+
+def turn_status(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, asr_status, source, confidence) with defaults."""
+    return units.coerce_turns(current_turns(s, d, ["text", "asr_status", "source", "confidence"])).select("turn_id", "asr_status", "source", "confidence")
+
+
+def unit_split_long(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, piece, n_pieces, start_ms, end_ms) of the turns over the cap."""
+    return units.split_long(valid_turns(s, d).withColumn("text", F.lit(""))).where("n_pieces > 1").select("turn_id", "piece", "n_pieces", "start_ms", "end_ms")
+
+
+def unit_build(s: SparkSession, d: str) -> DataFrame:
+    """Units built anew from all valid turns; turn_indices as text."""
+    u = units.build_units(valid_turns(s, d))
+    return u.withColumn("turn_indices", F.array_join("turn_indices", ","))
+
+
+def overlap_ratio(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, overlap_ratio, contains_overlap, heavy_overlap) of each valid turn against the other speakers of its meeting."""
+    t = checkpointed(valid_turns(s, d))
+    cov = intervals.union_overlap(t, t, "meeting_id", "turn_id", differ="speaker")
+    r = t.join(cov, "turn_id", "left").select("turn_id", F.round(F.coalesce("covered_ms", F.lit(0)) / (F.col("end_ms") - F.col("start_ms")), 9).alias("overlap_ratio"))
+    return units.overlap_flags(r)
+
+
+def fresh_overlap(s: SparkSession, d: str) -> DataFrame:
     """(unit_key, overlap_ratio): the share of each unit's span in which another speaker talks, rounded to 9 decimals.
 
     The span runs from the first start to the last end of the member turns; units without a valid member have none.
     """
-    turns = valid_turns(spark, d)
-    units = current_rows(read_table(spark, d, "units"), ["unit_key"], ["meeting_id", "speaker_id", "turn_indices"])
-    member = units.select("unit_key", "meeting_id", speaker_label(F.col("speaker_id")).alias("speaker"), F.explode(F.array_distinct("turn_indices")).alias("turn_index"))
+    turns = valid_turns(s, d)
+    u = current_units(s, d, ["meeting_id", "speaker_id", "turn_indices"])
+    member = u.select("unit_key", "meeting_id", speaker_label(F.col("speaker_id")).alias("speaker"), F.explode(F.array_distinct("turn_indices")).alias("turn_index"))
     spans = member.join(turns.select("meeting_id", "turn_index", "start_ms", "end_ms"), ["meeting_id", "turn_index"]).groupBy("unit_key", "meeting_id", "speaker").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
     labelled = intervals.label_periods(turns.withColumn("who", F.concat_ws("\u0001", "meeting_id", "speaker")), "who")
     talk = intervals.periods(labelled, "who").select(F.split("who", "\u0001")[0].alias("meeting_id"), F.split("who", "\u0001")[1].alias("speaker"), F.col("period_start_ms").alias("start_ms"), F.col("period_end_ms").alias("end_ms"))
@@ -37,10 +103,227 @@ def fresh_overlap(spark: SparkSession, d: str) -> DataFrame:
     return spans.join(covered, "unit_key", "left").select("unit_key", F.round(F.coalesce("covered_ms", F.lit(0)) / (F.col("end_ms") - F.col("start_ms")), 9).alias("overlap_ratio"))
 
 
+def unit_short_skip(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, dur_ms, skip_asr): units whose members span less than 0.35 s are skipped."""
+    return _unit_spans(s, d).select("unit_key", (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"), (F.col("end_ms") - F.col("start_ms") < 350).alias("skip_asr"))
+
+
+def hyp_upsert(s: SparkSession, d: str) -> DataFrame:
+    """Rows of the first three models as the stored ones, all rows of late decodes as the new ones."""
+    h = read_table(s, d, "hyps").select("unit_key", "model", "text", "loaded_at")
+    return hyps.upsert(h.where(F.col("model").isin("firered", "moss", "qwen")), h.where(F.col("loaded_at") >= "2025-02-01"))
+
+
+def agreement_gate(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, n_hyps, agree)."""
+    return hyps.by_unit(current_hyps(s, d)).select("unit_key", F.size("hyps").alias("n_hyps"), hyps.all_agree(F.col("hyps")).alias("agree"))
+
+
+def best_hyp(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model, text): the hypothesis to fall back on."""
+    u = hyps.by_unit(current_hyps(s, d)).join(current_units(s, d, ["contains_overlap"]), "unit_key")
+    b = hyps.best_hyp(F.col("hyps"), F.col("contains_overlap"))
+    return u.select("unit_key", b["model"].alias("model"), b["text"].alias("text"))
+
+
+def moss_fill(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model, text, filled)."""
+    return hyps.fill_moss(current_units(s, d, ["meeting_id"]), current_hyps(s, d), _members(s, d))
+
+
+def model_gate(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model): the models each unit that isn't skipped should hear."""
+    u = current_units(s, d, ["heavy_overlap", "skip_asr"]).where(~F.col("skip_asr"))
+    return u.select("unit_key", F.explode(hyps.wanted_models(F.col("heavy_overlap"))).alias("model"))
+
+
+def cache_misses(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model): wanted hypotheses that aren't there."""
+    return hyps.cache_misses(model_gate(s, d), current_hyps(s, d))
+
+
+def _cer_pairs(s: SparkSession, d: str) -> DataFrame:
+    """Each hypothesis against the joined texts of its unit's turns."""
+    ref = _members(s, d).select("unit_key", textgrid.join_texts(F.transform("members", lambda t: t["text"])).alias("ref"))
+    return metrics.cer_rows(current_hyps(s, d).withColumnRenamed("text", "hyp").join(ref, "unit_key"))
+
+
+def cer_pairs(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model, n_ref, edits, cer, cp_cer)."""
+    return _cer_pairs(s, d).select("unit_key", "model", "n_ref", "edits", F.round("cer", 9).alias("cer"), F.round("cp_cer", 9).alias("cp_cer"))
+
+
+def eval_cer(s: SparkSession, d: str) -> DataFrame:
+    """(model, n, mean_cer, mean_cp_cer, corpus_cer)."""
+    return metrics.cer_report(_cer_pairs(s, d), "model")
+
+
+def neighbors_nearest(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, rank, turn_index, dist_ms2)."""
+    return context.nearest_turns(_unit_spans(s, d), valid_turns(s, d, "text"))
+
+
+def neighbors_capped(s: SparkSession, d: str) -> DataFrame:
+    """(meeting_id, pos, n_neighbors, last_pos)."""
+    return context.leading_turns(units.reindexed(valid_turns(s, d, "text")).select("meeting_id", "pos", "text"))
+
+
+def join_turn_texts(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, text, moss_merged)."""
+    texts = F.transform("members", lambda t: t["text"])
+    return _members(s, d).select("unit_key", textgrid.join_texts(texts).alias("text"), (F.size(F.filter(texts, lambda t: F.trim(t) != "")) > 1).alias("moss_merged"))
+
+
+def hyps_by_turn(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, turn_index, model, text)."""
+    return hyps.to_turns(current_hyps(s, d), _members(s, d))
+
+
+def merged_grid(s: SparkSession, d: str) -> DataFrame:
+    """One row per unit with the stitched text of its turns."""
+    return textgrid.merged_grid(current_units(s, d, ["meeting_id", "turn_indices"]), _grid_turns(s, d))
+
+
+def _hotwords(s: SparkSession, d: str) -> DataFrame:
+    return read_table(s, d, "hotwords").select("pos", F.concat_ws("|", "canon", "alt").alias("term"))
+
+
+def hotword_load(s: SparkSession, d: str) -> DataFrame:
+    """(pos, term): stripped terms without blanks, comments and later repeats."""
+    t = _hotwords(s, d).withColumn("term", F.trim("term")).where((F.col("term") != "") & ~F.col("term").startswith("#"))
+    return t.groupBy("term").agg(F.min("pos").alias("pos")).select("pos", "term")
+
+
+def hotword_aliases(s: SparkSession, d: str) -> DataFrame:
+    """(alt, canon, pos)."""
+    return passes.parse_aliases(hotword_load(s, d)).select("alt", "canon", "pos")
+
+
+def hotword_alias_rewrite(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, alt, canon): one row per turn and alias that was replaced."""
+    t = passes.rewrite_aliases(current_turns(s, d, ["text"]), passes.parse_aliases(hotword_load(s, d)))
+    return t.select("turn_id", F.explode("hits").alias("h")).select("turn_id", "h.alt", "h.canon")
+
+
+def _infer(s: SparkSession, d: str) -> DataFrame:
+    return current_rows(read_table(s, d, "llm_infer"), ["infer_id"], ["pass", "meeting_id", "unit_id", "ok", "error", "user_text", "response"])
+
+
+def llm_json_extract(s: SparkSession, d: str) -> DataFrame:
+    """(infer_id, json_text, reasoning, error)."""
+    return replies.extract_json(_infer(s, d), "infer_id", "response")
+
+
+def _replies(s: SparkSession, d: str) -> DataFrame:
+    j = replies.extract_json(_infer(s, d), "infer_id", "response").where("json_text is not null")
+    return j.select("infer_id", replies.parsed(F.col("json_text")).alias("reply")).where("reply is not null")
+
+
+def judgment_checks(s: SparkSession, d: str) -> DataFrame:
+    """(infer_id, schema_error, span_error, ladder_error, pass_b_error) of each reply that holds an object."""
+    r, e = F.col("reply"), F.col("reply.edits")
+    return _replies(s, d).select("infer_id", validators.judgment_schema(r).alias("schema_error"), validators.span_local(e).alias("span_error"), validators.evidence_ladder(e).alias("ladder_error"), validators.pass_b_error(r).alias("pass_b_error"))
+
+
+def polish_checks(s: SparkSession, d: str) -> DataFrame:
+    """(infer_id, error, new_text, n_located): edits of a reply checked as polish of its own text, and applied to it."""
+    r = _replies(s, d).join(_infer(s, d).select("infer_id", F.coalesce("user_text", F.lit("")).alias("source")), "infer_id")
+    text = F.coalesce("reply.text", F.lit(""))
+    edits = F.transform(F.coalesce("reply.edits", F.array().cast(validators.EDIT)), lambda e: e.withField("kind", F.coalesce(e["kind"], F.lit("entity"))))
+    r = r.withColumn("edits", edits).withColumn("located", validators.locate_polish(text, F.col("edits")))
+    err = validators.polish_error(F.col("reply").withField("edits", F.col("edits")), text, F.col("source"), F.col("source"), F.col("source"))
+    return r.select("infer_id", err.alias("error"), validators.apply_located(text, F.col("located")).alias("new_text"), F.size("located").alias("n_located"))
+
+
+def _pass_a(s: SparkSession, d: str) -> DataFrame:
+    u = hyps.by_unit(current_hyps(s, d)).join(current_units(s, d, ["meeting_id", "contains_overlap", "skip_asr"]).where(~F.col("skip_asr")), "unit_key")
+    return passes.unit_texts(u)
+
+
+def pass_a_mock(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, text, skipped_llm, forced_moss, fallback_ok, fallback, last_error)."""
+    return _pass_a(s, d)
+
+
+def pass_stats_a(s: SparkSession, d: str) -> DataFrame:
+    """Counts of the first pass by meeting."""
+    a = _pass_a(s, d).withColumn("retries", F.col("fallback").cast("int")).join(current_units(s, d, ["meeting_id"]), "unit_key")
+    return reports.unit_pass_stats(a, "meeting_id")
+
+
+def _pass_b_turns(s: SparkSession, d: str) -> DataFrame:
+    meta = reports.overlap_metadata(current_units(s, d, ["meeting_id", "turn_indices", "contains_overlap", "heavy_overlap"]))
+    t = valid_turns(s, d, "text").join(meta, ["meeting_id", "turn_index"], "left")
+    moss = hyps.to_turns(current_hyps(s, d).where("model = 'moss'"), _members(s, d))
+    owner = current_units(s, d, ["meeting_id"]).select("unit_key", "meeting_id")
+    moss = moss.join(owner, "unit_key").groupBy("meeting_id", "turn_index").agg(F.max_by("text", "unit_key").alias("moss"))
+    return t.join(moss, ["meeting_id", "turn_index"], "left").select("turn_id", "text", (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"), F.coalesce("in_overlap", F.lit(False)).alias("overlap"), "moss")
+
+
+def pass_b_mock(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, new_text, path)."""
+    return passes.turn_texts(_pass_b_turns(s, d)).select("turn_id", "new_text", "path")
+
+
+def moss_restore(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, new_text, restored)."""
+    return passes.restore_moss(_pass_b_turns(s, d)).select("turn_id", "new_text", "restored")
+
+
+def pass_stats_b(s: SparkSession, d: str) -> DataFrame:
+    """Counts of what the second pass did."""
+    return reports.path_counts(pass_b_mock(s, d).where("path is not null"), ["llm", "fallback", "moss_aware_reject", "empty_edits_reject"])
+
+
+def pass_stats_polish(s: SparkSession, d: str) -> DataFrame:
+    """(pass, anchor, n): how often the edits of replies cite each anchor."""
+    e = _replies(s, d).join(_infer(s, d).select("infer_id", "pass"), "infer_id").select("pass", F.explode("reply.edits").alias("e"))
+    return reports.histogram(e.select("pass", F.col("e.anchor").alias("anchor")), "anchor", "pass")
+
+
+def overlap_metadata(s: SparkSession, d: str) -> DataFrame:
+    """(meeting_id, turn_index, in_overlap, in_heavy)."""
+    return reports.overlap_metadata(current_units(s, d, ["meeting_id", "turn_indices", "contains_overlap", "heavy_overlap"]))
+
+
+def audit_replace(s: SparkSession, d: str) -> DataFrame:
+    """Current traces with the polish partition replaced by those of polish replies that held no error."""
+    a = _infer(s, d).select("pass", "infer_id", "unit_id")
+    return reports.replace_pass(a, _infer(s, d).where("pass = 'polish' and error is null").select("infer_id", "unit_id"), "polish")
+
+
+def _sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = read_table(s, d, "documents").where("meeting_id is not null and doc_kind = 'minutes'").select(F.split("meeting_id", "/")[0].alias("dataset"), F.split("meeting_id", "/")[1].alias("stem"))
+    return reports.discover(read_table(s, d, "meetings").select("dataset", "stem"), docs)
+
+
+def batch_summary(s: SparkSession, d: str) -> DataFrame:
+    """(pass, n_ok, n_error, n_null) of the current traces."""
+    ok = F.col("ok")
+    return _infer(s, d).groupBy("pass").agg(F.count_if(ok).alias("n_ok"), F.count_if(~ok).alias("n_error"), F.count_if(ok.isNull()).alias("n_null"))
+
+
+def neighbor_prompt(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, prompt): the context block of each unit, nearest turns first, one JSON object a line."""
+    n = neighbors_nearest(s, d).join(_unit_spans(s, d).select("unit_key", "meeting_id"), "unit_key").join(valid_turns(s, d, "text").select("meeting_id", "turn_index", "speaker", "text"), ["meeting_id", "turn_index"])
+    line = F.to_json(F.struct("turn_index", "speaker", F.coalesce("text", F.lit("")).alias("text")))
+    return n.groupBy("unit_key").agg(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))).alias("x")).select("unit_key", F.array_join(F.transform("x", lambda y: y["line"]), "\n").alias("prompt"))
+
+
+def _p6(s: SparkSession, d: str) -> DataFrame:
+    return intervals.label_periods(valid_turns(s, d), "meeting_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {
-        "eval_cer": lambda s, d: read_table(s, d, "meetings"),
+    plain = [
+        eval_cer, cer_pairs, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
+        neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
+        moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
+    ]
+    return {f.__name__: f for f in plain} | {
+        "discovery_pairs": lambda s, d: _sides(s, d)[0],
+        "discovery_skips": lambda s, d: _sides(s, d)[1],
         "p6_found": lambda s, d: intervals.gaps(_p6(s, d), "meeting_id"),
         "p6_periods": lambda s, d: intervals.periods(_p6(s, d), "meeting_id"),
         "p6_overlap": fresh_overlap,
