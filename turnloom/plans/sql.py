@@ -1,29 +1,125 @@
-"""Equivalent SQL of the core queries."""
+"""Equivalent SQL of the core queries that SQL can express on whole tables."""
 
 from __future__ import annotations
 
-CURRENT_TURNS = "t as (select * from (select *, row_number() over (partition by turn_id order by loaded_at desc) as rn from turns) where rn = 1)"
-CURRENT_UNITS = "u as (select * from (select *, row_number() over (partition by unit_key order by loaded_at desc) as rn from units) where rn = 1)"
-VALID = """v as (select *, cast(round(start_s * 1000) as bigint) as s, cast(round(end_s * 1000) as bigint) as e from t
+from turnloom.functions.text import CER_PUNCT
+from turnloom.operators.textgrid import ENDS, JOINER
+
+_INVISIBLE = "­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯﻿"
+_WS = "\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+_CUT = "".join("\\" + c if c in "[]()-\\^\".?!" else ("''" if c == "'" else c) for c in CER_PUNCT)
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^[{_WS}]+|[{_WS}]+$', '', 'g')"
+
+
+def _norm(c: str) -> str:
+    return f"regexp_replace({c}, '[{_WS}{_CUT}]', '', 'g')"
+
+
+def _label(c: str) -> str:
+    folded = f"translate(regexp_replace({c}, '[{_INVISIBLE}]', '', 'g'), '０１２３４５６７８９', '0123456789')"
+    return f"coalesce('speaker_' || nullif(regexp_extract({folded}, '(?i)^[^\\pL\\pN]*(speaker|spk|s|发言人|说话人)[\\s_-]*0*([0-9]+)[^\\pL\\pN]*$', 2), ''), 'unknown')"
+
+
+def _current(name: str, table: str, keys: str) -> str:
+    return f"{name} as (select * exclude (rn) from (select *, row_number() over (partition by {keys} order by loaded_at desc) as rn from {table}) where rn = 1)"
+
+
+_T, _U, _H, _I = _current("t", "turns", "turn_id"), _current("u0", "units", "unit_key"), _current("h", "hyps", "unit_key, model"), _current("i", "llm_infer", "infer_id")
+_U = _U + ", u as (select * replace (coalesce(contains_overlap, false) as contains_overlap, coalesce(heavy_overlap, false) as heavy_overlap, coalesce(skip_asr, false) as skip_asr) from u0)"
+_V = f"""v as (select *, cast(round(start_s * 1000) as bigint) as s, cast(round(end_s * 1000) as bigint) as e, {_label("speaker_id")} as who from t
   where isfinite(start_s) and isfinite(end_s) and end_s > start_s and round(end_s * 1000) - round(start_s * 1000) >= 10)"""
 _REACH = "w as (select meeting_id, s, e, max(e) over (partition by meeting_id order by s, e rows between unbounded preceding and 1 preceding) as m from v)"
-LABEL = """coalesce('speaker_' || nullif(regexp_extract(translate(regexp_replace({c}, '[\u00ad\u200b-\u200f\u2060\ufeff]', '', 'g'), '０１２３４５６７８９', '0123456789'),
-  '(?i)^[^\\pL\\pN]*(speaker|spk|s|发言人|说话人)[\\s_-]*0*([0-9]+)[^\\pL\\pN]*$', 2), ''), 'unknown')"""
+_MEM = "mem as (select unit_key, meeting_id, k, ti as turn_index from (select unit_key, meeting_id, unnest(turn_indices) as ti, generate_subscripts(turn_indices, 1) as k from u))"
+_SPAN = "sp as (select unit_key, mem.meeting_id, min(s) as s, max(e) as e from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by all)"
+_JOINED = f"""jt as (select unit_key, list_filter(list({_strip("coalesce(text, '')")} order by k), lambda x: x <> '') as p from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by unit_key),
+  jx as (select unit_key, len(p) as n, case when len(p) = 0 then '' else list_reduce(p, lambda a, b: a || case when contains('{ENDS}', right(a, 1)) then '' else '{JOINER}' end || b) end as text from jt)"""
+_ALIAS = """term as (select min(pos) as pos, term from (select pos, trim(case when canon is null then coalesce(alt, '') when alt is null then canon else canon || '|' || alt end) as term from hotwords) where term <> '' and term not like '#%' group by term),
+  part as (select pos, list_filter(list_transform(string_split(term, '|'), lambda x: trim(x)), lambda x: x <> '') as p from term),
+  al as (select pos, p[1] as canon, unnest(p[2:]) as alt, generate_subscripts(p[2:], 1) as k from part where len(p) >= 2)"""
+_PIECES = """pc as (select turn_id, meeting_id, turn_index, who, n, k, s + cast(round((e - s) * k / n::double) as bigint) as ps, s + cast(round((e - s) * (k + 1) / n::double) as bigint) as pe
+  from (select *, unnest(range(n)) as k from (select *, case when e - s <= 30000 then 1 else cast(power(2, ceil(round(log2((e - s) / 30000.0::double), 9))) as int) end as n from v)))"""
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
-        "p6_found": f"with {CURRENT_TURNS}, {VALID}, {_REACH} select meeting_id, m as gap_start_ms, s as gap_end_ms from w where s > m",
-        "p6_periods": f"""with {CURRENT_TURNS}, {VALID}, {_REACH},
-          x as (select *, sum(case when m is null or s > m then 1 else 0 end) over (partition by meeting_id order by s, e rows unbounded preceding) as k from w)
-          select meeting_id, min(s) as period_start_ms, max(e) as period_end_ms, count(*) as n_rows from x group by meeting_id, k""",
-        "p6_overlap": f"""with {CURRENT_TURNS}, {CURRENT_UNITS}, {VALID},
-          vs as (select *, {LABEL.format(c="speaker_id")} as who from v),
-          mem as (select unit_key, meeting_id, {LABEL.format(c="speaker_id")} as who, unnest(list_distinct(turn_indices)) as turn_index from u),
-          sp as (select unit_key, mem.meeting_id, mem.who, min(s) as s, max(e) as e from mem join vs on mem.meeting_id = vs.meeting_id and mem.turn_index = vs.turn_index group by all),
-          hit as (select unit_key, greatest(sp.s, vs.s) as a, least(sp.e, vs.e) as b from sp join vs on sp.meeting_id = vs.meeting_id and sp.who <> vs.who and vs.s < sp.e and sp.s < vs.e),
-          hw as (select *, max(b) over (partition by unit_key order by a, b rows between unbounded preceding and 1 preceding) as m from hit),
-          cov as (select unit_key, sum(greatest(0, b - greatest(a, coalesce(m, a)))) as ms from hw group by unit_key)
-          select sp.unit_key, round(coalesce(ms, 0) / (sp.e - sp.s)::double, 9) as overlap_ratio from sp left join cov using (unit_key)""",
+        "turn_validation": f"""with {_T} select turn_id, meeting_id, turn_index, reason from (select *, case when start_s is null or end_s is null or not isfinite(start_s) or not isfinite(end_s) then 'nan_or_inf'
+            when end_s <= start_s then 'end_le_start' when round((end_s - start_s) * 1e6) < 10000 then 'too_short_invalid' end as reason from t) where reason is not null""",
+        "turn_positions": f"with {_T}, {_V} select turn_id, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from v",
+        "turn_status": f"""with {_T} select turn_id, coalesce(asr_status, case when {_strip("coalesce(text, '')")} <> '' then 'provisional' else 'empty' end) as asr_status, coalesce(source, 'fused') as source, coalesce(confidence, 1.0) as confidence from t""",
+        "unit_split_long": f"with {_T}, {_V}, {_PIECES} select turn_id, k::int as piece, n as n_pieces, ps as start_ms, pe as end_ms from pc where n > 1",
+        "unit_build": f"""with recursive {_T}, {_V}, {_PIECES},
+            o as (select *, row_number() over (partition by meeting_id order by ps, pe, turn_index, k) as r from pc),
+            g as (select meeting_id, r, 0 as unit_seq, ps as us, pe as ue, who, turn_index from o where r = 1
+              union all
+              select o.meeting_id, o.r, case when fit then g.unit_seq else g.unit_seq + 1 end, case when fit then g.us else o.ps end, o.pe, o.who, o.turn_index
+              from g join (select o.*, null as z from o) o on o.meeting_id = g.meeting_id and o.r = g.r + 1,
+                lateral (select o.who = g.who and o.ps - g.ue between 0 and 5000 and o.pe - g.us <= 30000 as fit)),
+            x as (select meeting_id, unit_seq, min(us) as start_ms, max_by(ue, r) as end_ms, any_value(who) as speaker, list(turn_index order by r) as ti from g group by meeting_id, unit_seq),
+            y as (select *, list_filter(ti, lambda a, n: n = 1 or ti[n - 1] <> a) as td from x)
+            select meeting_id, unit_seq, printf('unit_%04d', unit_seq) as unit_id, start_ms, end_ms, speaker, array_to_string(td, ',') as turn_indices, end_ms - start_ms < 350 as skip_asr,
+              case when end_ms - start_ms < 350 then 'too_short' end as skip_reason, len(td) > 1 as moss_merged from y""",
+        "unit_short_skip": f"with {_T}, {_U}, {_V}, {_MEM}, {_SPAN} select unit_key, e - s as dur_ms, e - s < 350 as skip_asr from sp",
+        "overlap_ratio": f"""with {_T}, {_V},
+            hit as (select a.turn_id, greatest(a.s, b.s) as x, least(a.e, b.e) as y from v a join v b on a.meeting_id = b.meeting_id and a.who <> b.who and b.s < a.e and a.s < b.e),
+            hw as (select *, max(y) over (partition by turn_id order by x, y rows between unbounded preceding and 1 preceding) as m from hit),
+            c as (select turn_id, sum(greatest(0, y - greatest(x, coalesce(m, x)))) as ms from hw group by turn_id),
+            r as (select v.turn_id, round(coalesce(ms, 0) / (e - s)::double, 9) as overlap_ratio from v left join c using (turn_id))
+            select turn_id, overlap_ratio, overlap_ratio > 0 as contains_overlap, overlap_ratio > 0.30 as heavy_overlap from r""",
+        "overlap_metadata": f"with {_U}, x as (select meeting_id, unnest(turn_indices) as turn_index, contains_overlap as o, heavy_overlap as v from u) select meeting_id, turn_index, bool_or(o) as in_overlap, bool_or(v) as in_heavy from x group by all",
+        "hyp_upsert": """with a as (select unit_key, model, text, loaded_at, 0 as side from hyps where model in ('firered', 'moss', 'qwen') union all
+              select unit_key, model, text, loaded_at, 1 from hyps where loaded_at >= timestamptz '2025-02-01 00:00:00+00'),
+            r as (select *, row_number() over (partition by unit_key, model order by side desc, loaded_at desc, text desc nulls last) as rn from a where model <> '' and unit_key is not null)
+            select unit_key, model, text, side = 1 as is_new from r where rn = 1""",
+        "agreement_gate": f"with {_H} select unit_key, count(*) as n_hyps, count(distinct case when coalesce(text, '') <> '' then {_norm('text')} end) <= 1 as agree from h group by unit_key",
+        "best_hyp": f"""with {_H}, {_U}, r as (select h.unit_key, h.model, h.text, row_number() over (partition by h.unit_key order by
+              case when contains_overlap and h.model = 'moss' and coalesce(h.text, '') <> '' then 0 when coalesce(h.text, '') <> '' then 1 else 2 end, h.model) as rn from h join u using (unit_key))
+            select unit_key, model, text from r where rn = 1""",
+        "moss_fill": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_JOINED},
+            miss as (select unit_key, text from jx where text <> '' and unit_key in (select unit_key from u) and unit_key not in (select unit_key from h where model = 'moss' and trim(coalesce(text, '')) <> ''))
+            select unit_key, model, text, false as filled from h where not (model = 'moss' and unit_key in (select unit_key from miss)) union all select unit_key, 'moss', text, true from miss""",
+        "model_gate": f"with {_U} select unit_key, unnest(case when heavy_overlap then ['moss'] else ['firered', 'moss', 'qwen'] end) as model from u where not skip_asr",
+        "cache_misses": f"""with {_U}, {_H}, g as (select unit_key, unnest(case when heavy_overlap then ['moss'] else ['firered', 'moss', 'qwen'] end) as model from u where not skip_asr)
+            select unit_key, model from g where not exists (select 1 from h where h.unit_key = g.unit_key and h.model = g.model and h.text <> '')""",
+        "neighbors_nearest": f"""with {_T}, {_U}, {_V}, {_MEM}, {_SPAN},
+            n as (select unit_key, v.turn_index, v.text, abs(sp.s + sp.e - v.s - v.e) as dist_ms2 from sp join v on sp.meeting_id = v.meeting_id and abs(sp.s + sp.e - v.s - v.e) <= 1200000
+              where not exists (select 1 from mem where mem.unit_key = sp.unit_key and mem.turn_index = v.turn_index)),
+            r as (select *, row_number() over (partition by unit_key order by dist_ms2, turn_index) as rank from n),
+            c as (select *, sum(length(coalesce(text, '')) + 32) over (partition by unit_key order by rank) as used from r where rank <= 20)
+            select unit_key, rank, turn_index, dist_ms2 from c where rank = 1 or used <= 8192""",
+        "neighbors_capped": f"""with {_T}, {_V}, p as (select meeting_id, text, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from v),
+            n as (select a.meeting_id, a.pos, b.pos as bp, row_number() over (partition by a.meeting_id, a.pos order by b.pos) as rank, sum(length(coalesce(b.text, '')) + 32) over (partition by a.meeting_id, a.pos order by b.pos) as used
+              from p a join p b on a.meeting_id = b.meeting_id and a.pos <> b.pos and b.pos <= 20),
+            k as (select meeting_id, pos, count(*) as n, max(bp) as last_pos from n where rank <= 20 and (rank = 1 or used <= 8192) group by all)
+            select p.meeting_id, p.pos, coalesce(n, 0) as n_neighbors, last_pos from p left join k on p.meeting_id = k.meeting_id and p.pos = k.pos""",
+        "join_turn_texts": f"with {_T}, {_U}, {_V}, {_MEM}, {_JOINED} select unit_key, text, n > 1 as moss_merged from jx",
+        "hyps_by_turn": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM},
+            m as (select unit_key, list(v.turn_index order by k) as ti, list(greatest((e - s) / 1000.0::double, 1e-6) order by k) as du from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by unit_key),
+            j as (select unit_key, model, coalesce(text, '') as text, ti, du, len(ti) as n, list_reduce(du, lambda a, b: a + b) as tot, list_filter(string_split(coalesce(text, ''), '。'), lambda x: x <> '') as parts from h join m using (unit_key)),
+            k as (select *, list_transform(du, lambda d: cast(round_even(length(text) * (d / tot), 0) as int)) as tk from j),
+            x as (select *, unnest(ti) as turn_index, generate_subscripts(ti, 1) as r from k),
+            y as (select *, case when n = 1 then text when len(parts) = n then parts[r]
+              else replace(regexp_replace(substring(text, coalesce(list_sum(tk[1:r - 1]), 0)::bigint + 1, case when r = n then length(text) else tk[r] end), '^。+|。+$', '', 'g'), '。。', '。') end as p from x)
+            select unit_key, turn_index, model, case when coalesce(p, '') <> '' then p else text end as text from y""",
+        "hotword_load": f"with {_ALIAS} select pos, term from term",
+        "hotword_aliases": f"""with {_ALIAS}, ok as (select * from al where abs(length(alt) - length(canon)) <= 1)
+            select alt, max_by(canon, pos * 1000 + k) as canon, min_by(pos, pos * 1000 + k) as pos from ok group by alt""",
+        "audit_replace": f"with {_I} select pass, infer_id, unit_id from i where pass is distinct from 'polish' union all select 'polish', infer_id, unit_id from i where pass = 'polish' and error is null",
+        "batch_summary": f"with {_I} select pass, count(*) filter (where ok) as n_ok, count(*) filter (where not ok) as n_error, count(*) filter (where ok is null) as n_null from i group by pass",
+        "discovery_pairs": "select dataset, stem from meetings m where exists (select 1 from documents d where d.doc_kind = 'minutes' and d.meeting_id = m.dataset || '/' || m.stem)",
+        "discovery_skips": "select dataset, stem, 'missing_mode_c' as reason from meetings m where not exists (select 1 from documents d where d.doc_kind = 'minutes' and d.meeting_id = m.dataset || '/' || m.stem)",
+        "p6_found": f"with {_T}, {_V}, {_REACH} select meeting_id, m as gap_start_ms, s as gap_end_ms from w where s > m",
+        "p6_periods": f"""with {_T}, {_V}, {_REACH},
+            x as (select *, sum(case when m is null or s > m then 1 else 0 end) over (partition by meeting_id order by s, e rows unbounded preceding) as k from w)
+            select meeting_id, min(s) as period_start_ms, max(e) as period_end_ms, count(*) as n_rows from x group by meeting_id, k""",
+        "p6_overlap": f"""with {_T}, {_U}, {_V},
+            mu as (select unit_key, meeting_id, {_label("speaker_id")} as who, unnest(list_distinct(turn_indices)) as turn_index from u),
+            sp as (select unit_key, mu.meeting_id, mu.who, min(s) as s, max(e) as e from mu join v on mu.meeting_id = v.meeting_id and mu.turn_index = v.turn_index group by all),
+            hit as (select unit_key, greatest(sp.s, v.s) as a, least(sp.e, v.e) as b from sp join v on sp.meeting_id = v.meeting_id and sp.who <> v.who and v.s < sp.e and sp.s < v.e),
+            hw as (select *, max(b) over (partition by unit_key order by a, b rows between unbounded preceding and 1 preceding) as m from hit),
+            cov as (select unit_key, sum(greatest(0, b - greatest(a, coalesce(m, a)))) as ms from hw group by unit_key)
+            select sp.unit_key, round(coalesce(ms, 0) / (sp.e - sp.s)::double, 9) as overlap_ratio from sp left join cov using (unit_key)""",
     }

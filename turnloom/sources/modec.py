@@ -1,0 +1,47 @@
+"""Meeting documents: JSON files of turns, read and written one file per meeting."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+TURN = "struct<start:double,end:double,speaker_id:string,text:string,asr_status:string,source:string,confidence:double>"
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(path, raw): whole files, so that a root of either shape can be told apart."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+
+
+def turns_of(docs: DataFrame, key: Column) -> DataFrame:
+    """(meeting_id, turn_index, start_s, end_s, speaker_id, text, asr_status, source, confidence).
+
+    The root is an object with a list ``turns`` or a bare list; members that aren't objects are dropped before
+    positions are counted. Any other root, and ``turns`` that isn't a list, fails with an error that names the path.
+    """
+    v = F.try_parse_json("raw")
+    bare = F.trim("raw").startswith("[")
+    body = F.when(bare, F.col("raw")).otherwise(F.try_variant_get(v, "$.turns", "string"))
+    listed = F.when(bare | (F.trim("raw").startswith("{") & (body.isNull() | F.trim(body).startswith("["))), F.coalesce(body, F.lit("[]")))
+    items = F.from_json(listed, "array<string>")
+    checked = F.when(v.isNull() | listed.isNull(), F.raise_error(F.concat(F.lit("not a turns document: "), F.col("path"))).cast("array<string>")).otherwise(items)
+    objects = F.filter(checked, lambda x: F.trim(x).startswith("{"))
+    t = docs.select(key.alias("meeting_id"), F.posexplode(objects).alias("turn_index", "item")).withColumn("t", F.from_json("item", TURN))
+    return t.select("meeting_id", "turn_index", F.col("t.start").alias("start_s"), F.col("t.end").alias("end_s"), "t.speaker_id", F.coalesce("t.text", F.lit("")).alias("text"), "t.asr_status", F.coalesce("t.source", F.lit("fused")).alias("source"), F.coalesce("t.confidence", F.lit(1.0)).alias("confidence"))
+
+
+def meeting_json(turns: DataFrame, stage: str) -> DataFrame:
+    """(meeting_id, value): one JSON document per meeting with its turns in order and the stage in its meta."""
+    t = F.struct(F.col("turn_index"), F.struct(F.col("start_s").alias("start"), F.col("end_s").alias("end"), "speaker_id", "text", "asr_status", "source", "confidence").alias("t"))
+    grouped = turns.groupBy("meeting_id").agg(F.array_sort(F.collect_list(t)).alias("x"))
+    return grouped.select("meeting_id", F.to_json(F.struct(F.struct(F.lit(stage).alias("stage")).alias("meta"), F.transform("x", lambda y: y["t"]).alias("turns"))).alias("value"))
+
+
+def write_meetings(turns: DataFrame, stage: str, path: str) -> None:
+    """Write meeting_json under ``path``, one folder per meeting."""
+    meeting_json(turns, stage).repartition("meeting_id").write.mode("overwrite").partitionBy("meeting_id").text(path)
+
+
+def replace_audits(audits: DataFrame, path: str) -> None:
+    """Write audit rows as JSON lines partitioned by pass; passes that aren't in ``audits`` stay as they are."""
+    audits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pass").json(path)
