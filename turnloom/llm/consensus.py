@@ -94,7 +94,8 @@ def slots(said: dict[int, list[str]]) -> tuple[list[str], list[Slot]]:
     for a, b in merged:
         groups: dict[str, tuple[list[str], list[int]]] = {}
         for m, w in said.items():
-            inside = [e for e in spans[m] if a <= e[0] and e[1] <= b and (e[0] < b or a == b or e[1] > e[0]) and not (a == b and e[1] > e[0])]
+            # words added at an edge of the stretch have a slot of their own
+            inside = [e for e in spans[m] if (e[0] == e[1] == a if a == b else a <= e[0] and e[1] <= b and (e[0] < e[1] or a < e[0] < b))]
             words, at = [], a
             for i1, i2, j1, j2 in inside:
                 words += pivot[at:i1] + w[j1:j2]
