@@ -22,7 +22,9 @@ def first_object(text: str) -> str | None:
     begin, depth, at = text.find("{"), 0, 0
     if begin < 0:
         return None
-    for m in re.compile(r'"(?:[^"\\]|\\.)*"|[{}]', re.S).finditer(text, begin):
+    for m in re.compile(r'"(?:[^"\\]|\\.)*"|[{}"]', re.S).finditer(text, begin):
+        if m.group() == '"':
+            return None  # the string never ends
         if m.group() == "{":
             depth += 1
         elif m.group() == "}":
