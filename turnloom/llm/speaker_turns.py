@@ -42,12 +42,14 @@ FILLER = r"(?i)(?<![\p{L}\p{N}\p{M}'’])(?:u+h+m*|u+m+|h+m+|m{2,}|e+rm*|[嗯呃
 _LIKE, _LATIN = "аеорсухіѕѐАВЕМНОРСТХЅІΑΒΕΗΜΝΟΡΤΧΥΖµ", "aeopcyxisеABEMHOPCTXSIABEHMNOPTXYZu"
 
 
-def _marks(text: Column) -> dict[str, Column]:
-    """The text as each grammar of the chain sees it."""
-    seen = fold_width(text)
-    no_time = F.regexp_replace(seen, TIMESTAMP, " ")
-    no_sound = F.regexp_replace(no_time, SOUND, " ")
-    return {"seen": seen, "no_time": no_time, "no_sound": no_sound, "no_label": F.regexp_replace(no_sound, LABEL, " ")}
+#: Cheap necessary conditions of the grammars: most lines meet none and skip them.
+_MAY_TIME, _MAY_SOUND, _MAY_LABEL, _MAY_FILL = r"[0-9][:s.][0-9}\])>/\s]|[0-9]s?\s*/?[}\])>】〕）]", r"[\[【〔<({（*♩♪♫♬]", r"[0-9]\s*[:：>\]】〕)}）]", r"(?i)[嗯呃额唔]|u[hm]|h+m|mm|e+r"
+_MAY_FOLD = r"[^\x00-\x7e\x{3001}-\x{9fff}\x{ff01}-\x{ff0f}\x{ff1a}-\x{ff1f}\x{2010}-\x{2027}]"
+
+
+def _off(c: str, may: str, grammar: str) -> Column:
+    """The text without what the grammar reads, where it can read anything."""
+    return F.when(F.col(c).rlike(may), F.regexp_replace(c, grammar, " ")).otherwise(F.col(c))
 
 
 def mark_dirt(turns: DataFrame, text: str = "text", speaker: str = "speaker_id") -> DataFrame:
@@ -56,18 +58,18 @@ def mark_dirt(turns: DataFrame, text: str = "text", speaker: str = "speaker_id")
     Null and empty texts carry no dirt of the text and give an empty clean_text; a null label is dirt of kind label.
     Whole texts are read. A remark in brackets stays unless it names a sound; a time stays unless a tool set it.
     """
-    m = _marks(F.coalesce(F.col(text), F.lit("")))
-    out = turns.withColumns({"__seen": m["seen"]})
-    out = out.withColumn("__t", F.regexp_replace("__seen", TIMESTAMP, " ")).withColumn("__s", F.regexp_replace("__t", SOUND, " ")).withColumn("__l", F.regexp_replace("__s", LABEL, " "))
-    plain = F.translate("__l", _LIKE, _LATIN)
+    raw = F.coalesce(F.col(text), F.lit(""))
+    out = turns.withColumn("__seen", F.when(raw.rlike(_MAY_FOLD), fold_width(raw)).otherwise(raw))
+    out = out.withColumn("__t", _off("__seen", _MAY_TIME, TIMESTAMP)).withColumn("__s", _off("__t", _MAY_SOUND, SOUND)).withColumn("__l", _off("__s", _MAY_LABEL, LABEL))
+    out = out.withColumn("__p", F.when(F.col("__l").rlike(r"[\p{IsCyrillic}\p{IsGreek}]"), F.translate("__l", _LIKE, _LATIN)).otherwise(F.col("__l")))
     bad_label = ~F.coalesce(F.col(speaker), F.lit("")).rlike(r"^speaker_(?:0|[1-9][0-9]*)$")
     kinds = {
         "timestamp": F.col("__t") != F.col("__seen"),
-        "filler": plain.rlike(FILLER),
+        "filler": F.col("__p").rlike(_MAY_FILL) & F.col("__p").rlike(FILLER),
         "sound": F.col("__s") != F.col("__t"),
         "label": bad_label | (F.col("__l") != F.col("__s")),
     }
-    gone = F.regexp_replace(F.col("__l"), FILLER + r"[…~.]*[,，、]?", " ")
+    gone = _off("__l", _MAY_FILL, FILLER + r"[…~.]*[,，、]?")
     tidy = F.regexp_replace(F.regexp_replace(gone, r"\s+", " "), r"^[\s,，、.。…\-–|]+|[\s,，、]+(?=[,，、。.!?！？]|$)|(?<=[，、。？！])\s+(?=\p{IsHan})", "")
     return out.withColumns(
         {
@@ -75,12 +77,13 @@ def mark_dirt(turns: DataFrame, text: str = "text", speaker: str = "speaker_id")
             "clean_speaker": speaker_label(F.col(speaker)),
             "clean_text": py_strip(tidy),
         }
-    ).drop("__seen", "__t", "__s", "__l")
+    ).drop("__seen", "__t", "__s", "__l", "__p")
 
 
 def dirty_turns(current: DataFrame) -> DataFrame:
     """One row per turn and kind of dirt: (turn_id, dirt, speaker)."""
-    return mark_dirt(current).select("turn_id", F.explode("dirt").alias("dirt"), F.col("clean_speaker").alias("speaker"))
+    # an outer explode: the filter that Spark infers for an inner one is pushed below the grammars and runs them again
+    return mark_dirt(current).select("turn_id", F.explode_outer("dirt").alias("dirt"), F.col("clean_speaker").alias("speaker")).where("dirt is not null")
 
 
 def _run_summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,9 +109,9 @@ def speaker_turns(current: DataFrame, part_turns: int = 500, partitions: int | N
     of more than ``part_turns`` lines comes out in parts of that many, so that no row grows without bound. Turns with
     impossible times and turns of which nothing is left are not in the result.
     """
-    rows = mark_dirt(valid_times(current.where(F.col("meeting_id").isNotNull()))).where("clean_text <> ''")
-    rows = rows.select("meeting_id", "start_ms", "end_ms", "turn_id", "clean_speaker", "clean_text")
-    rows = range_sorted(rows, "meeting_id", ["start_ms", "end_ms", "turn_id"], partitions)
+    rows = mark_dirt(valid_times(current.where(F.col("meeting_id").isNotNull()))).select("meeting_id", "start_ms", "end_ms", "turn_id", "clean_speaker", "clean_text")
+    # filtered after the checkpoint: before it the filter would be pushed below the grammars and run them again
+    rows = range_sorted(rows, "meeting_id", ["start_ms", "end_ms", "turn_id"], partitions).where("clean_text <> ''")
     summaries = rows.mapInPandas(_run_summary, "pid int, m0 string, s0 string, m1 string, s1 string, begun bigint, n bigint, whole boolean").collect()  # one row per partition
     carry, state = {}, None
     for r in sorted(summaries, key=lambda r: r.pid):
