@@ -182,25 +182,19 @@ def tile(a: list[str], b: list[str], least: int) -> int:
         covered += k
 
 
+_LATIN = re.compile(r"[A-Za-z]")
+_LETTER = re.compile(r"[^\W\d_]+")
+_SCRIPTS = [re.compile(f"[{r}]+") for r in ("一-鿿㐀-䶿", "ぁ-ゖァ-ヺー", "가-힯ᄀ-ᇿ", "Ѐ-ԯ", "Ͱ-Ͽ", "ء-ي")]
+
+
 def language(text: str) -> str | None:
     """zh, ja, ko, ru, el, ar or a Latin-script language; null where the text doesn't tell."""
-    han = kana = hangul = cyr = greek = arab = latin = 0
-    for ch in text:
-        o = ord(ch)
-        if 0x4E00 <= o <= 0x9FFF or 0x3400 <= o <= 0x4DBF:
-            han += 1
-        elif 0x3040 <= o <= 0x30FF:
-            kana += 1
-        elif 0xAC00 <= o <= 0xD7AF or 0x1100 <= o <= 0x11FF:
-            hangul += 1
-        elif 0x0400 <= o <= 0x052F:
-            cyr += 1
-        elif 0x0370 <= o <= 0x03FF:
-            greek += 1
-        elif 0x0600 <= o <= 0x06FF:
-            arab += 1
-        elif ch.isalpha():
-            latin += 1
+    if text.isascii():
+        han = kana = hangul = cyr = greek = arab = 0
+        latin = len(_LATIN.findall(text))
+    else:
+        han, kana, hangul, cyr, greek, arab = (sum(map(len, p.findall(text))) for p in _SCRIPTS)
+        latin = sum(map(len, _LETTER.findall(text))) - han - kana - hangul - cyr - greek - arab
     total = han + kana + hangul + cyr + greek + arab + latin
     if not total:
         return None
@@ -267,6 +261,8 @@ def defect(kind: str | None, user: str | None, reply: str | None) -> str | None:
     if p.broken and not (p.payload and not p.is_json and _copied(kind, user, p.payload)):
         return "truncated"
     body = p.payload or ""
+    if kind in ("judge", "polish") and p.is_json and len(body) > 1 and f": {body}\n" in user + "\n":
+        return None  # a hypothesis or the draft word for word
     if not p.is_json:
         if _copied(kind, user, body):
             return "refusal" if REFUSAL.search(body) and not REFUSAL.search(user) else "copied_prompt"
