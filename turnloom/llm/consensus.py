@@ -18,6 +18,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,65 +122,102 @@ def _gram(*h: np.ndarray) -> np.ndarray:
 
 
 def current_wordings(hyps: DataFrame) -> DataFrame:
-    """(unit_key, said): the current row of each model per unit, as an array of (model, text); one shuffle by unit."""
+    """(unit_key, models, texts): the current row of each model per unit, as arrays in order of model; one shuffle by unit."""
     rows = hyps.where(F.col("unit_key").isNotNull() & F.col("model").isNotNull()).select("unit_key", "model", "text", "loaded_at")
     rows = rows.repartition(int(hyps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "unit_key")
     now = rows.groupBy("unit_key", "model").agg(F.max(F.struct("loaded_at", "text")).alias("r"))
-    return now.groupBy("unit_key").agg(F.array_sort(F.collect_list(F.struct("model", F.col("r.text").alias("text")))).alias("said"))
+    said = now.groupBy("unit_key").agg(F.array_sort(F.collect_list(F.struct("model", F.col("r.text").alias("text")))).alias("said"))
+    return said.select("unit_key", F.transform("said", lambda x: x["model"]).alias("models"), F.transform("said", lambda x: x["text"]).alias("texts"))
+
+
+_VARIANT = "array<struct<slot:int,a:int,b:int,v:string,empty:boolean,own:boolean,voters:array<int>,g2:array<bigint>,g3:array<bigint>>>"
+
+
+def _lists(values: pa.Array, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int32)), values)
 
 
 def _unit_rows(units: DataFrame, models: list[str]) -> DataFrame:
-    """(unit_key, pivot, n, slots): aligned units, with the n-gram keys of each variant in its context."""
+    """(unit_key, pivot, models, variants): aligned units, with the n-gram keys of each variant in its context."""
     number = {m: i for i, m in enumerate(models)}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows, words, refs = [], [], []
-            for u, said in zip(pdf["unit_key"].tolist(), pdf["said"]):
-                heard = {number[x["model"]]: w for x in said if (w := wording(x["text"]))}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[str | None, list[str]] = {None: []}
+            keys, names, texts = batch.column(0), batch.column(1), batch.column(2)
+            cuts = names.offsets.to_pylist()
+            who, said = names.values.to_pylist(), texts.values.to_pylist()
+            pivots: list[list[str]] = []
+            spoke: list[list[int]] = []
+            n_var: list[int] = []
+            rows: list[tuple] = []
+            words: list[str] = []
+            for a, b in zip(cuts, cuts[1:]):
+                heard = {}
+                for k in range(a, b):
+                    t = said[k]
+                    w = known.get(t)
+                    if w is None:
+                        w = known[t] = wording(t)
+                    if w:
+                        heard[number[who[k]]] = w
                 pivot, found = slots(heard)
-                packed = []
+                before = len(rows)
                 for s in found:
                     left, right = ["^", "^", *pivot][s.a : s.a + 2], [*pivot, "$", "$"][s.b : s.b + 2]
-                    for v, who in zip(s.variants, s.voters):
-                        line = [*left, *v, *right]
-                        refs.append((len(words), len(line), len(v)))
-                        words += line
-                        own = "".join(v) == "".join(pivot[s.a : s.b])
-                        packed.append({"slot": s.a * 2 + (s.b > s.a), "a": s.a, "b": s.b, "v": " ".join(v), "empty": not v, "own": own, "voters": who, "g2": None, "g3": None})
-                rows.append((u, pivot, sorted(heard), packed))
+                    own = "".join(pivot[s.a : s.b])
+                    for v, voters in zip(s.variants, s.voters):
+                        rows.append((s.a * 2 + (s.b > s.a), s.a, s.b, " ".join(v), not v, "".join(v) == own, voters, len(words), len(v)))
+                        words += left
+                        words += v
+                        words += right
+                pivots.append(pivot)
+                spoke.append(sorted(heard))
+                n_var.append(len(rows) - before)
+            slot, at, end, text, empty, mine, voters, begin, size = (list(x) for x in zip(*rows)) if rows else ([] for _ in range(9))
             h = _hashes(words)
-            flat = iter(refs)
-            if len(h) > 2:
-                two, three = _gram(h[:-1], h[1:]).view(np.int64), _gram(h[:-2], h[1:-1], h[2:]).view(np.int64)
-                for _, _, _, packed in rows:
-                    for p in packed:
-                        at, size, n = next(flat)
-                        p["g2"] = two[at + 1 : at + 2 + n].tolist()
-                        p["g3"] = three[at : at + 2 + n].tolist()
-            yield pd.DataFrame({"unit_key": [r[0] for r in rows], "pivot": [r[1] for r in rows], "models": [r[2] for r in rows], "variants": [r[3] for r in rows]})
-
-    return units.mapInPandas(run, "unit_key bigint, pivot array<string>, models array<int>, variants array<struct<slot:int,a:int,b:int,v:string,empty:boolean,own:boolean,voters:array<int>,g2:array<bigint>,g3:array<bigint>>>")
+            g2 = _gram(h[:-1], h[1:]).view(np.int64) if len(h) else np.empty(0, np.int64)
+            g3 = _gram(h[:-2], h[1:-1], h[2:]).view(np.int64) if len(h) else np.empty(0, np.int64)
+            begin, size = np.array(begin, np.int64), np.array(size, np.int64)
+            step = np.arange(int((size + 1).sum())) - np.repeat(np.cumsum(size + 1) - (size + 1), size + 1)
+            two = g2[np.repeat(begin + 1, size + 1) + step]
+            step = np.arange(int((size + 2).sum())) - np.repeat(np.cumsum(size + 2) - (size + 2), size + 2)
+            three = g3[np.repeat(begin, size + 2) + step]
+            flat = lambda x, t: pa.array([y for z in x for y in z], t)
+            fields = [
+                pa.array(slot, pa.int32()), pa.array(at, pa.int32()), pa.array(end, pa.int32()), pa.array(text, pa.string()), pa.array(empty, pa.bool_()), pa.array(mine, pa.bool_()),
+                _lists(flat(voters, pa.int32()), [len(x) for x in voters]), _lists(pa.array(two), (size + 1).tolist()), _lists(pa.array(three), (size + 2).tolist()),
+            ]
+            variants = pa.StructArray.from_arrays(fields, ["slot", "a", "b", "v", "empty", "own", "voters", "g2", "g3"])
+            yield pa.RecordBatch.from_arrays([keys, _lists(flat(pivots, pa.string()), [len(x) for x in pivots]), _lists(flat(spoke, pa.int32()), [len(x) for x in spoke]), _lists(variants, n_var)], ["unit_key", "pivot", "models", "variants"])
+
+    return units.mapInArrow(run, f"unit_key bigint, pivot array<string>, models array<int>, variants {_VARIANT}")
 
 
 def _gram_counts(aligned: DataFrame) -> DataFrame:
     """(g, n): how many units have each pair and triple of words in their pivot; counted per batch before the shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            words: list[str] = []
-            for p in pdf["pivot"]:
-                if len(p):
-                    words += ["^", "^", *p, "$", "$"]
-            if not words:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivots = batch.column(0)
+            words = pivots.flatten().dictionary_encode()
+            sizes = np.diff(pivots.offsets.to_numpy())
+            sizes = sizes[sizes > 0]
+            if not len(sizes):
                 continue
-            names: dict[str, int] = {}
-            ids = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
-            h = _hashes(list(names))[ids]
-            g, n = np.unique(np.concatenate([_gram(h[:-1], h[1:]), _gram(h[:-2], h[1:-1], h[2:])]), return_counts=True)
-            yield pd.DataFrame({"g": g.view(np.int64), "n": n.astype(np.int64)})
+            h = _hashes(words.dictionary.to_pylist())[words.indices.to_numpy()]
+            begin, end = _hashes(["^", "$"])
+            line = np.empty(len(h) + 4 * len(sizes), np.uint64)
+            starts = np.cumsum(sizes + 4) - (sizes + 4)
+            for k, x in ((0, begin), (1, begin)):
+                line[starts + k] = x
+            for k in (2, 3):
+                line[starts + sizes + k] = end
+            line[np.repeat(starts + 2 - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(h))] = h
+            g, n = np.unique(np.concatenate([_gram(line[:-1], line[1:]), _gram(line[:-2], line[1:-1], line[2:])]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], ["g", "n"])
 
-    return aligned.select("pivot").mapInPandas(run, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
+    return aligned.select("pivot").mapInArrow(run, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
 
 
 def slot_table(aligned: DataFrame) -> DataFrame:
@@ -209,72 +247,91 @@ class Params:
         self.rho = np.zeros(n_models)
 
 
-def _posterior(vs: list, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, int]]:
-    """Posterior and prior of each variant of a slot, its features, and the variant each model says."""
-    x = np.array([[float(v["empty"]), v["f2"], v["f3"]] for v in vs])
-    prior = x @ p.w
-    prior = np.exp(prior - prior.max())
-    prior /= prior.sum()
-    said = {int(m): k for k, v in enumerate(vs) for m in v["voters"]}
-    empty = x[:, 0] > 0
-    n = len(vs)
-    ll = np.log(np.maximum(prior, 1e-12))
-    for m, k in said.items():
-        like = np.empty(n)
-        for z in range(n):
-            if z == k:
-                like[z] = p.kept[m, int(empty[z])]
-            elif empty[z]:
-                like[z] = (1 - p.kept[m, 1]) / CONFUSIONS
-            else:
-                like[z] = (1 - p.kept[m, 0]) * ((1 - p.swap[m]) if empty[k] else p.swap[m] / CONFUSIONS)
-        parent = int(p.copy_of[m])
-        if parent in said:
-            same = 1.0 if said[parent] == k else 0.0
-            like = p.rho[m] * same + (1 - p.rho[m]) * like
-        ll += np.log(np.maximum(like, 1e-12))
-    post = np.exp(ll - ll.max())
-    return post / post.sum(), prior, x, said
+class Slots:
+    """Slots of a batch laid flat: variants by slot, votes by slot and model."""
+
+    def __init__(self, batch: pa.RecordBatch, n_models: int):
+        who, empty = batch.column("who"), batch.column("empty")
+        self.cuts = empty.offsets.to_numpy().astype(np.int64) - empty.offsets[0].as_py()
+        self.n_slots = len(self.cuts) - 1
+        self.slot = np.repeat(np.arange(self.n_slots), np.diff(self.cuts))
+        self.empty = empty.flatten().to_numpy(zero_copy_only=False).astype(bool)
+        self.x = np.stack([self.empty.astype(float), batch.column("f2").flatten().to_numpy(), batch.column("f3").flatten().to_numpy()], 1) if len(self.empty) else np.zeros((0, FEATURES))
+        votes = who.flatten()  # one list of models for each variant
+        per = np.diff(votes.offsets.to_numpy())
+        self.v_of = np.repeat(np.arange(len(per)), per)
+        self.m_of = votes.flatten().to_numpy().astype(np.int64)
+        self.s_of = self.slot[self.v_of]
+        self.said = np.full((self.n_slots, n_models), -1)
+        self.said[self.s_of, self.m_of] = self.v_of
+
+    def _softmax(self, score: np.ndarray) -> np.ndarray:
+        begin = self.cuts[:-1]
+        e = np.exp(score - np.maximum.reduceat(score, begin)[self.slot])
+        return e / np.add.reduceat(e, begin)[self.slot]
+
+    def posterior(self, p: Params) -> tuple[np.ndarray, np.ndarray]:
+        """Posterior and prior of every variant."""
+        if not self.n_slots:
+            return np.empty(0), np.empty(0)
+        prior = self._softmax(self.x @ p.w)
+        wide = np.diff(self.cuts)[self.s_of]  # variants in the slot of each vote
+        r = np.repeat(np.arange(len(self.v_of)), wide)
+        z = np.repeat(self.cuts[:-1][self.s_of] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+        m, k = self.m_of[r], self.v_of[r]
+        on_word = (1 - p.kept[m, 0]) * np.where(self.empty[k], 1 - p.swap[m], p.swap[m] / CONFUSIONS)
+        like = np.where(z == k, p.kept[m, self.empty[z].astype(int)], np.where(self.empty[z], (1 - p.kept[m, 1]) / CONFUSIONS, on_word))
+        parent = p.copy_of[m]
+        theirs = np.where(parent >= 0, self.said[self.s_of[r], np.maximum(parent, 0)], -1)
+        like = np.where(theirs >= 0, p.rho[m] * (theirs == k) + (1 - p.rho[m]) * like, like)
+        score = np.log(np.maximum(prior, 1e-12)) + np.bincount(z, np.log(np.maximum(like, 1e-12)), len(self.slot))
+        return self._softmax(score), prior
+
+
+_COLUMNS = {"who": "voters", "empty": "empty", "f2": "f2", "f3": "f3"}
+
+
+def _flat_columns() -> list:
+    return [F.col("vs")[f].alias(c) for c, f in _COLUMNS.items()]
 
 
 def _statistics(patterns: DataFrame, p: Params, n_models: int) -> np.ndarray:
     """Sufficient statistics of one round: a vector whose length depends on the number of models alone."""
     shared = patterns.sparkSession.sparkContext.broadcast(p)
-    d = FEATURES
-    size = 4 * n_models + n_models + 2 * n_models * n_models + d + d * d
+    d, m_all = FEATURES, n_models
+    size = 5 * m_all + 2 * m_all * m_all + d + d * d
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q = shared.value
-        kept = np.zeros((n_models, 4))  # kept and all, for words and for nothing
-        swap = np.zeros(n_models)
-        both, equal = np.zeros((n_models, n_models)), np.zeros((n_models, n_models))
-        grad, hess = np.zeros(d), np.zeros((d, d))
-        for pdf in batches:
-            for vs, n in zip(pdf["vs"], pdf["n"]):
-                post, prior, x, said = _posterior(vs, q)
-                e = x[:, 0] > 0
-                on_empty = float(post[e].sum())
-                for m, k in said.items():
-                    t = int(e[k])
-                    kept[m, 2 * t] += n * post[k]
-                    kept[m, 1] += n * (1 - on_empty)
-                    kept[m, 3] += n * on_empty
-                    if not t:
-                        swap[m] += n * float(post[~e].sum() - post[k])
-                wrong = [(m, k) for m, k in said.items()]
-                for m, k in wrong:
-                    for o, j in wrong:
-                        if o != m:
-                            w = n * (1 - post[j])  # o is wrong
-                            both[m, o] += w
-                            if j == k:
-                                equal[m, o] += w
-                diff = x - prior @ x
-                grad += n * (post - prior) @ x
-                hess += n * (diff * prior[:, None]).T @ diff
-        yield pd.DataFrame({"i": np.arange(size), "x": np.concatenate([kept.ravel(), swap, both.ravel(), equal.ravel(), grad, hess.ravel()])})
-
-    got = patterns.mapInPandas(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # some hundred numbers
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, total = shared.value, np.zeros(size)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b, n = Slots(batch, m_all), batch.column("n").to_numpy().astype(float)
+            post, prior = b.posterior(q)
+            on_empty = np.add.reduceat(np.where(b.empty, post, 0.0), b.cuts[:-1])
+            nv, e = n[b.s_of], b.empty[b.v_of]
+            count = lambda w: np.bincount(b.m_of, w, m_all)
+            hit, none = nv * post[b.v_of], on_empty[b.s_of]
+            kept = np.stack([count(np.where(e, 0, hit)), count(nv * (1 - none)), count(np.where(e, hit, 0)), count(nv * none)], 1)
+            swap = count(np.where(e, 0, nv * (1 - none) - hit))
+            both, equal = np.zeros((m_all, m_all)), np.zeros((m_all, m_all))
+            for o in range(m_all):
+                there = b.said[:, o] >= 0
+                w = np.where(there, n * (1 - post[np.maximum(b.said[:, o], 0)]), 0.0)  # o is wrong
+                for m in range(m_all):
+                    if m != o:
+                        here = b.said[:, m] >= 0
+                        both[m, o] = w[here].sum()
+                        equal[m, o] = w[here & (b.said[:, m] == b.said[:, o])].sum()
+            nx = n[b.slot]
+            mean = np.stack([np.add.reduceat(prior * b.x[:, f], b.cuts[:-1]) for f in range(d)], 1)
+            diff = b.x - mean[b.slot]
+            grad = (nx * (post - prior)) @ b.x
+            hess = (diff * (nx * prior)[:, None]).T @ diff
+            total += np.concatenate([kept.ravel(), swap, both.ravel(), equal.ravel(), grad, hess.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["i", "x"])
+
+    got = patterns.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # some hundred numbers
     out = np.zeros(size)
     for r in got:
         out[r.i] = r.x
@@ -283,7 +340,7 @@ def _statistics(patterns: DataFrame, p: Params, n_models: int) -> np.ndarray:
 
 def fit(table: DataFrame, n_models: int, rounds: int = ROUNDS) -> Params:
     """Expectation-maximisation over all slots; slots of one pattern are counted once with their number."""
-    patterns = checkpointed(table.select(F.transform("vs", lambda v: F.struct(v["voters"].alias("voters"), v["empty"].alias("empty"), v["f2"].alias("f2"), v["f3"].alias("f3"))).alias("vs")).groupBy("vs").agg(F.count(F.lit(1)).alias("n")))
+    patterns = checkpointed(table.select(*_flat_columns()).groupBy(*_COLUMNS).agg(F.count(F.lit(1)).alias("n")))
     p = Params(n_models)
     m = n_models
     for _ in range(rounds):
@@ -325,18 +382,23 @@ def consensus(hyps: DataFrame, rounds: int = ROUNDS) -> Consensus:
 
 def _decide(c: Consensus) -> DataFrame:
     """(unit_key, slot, v, wrong, sure): the chosen variant of each slot, the models that say another, its posterior."""
-    shared = c.table.sparkSession.sparkContext.broadcast(c.params)
+    shared, n_models = c.table.sparkSession.sparkContext.broadcast(c.params), len(c.models)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for u, s, vs in zip(pdf["unit_key"].tolist(), pdf["slot"].tolist(), pdf["vs"]):
-                post, _, _, said = _posterior(vs, shared.value)
-                z = int(np.argmax(post))
-                rows.append((u, s, vs[z]["v"], [m for m, k in said.items() if k != z], float(post[z])))
-            yield pd.DataFrame(rows, columns=["unit_key", "slot", "v", "wrong", "sure"])
-
-    return c.table.mapInPandas(run, "unit_key bigint, slot int, v string, wrong array<int>, sure double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b = Slots(batch, n_models)
+            post, _ = b.posterior(shared.value)
+            top = np.maximum.reduceat(post, b.cuts[:-1])
+            best = np.flatnonzero(post == top[b.slot])
+            z = best[np.unique(b.slot[best], return_index=True)[1]]  # the first of equals
+            bad = b.v_of != z[b.s_of]
+            wrong = _lists(pa.array(b.m_of[bad].astype(np.int32)), np.bincount(b.s_of[bad], minlength=b.n_slots).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("unit_key"), batch.column("slot"), batch.column("v").flatten().take(pa.array(z)), wrong, pa.array(post[z])], ["unit_key", "slot", "v", "wrong", "sure"])
+
+    flat = c.table.select("unit_key", "slot", F.col("vs")["v"].alias("v"), *_flat_columns())
+    return flat.mapInArrow(run, "unit_key bigint, slot int, v string, wrong array<int>, sure double")
 
 
 def found_wrong(hyps: DataFrame) -> DataFrame:
