@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from turnloom.functions.text import CER_PUNCT
+from turnloom.operators.passes import KNOWN
 from turnloom.operators.textgrid import ENDS, JOINER
 
 _INVISIBLE = "­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯﻿"
@@ -43,9 +44,52 @@ _PIECES = """pc as (select turn_id, meeting_id, turn_index, who, n, k, s + cast(
   from (select *, unnest(range(n)) as k from (select *, case when e - s <= 30000 then 1 else cast(power(2, ceil(round(log2((e - s) / 30000.0::double), 9))) as int) end as n from v)))"""
 
 
+_BY_TURN = """m as (select unit_key, list(v.turn_index order by k) as ti, list(greatest((e - s) / 1000.0::double, 1e-6) order by k) as du from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by unit_key),
+  j as (select unit_key, model, coalesce(text, '') as text, ti, du, len(ti) as n, list_reduce(du, lambda a, b: a + b) as tot, list_filter(string_split(coalesce(text, ''), '。'), lambda x: x <> '') as parts from h join m using (unit_key)),
+  kk as (select *, list_transform(du, lambda d: cast(round_even(length(text) * (d / tot), 0) as int)) as tk from j),
+  xx as (select *, unnest(ti) as turn_index, generate_subscripts(ti, 1) as r from kk),
+  yy as (select *, case when n = 1 then text when len(parts) = n then parts[r]
+    else replace(regexp_replace(substring(text, coalesce(list_sum(tk[1:r - 1]), 0)::bigint + 1, case when r = n then length(text) else tk[r] end), '^。+|。+$', '', 'g'), '。。', '。') end as p from xx),
+  bt as (select unit_key, turn_index, model, case when coalesce(p, '') <> '' then p else text end as text from yy)"""
+
+
+def _mock(said: str) -> str:
+    """Text and number of edits of the offline judge's reply; ``said`` is a list of {model, text} in order."""
+    out = []
+    for wrong, right, _, _ in KNOWN:
+        hit = f"list_filter({said}, lambda z: contains(z.text, '{wrong}'))"
+        out.append(f"when len({hit}) > 0 then {{'t': replace({hit}[1].text, '{wrong}', '{right}'), 'w': '{wrong}', 'r': '{right}'}}")
+    return f"case {' '.join(out)} else {{'t': coalesce(coalesce(list_filter({said}, lambda z: z.model = 'moss')[1], {said}[1]).text, ''), 'w': null, 'r': null}} end"
+
+
+_PASS_A = f"""said as (select unit_key, list({{'model': model, 'text': text}} order by model) as hs, count(distinct case when coalesce(text, '') <> '' then {_norm("text")} end) <= 1 as agree from h group by unit_key),
+  pa0 as (select unit_key, meeting_id, not contains_overlap and agree as skipped_llm, coalesce(list_filter(hs, lambda z: coalesce(z.text, '') <> '')[1], hs[1]).text as best, {_mock("hs")} as r from said join u using (unit_key) where not skip_asr),
+  pa as (select unit_key, meeting_id, coalesce(case when skipped_llm then best else r.t end, '') as text, skipped_llm from pa0)"""
+_PASS_B = f"""flags as (select meeting_id, turn_index, bool_or(o) as o from (select meeting_id, unnest(turn_indices) as turn_index, contains_overlap as o from u) group by all),
+  moss as (select meeting_id, turn_index, max_by(bt.text, unit_key) as moss from bt join u using (unit_key) where model = 'moss' group by all),
+  pt as (select turn_id, v.text, e - s as dur, coalesce(o, false) as o, moss from v left join flags using (meeting_id, turn_index) left join moss using (meeting_id, turn_index)),
+  pr as (select *, case when coalesce(text, '') <> '' and dur >= 350 then {_mock("case when moss is null then [{'model': 'draft', 'text': text}] else [{'model': 'moss', 'text': moss}, {'model': 'draft', 'text': text}] end")} end as r from pt),
+  pb as (select *, case when r.w is not null and instr(text, r.w) > 0 then substring(text, 1, instr(text, r.w) - 1) || r.r || substring(text, instr(text, r.w) + length(r.w)) else text end as app from pr),
+  pq as (select *, case when r is null then null when r.w is null and r.t <> text then 'empty_edits_reject' when r.w is not null and app <> text then 'llm' end as path from pb)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
+        "pass_a_mock": f"with {_U}, {_H}, {_PASS_A} select unit_key, text, skipped_llm, false as forced_moss, false as fallback_ok, false as fallback, null::varchar as last_error from pa",
+        "pass_stats_a": f"""with {_U}, {_H}, {_PASS_A} select meeting_id, count(*) as n_units, count(*) filter (where skipped_llm) as skipped_llm, 0 as retries_total, 0 as fallback_to_best_hyp, 0 as fallback_judge_success,
+            0.0::double as approx_retry_rate, false as suggest_raise_temperature from pa group by meeting_id""",
+        "pass_b_mock": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
+        "pass_stats_b": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select count(*) as n_audits, count(*) filter (where path = 'llm') as llm, 0 as fallback, 0 as moss_aware_reject,
+            count(*) filter (where path = 'empty_edits_reject') as empty_edits_reject from pq where path is not null""",
+        "moss_restore": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' then moss else text end as new_text,
+            o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' as restored from pt""",
+        "neighbor_prompt": f"""with {_T}, {_U}, {_V}, {_MEM}, {_SPAN},
+            n as (select unit_key, v.turn_index, v.who, v.text, abs(sp.s + sp.e - v.s - v.e) as d from sp join v on sp.meeting_id = v.meeting_id and abs(sp.s + sp.e - v.s - v.e) <= 1200000
+              where not exists (select 1 from mem where mem.unit_key = sp.unit_key and mem.turn_index = v.turn_index)),
+            r as (select *, row_number() over (partition by unit_key order by d, turn_index) as rank from n),
+            c as (select *, sum(length(coalesce(text, '')) + 32) over (partition by unit_key order by rank) as used from r where rank <= 20)
+            select unit_key, string_agg(to_json({{'turn_index': turn_index, 'speaker': who, 'text': coalesce(text, '')}})::varchar, chr(10) order by rank) as prompt from c where rank = 1 or used <= 8192 group by unit_key""",
         "turn_validation": f"""with {_T} select turn_id, meeting_id, turn_index, reason from (select *, case when start_s is null or end_s is null or not isfinite(start_s) or not isfinite(end_s) then 'nan_or_inf'
             when end_s <= start_s then 'end_le_start' when round((end_s - start_s) * 1e6) < 10000 then 'too_short_invalid' end as reason from t) where reason is not null""",
         "turn_positions": f"with {_T}, {_V} select turn_id, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from v",
@@ -96,14 +140,7 @@ def oracle_sql() -> dict[str, str]:
             k as (select meeting_id, pos, count(*) as n, max(bp) as last_pos from n where rank <= 20 and (rank = 1 or used <= 8192) group by all)
             select p.meeting_id, p.pos, coalesce(n, 0) as n_neighbors, last_pos from p left join k on p.meeting_id = k.meeting_id and p.pos = k.pos""",
         "join_turn_texts": f"with {_T}, {_U}, {_V}, {_MEM}, {_JOINED} select unit_key, text, n > 1 as moss_merged from jx",
-        "hyps_by_turn": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM},
-            m as (select unit_key, list(v.turn_index order by k) as ti, list(greatest((e - s) / 1000.0::double, 1e-6) order by k) as du from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by unit_key),
-            j as (select unit_key, model, coalesce(text, '') as text, ti, du, len(ti) as n, list_reduce(du, lambda a, b: a + b) as tot, list_filter(string_split(coalesce(text, ''), '。'), lambda x: x <> '') as parts from h join m using (unit_key)),
-            k as (select *, list_transform(du, lambda d: cast(round_even(length(text) * (d / tot), 0) as int)) as tk from j),
-            x as (select *, unnest(ti) as turn_index, generate_subscripts(ti, 1) as r from k),
-            y as (select *, case when n = 1 then text when len(parts) = n then parts[r]
-              else replace(regexp_replace(substring(text, coalesce(list_sum(tk[1:r - 1]), 0)::bigint + 1, case when r = n then length(text) else tk[r] end), '^。+|。+$', '', 'g'), '。。', '。') end as p from x)
-            select unit_key, turn_index, model, case when coalesce(p, '') <> '' then p else text end as text from y""",
+        "hyps_by_turn": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN} select unit_key, turn_index, model, text from bt",
         "hotword_load": f"with {_ALIAS} select pos, term from term",
         "hotword_aliases": f"""with {_ALIAS}, ok as (select * from al where abs(length(alt) - length(canon)) <= 1)
             select alt, max_by(canon, pos * 1000 + k) as canon, min_by(pos, pos * 1000 + k) as pos from ok group by alt""",
