@@ -45,7 +45,8 @@ REFUSALS = [
     r"\b(?:not|isn't) something (?:that )?i(?:'m| am)? (?:can|could|able|allowed|permitted|willing)|\bi have to pass on\b|\bi (?:don't|do not) (?:answer|help|assist|handle|translate|edit|process|feel comfortable)|\bplease consult (?:a|an|the)\b",
     r"\bnot (?:permitted|allowed|able|authori[sz]ed) to (?:help|assist|process|translate|edit|correct|answer|handle|choose|judge|take|provide)",
     r"(?:不能|无法|不便|不可以|不会|没有办法|没办法|没有权限|无权|不方便|拒绝|谢绝|难以|恕不能)(?:再|继续|为您|为你|帮您|帮你|直接)?(?:协助|处理|翻译|判断|修改|回答|在候选中|提供|完成|参与|评论|帮助|满足|改写|润色|选择|讨论|继续|总结|概括|回应|执行|给出)",
-    r"恕难从命|超出了?我的|不在我(?:可以|能够|能)?(?:处理|帮助|回答|协助)?的?(?:范围|能力)|无可奉告|作为(?:一个|一名)?(?:人工智能|AI|ai|语言模型|助手)|违反(?:了)?(?:我的|相关|内容)?(?:准则|政策|规定)|这个请求我(?:无法|不能)|无法(?:完成|满足)(?:这个|该|您的|你的)?(?:请求|任务)",
+    r"\bunable to (?:comply|help|assist|process|provide|complete|fulfil)|\b(?:not|n't feel) comfortable (?:with|doing|help|answer|translat)|\bi (?:can ?not|can't|won't) do (?:that|this)\b",
+    r"我(?:不能|无法|不会)(?:这样|这么|那样|照)做|请恕|不予(?:处理|回答|翻译)|爱莫能助|无法为[您你]|恕难从命|超出了?我的|不在我(?:可以|能够|能)?(?:处理|帮助|回答|协助)?的?(?:范围|能力)|无可奉告|作为(?:一个|一名)?(?:人工智能|AI|ai|语言模型|助手)|违反(?:了)?(?:我的|相关|内容)?(?:准则|政策|规定)|这个请求我(?:无法|不能)|无法(?:完成|满足)(?:这个|该|您的|你的)?(?:请求|任务)",
     r"\b(?:lo siento|lamento|me temo|disculpe?)\b[^.!?]{0,80}\bno (?:puedo|puede|es posible|me es posible|estoy)|\bno puedo (?:ayudar|asistir|traducir|procesar|responder|corregir|editar|elegir|atender|realizar|completar|continuar)|\bcomo (?:asistente|modelo|ia)\b|\bno (?:me )?(?:está|esta) permitido|\bfuera de mi",
     r"\b(?:désolée?|navrée?|regrette|malheureusement|excusez)\b[^.!?]{0,80}\bne (?:peux|puis|suis|pouvons)|\bje ne (?:peux|puis|suis) pas (?:aider|vous aider|traduire|traiter|répondre|corriger|en mesure|autorisée?|choisir|modifier)|\ben tant qu(?:e |')(?:assistant|ia|modèle|intelligence)",
     r"\b(?:tut mir leid|leider|entschuldig\w*|bedaure|es tut mir)\b[^.!?]{0,80}\b(?:kann|darf|möchte|werde) (?:ich )?[^.!?]{0,80}\b(?:nicht|nichts|keine?n?)\b|\b(?:kann|darf) ich (?:ihnen |dir |dabei |das |diese[nrs]? |hier )*(?:leider )?nicht\b|\bals (?:assistent|ki|sprachmodell)\b|\bich (?:kann|darf) (?:\w+ ){0,4}nicht (?:helfen|übersetzen|bearbeiten|beantworten|korrigieren|weiterhelfen)",
