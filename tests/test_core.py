@@ -270,6 +270,29 @@ def test_pass_b_applies_edits_only(spark):
     assert {r.turn_id for r in passes.restore_moss(df).collect() if r.restored} == {3}
 
 
+def test_sequential_pass_sees_earlier_rewrites(spark):
+    rows = [("m", i, i, t, 900, False, None) for i, t in enumerate(["帐号", "二", "三"] + [f"t{i}" for i in range(3, 30)])] + [("n", 0, 100, "帐号", 900, False, None)]
+    df = spark.createDataFrame(rows, "meeting_id string, pos int, turn_id bigint, text string, dur_ms bigint, overlap boolean, moss string")
+
+    def replies(hyps_, overlap, near):
+        plain = passes.mock_reply(hyps_, overlap)
+        edit = F.struct(F.element_at(hyps_, -1)["text"].alias("span_asr"), F.lit("账").alias("span_out"), F.lit("punct").alias("tier"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("anchor"), F.lit(None).cast("string").alias("evidence"), F.lit(None).cast("int").alias("start_char"))
+        changed = F.struct(F.lit("x").alias("text"), F.lit("draft").alias("base_model"), F.array(edit).alias("edits"), overlap.alias("overlap")).cast(validators.REPLY)
+        return F.when(F.array_contains(near, "账号") & (F.element_at(hyps_, -1)["text"] != "二"), changed).otherwise(plain)
+
+    got = {(r.meeting_id, r.pos): r.new_text for r in passes.sequential_texts(df, replies).collect()}
+    assert got[("m", 0)] == "账号" and got[("m", 1)] == "二" and got[("n", 0)] == "账号"
+    assert all(got[("m", i)] == "账" for i in range(2, 30))
+
+
+def test_polish_pass(spark):
+    df = spark.createDataFrame([(1, "用gpu跑wifi", "", "", ""), (2, "好", "", "", ""), (3, None, "", "", "")], "k int, text string, cite_hyps string, cite_neighbors string, cite_hotwords string")
+    got = {r.k: (r.new_text, r.path) for r in passes.polish_texts(df).collect()}
+    assert got == {1: ("用GPU跑Wi-Fi", "llm"), 2: ("好", None), 3: (None, None)}
+    other = lambda t: F.struct(F.lit("别的").alias("text"), F.lit("d").alias("base_model"), F.array().cast(validators.EDIT).alias("edits"), F.lit(False).alias("overlap")).cast(validators.REPLY)
+    assert {r.path for r in passes.polish_texts(df, other).collect() if r.text} == {"empty_edits_reject"}
+
+
 def test_aliases(spark):
     hw = spark.createDataFrame([(0, "账号|帐号|大帐号码"), (1, "单框架|单方接"), (2, "词")], "pos int, term string")
     al = passes.parse_aliases(hw)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.pinyin import reading_distance
 from turnloom.operators.hyps import all_agree, best_hyp
-from turnloom.operators.validators import EDIT, REPLY, apply_first, pass_a_error, pass_b_error
+from turnloom.operators.validators import EDIT, REPLY, apply_first, apply_located, locate_polish, pass_a_error, pass_b_error, polish_error
 
 #: The wrong and right spans the offline judge knows, with tier and anchor.
 KNOWN = (("产用", "采用", "C", "hyp"), ("单方接", "单框架", "C", "hotword"), ("帐号", "账号", "B", "hyp"))
@@ -88,6 +88,26 @@ def rewrite_aliases(texts: DataFrame, aliases: DataFrame, text: str = "text", mo
     return texts.crossJoin(F.broadcast(alias_array(aliases))).withColumn("r", F.aggregate("aliases", zero, step)).withColumns({"new_text": F.col("r.t"), "hits": F.col("r.h")}).drop("aliases", "r")
 
 
+def _turn_hyps(text: Column, moss: Column) -> Column:
+    """Moss, if there is any, and the draft."""
+    draft = F.struct(F.lit("draft").alias("model"), text.alias("text"))
+    return F.when(moss.isNull(), F.array(draft)).otherwise(F.array(F.struct(F.lit("moss").alias("model"), moss.alias("text")), draft))
+
+
+def _turn_decision(text: Column, overlap: Column, reply: Column) -> Column:
+    """(text, path) after a reply of the second pass, of which only the edits are applied."""
+    none = F.size(F.coalesce(reply["edits"], F.array().cast(EDIT))) == 0
+    applied = apply_first(text, reply["edits"])
+    path = (
+        F.when(reply.isNull(), F.lit(None).cast("string"))
+        .when(pass_b_error(reply).isNotNull(), "fallback")
+        .when(overlap & ~reply["base_model"].isin("moss", "draft") & none, "moss_aware_reject")
+        .when(none & (reply["text"] != text), "empty_edits_reject")
+        .when(~none & (applied != text), "llm")
+    )
+    return F.struct(F.when(path == "llm", applied).otherwise(text).alias("text"), path.alias("path"))
+
+
 def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] = mock_reply, short_ms: int = 350) -> DataFrame:
     """(…, new_text, path): the second pass over turns with text of at least ``short_ms``, from a snapshot.
 
@@ -96,20 +116,76 @@ def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] = m
     (invalid reply), or null for nothing.
     """
     eligible = (F.coalesce("text", F.lit("")) != "") & (F.col("dur_ms") >= short_ms)
-    draft = F.struct(F.lit("draft").alias("model"), F.col("text").alias("text"))
-    hyps = F.when(F.col("moss").isNull(), F.array(draft)).otherwise(F.array(F.struct(F.lit("moss").alias("model"), F.col("moss").alias("text")), draft))
-    t = turns.withColumn("hyps", F.when(eligible, hyps)).withColumn("reply", F.when(eligible, replies(F.col("hyps"), F.col("overlap"))))
-    t = t.withColumn("err", F.when(F.col("reply").isNotNull(), pass_b_error(F.col("reply"))))
+    t = turns.withColumn("reply", F.when(eligible, replies(_turn_hyps(F.col("text"), F.col("moss")), F.col("overlap"))))
+    t = t.withColumn("decided", _turn_decision(F.col("text"), F.col("overlap"), F.col("reply")))
+    return t.withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("reply", "decided")
+
+
+def capped(texts: Column, k: int = 20, budget: int = 8192, cost: int = 32) -> Column:
+    """The first ``k`` texts within the budget; the first always stays, the first that overflows ends the list."""
+    zero = F.struct(F.array().cast("array<string>").alias("t"), F.lit(0).alias("used"), F.lit(False).alias("full"))
+
+    def step(acc: Column, x: Column) -> Column:
+        size = F.length(F.coalesce(x, F.lit(""))) + cost
+        over = acc["full"] | (F.size(acc["t"]) >= k) | ((F.size(acc["t"]) > 0) & (acc["used"] + size > budget))
+        return F.when(over, F.struct(acc["t"].alias("t"), acc["used"].alias("used"), F.lit(True).alias("full"))).otherwise(F.struct(F.concat(acc["t"], F.array(x)).alias("t"), (acc["used"] + size).alias("used"), F.lit(False).alias("full")))
+
+    return F.aggregate(texts, zero, step, lambda acc: acc["t"])
+
+
+def sequential_texts(turns: DataFrame, replies: Callable[[Column, Column, Column], Column], short_ms: int = 350, k: int = 20) -> DataFrame:
+    """(…, new_text, path): the second pass in which later turns see earlier rewrites among their neighbours.
+
+    ``turns`` also has meeting_id and pos; ``replies`` gets the neighbours' texts as a third column. Neighbours are the
+    first ``k`` other turns of the meeting, so only its first k + 1 turns ever change what another turn sees: those are
+    folded in order, one small row per meeting, and all later turns are then judged at once against the final texts.
+    """
+    row = F.struct("pos", "text", "dur_ms", "overlap", "moss")
+    head = turns.where(F.col("pos") <= k).groupBy("meeting_id").agg(F.array_sort(F.collect_list(row)).alias("h"))
+
+    def judged(text: Column, x: Column, neighbors: Column) -> Column:
+        ok = (F.coalesce(text, F.lit("")) != "") & (x["dur_ms"] >= short_ms)
+        return _turn_decision(text, x["overlap"], F.when(ok, replies(_turn_hyps(text, x["moss"]), x["overlap"], neighbors)))
+
+    def step(acc: Column, i: Column) -> Column:
+        others = F.filter(F.transform(acc, lambda y, j: F.struct(y["text"].alias("t"), j.alias("j"))), lambda y: y["j"] != i)
+        done = judged(F.element_at(acc, i + 1)["text"], F.element_at(F.col("h"), i + 1), capped(F.transform(others, lambda y: y["t"]), k))
+        return F.transform(acc, lambda y, j: F.when(j == i, done).otherwise(y))
+
+    zero = F.transform("h", lambda x: F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("path")))
+    folded = head.withColumn("final", F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step))
+    near = folded.select("meeting_id", "final", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k).alias("near"))
+    t = turns.join(near, "meeting_id")
+    later = judged(F.col("text"), F.struct("dur_ms", "overlap", "moss"), F.col("near"))
+    done = F.when(F.col("pos") <= k, F.element_at(F.col("final"), F.col("pos").cast("int") + 1)).otherwise(later)
+    return t.withColumn("decided", done).withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("decided", "final", "near")
+
+
+#: Tokens whose spelling the offline polisher knows.
+SPELLINGS = (("wifi", "Wi-Fi"), ("WIFI", "Wi-Fi"), ("gpu", "GPU"), ("Gpu", "GPU"))
+
+
+def mock_polish(text: Column) -> Column:
+    """The offline polisher: edits that spell known tokens right."""
+    edit = lambda a, b: F.struct(F.lit(a).alias("span_asr"), F.lit(b).alias("span_out"), F.lit(None).cast("string").alias("tier"), F.lit("codeswitch").alias("kind"), F.lit(None).cast("string").alias("anchor"), F.lit("token is in the text").alias("evidence"), F.lit(None).cast("int").alias("start_char"))
+    edits = F.filter(F.array(*[edit(a, b) for a, b in SPELLINGS]).cast(EDIT), lambda e: text.contains(e["span_asr"]))
+    return F.struct(text.alias("text"), F.lit("draft").alias("base_model"), edits.alias("edits"), F.lit(False).alias("overlap")).cast(REPLY)
+
+
+def polish_texts(rows: DataFrame, replies: Callable[[Column], Column] = mock_polish) -> DataFrame:
+    """(…, new_text, path, located): polish of texts from a snapshot.
+
+    ``rows``: text, and the texts an edit may cite in cite_hyps, cite_neighbors and cite_hotwords. An invalid reply
+    leaves the text (fallback), one without edits but with another text is refused (empty_edits_reject).
+    """
+    r = rows.withColumn("reply", F.when(F.coalesce("text", F.lit("")) != "", replies(F.col("text"))))
+    err = polish_error(F.col("reply"), F.col("text"), F.col("cite_hyps"), F.col("cite_neighbors"), F.col("cite_hotwords"))
+    r = r.withColumn("err", F.when(F.col("reply").isNotNull(), err)).withColumn("located", F.when(F.col("err").isNull() & F.col("reply").isNotNull(), locate_polish(F.col("text"), F.col("reply.edits"))))
+    new = F.when(F.col("located").isNull(), F.col("text")).otherwise(apply_located(F.col("text"), F.col("located")))
     none = F.size(F.coalesce("reply.edits", F.array().cast(EDIT))) == 0
-    applied = apply_first(F.col("text"), F.col("reply.edits"))
-    path = (
-        F.when(F.col("reply").isNull(), None)
-        .when(F.col("err").isNotNull(), "fallback")
-        .when(F.col("overlap") & ~F.col("reply.base_model").isin("moss", "draft") & none, "moss_aware_reject")
-        .when(none & (F.col("reply.text") != F.col("text")), "empty_edits_reject")
-        .when(~none & (applied != F.col("text")), "llm")
-    )
-    return t.withColumn("path", path).withColumn("new_text", F.when(F.col("path") == "llm", applied).otherwise(F.col("text"))).drop("hyps", "reply", "err")
+    r = r.withColumn("new_text", new)
+    path = F.when(F.col("err").isNotNull(), "fallback").when(F.col("reply").isNotNull() & none & (F.col("reply.text") != F.col("text")), "empty_edits_reject").when(F.col("new_text") != F.col("text"), "llm")
+    return r.withColumn("path", path).drop("reply", "err")
 
 
 def restore_moss(turns: DataFrame) -> DataFrame:

@@ -265,6 +265,19 @@ def pass_b_mock(s: SparkSession, d: str) -> DataFrame:
     return passes.turn_texts(_pass_b_turns(s, d)).select("turn_id", "new_text", "path")
 
 
+def pass_b_sequential(s: SparkSession, d: str) -> DataFrame:
+    """(turn_id, new_text, path): the second pass in order of the turns."""
+    pos = turn_positions(s, d).join(valid_turns(s, d).select("turn_id", "meeting_id"), "turn_id")
+    return passes.sequential_texts(_pass_b_turns(s, d).join(pos, "turn_id"), lambda h, o, near: passes.mock_reply(h, o)).select("turn_id", "new_text", "path")
+
+
+def polish_mock(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, new_text, path): the merged grid polished."""
+    g = merged_grid(s, d).select("unit_key", "text").join(hyps.by_unit(current_hyps(s, d)), "unit_key", "left")
+    cite = F.array_join(F.transform("hyps", lambda h: F.coalesce(h["text"], F.lit(""))), " ")
+    return passes.polish_texts(g.withColumns({"cite_hyps": cite, "cite_neighbors": F.lit(""), "cite_hotwords": F.lit("")})).select("unit_key", "new_text", "path")
+
+
 def moss_restore(s: SparkSession, d: str) -> DataFrame:
     """(turn_id, new_text, restored)."""
     return passes.restore_moss(_pass_b_turns(s, d)).select("turn_id", "new_text", "restored")
@@ -319,7 +332,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
         eval_cer, cer_pairs, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
         neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
-        moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
+        pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
     ]
     return {f.__name__: f for f in plain} | {
         "discovery_pairs": lambda s, d: _sides(s, d)[0],

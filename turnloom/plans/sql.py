@@ -80,6 +80,7 @@ def oracle_sql() -> dict[str, str]:
         "pass_stats_a": f"""with {_U}, {_H}, {_PASS_A} select meeting_id, count(*) as n_units, count(*) filter (where skipped_llm) as skipped_llm, 0 as retries_total, 0 as fallback_to_best_hyp, 0 as fallback_judge_success,
             0.0::double as approx_retry_rate, false as suggest_raise_temperature from pa group by meeting_id""",
         "pass_b_mock": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
+        "pass_b_sequential": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
         "pass_stats_b": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select count(*) as n_audits, count(*) filter (where path = 'llm') as llm, 0 as fallback, 0 as moss_aware_reject,
             count(*) filter (where path = 'empty_edits_reject') as empty_edits_reject from pq where path is not null""",
         "moss_restore": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' then moss else text end as new_text,
