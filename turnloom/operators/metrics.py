@@ -9,6 +9,14 @@ from turnloom.functions.pinyin import encode_readings
 from turnloom.functions.text import normalize_for_cer
 
 
+BAND = 8  # edits within which the distance is first looked for
+
+
+def _edits(a: Column, b: Column) -> Column:
+    """Edit distance; equal texts, which are most, are not walked."""
+    return F.when(a == b, 0).otherwise(F.levenshtein(a, b))
+
+
 def _rate(edits: Column, n_ref: Column, n_hyp: Column) -> Column:
     return F.when((n_ref == 0) & (n_hyp == 0), 0.0).when(n_ref == 0, 1.0).otherwise(edits / n_ref)
 
@@ -16,23 +24,27 @@ def _rate(edits: Column, n_ref: Column, n_hyp: Column) -> Column:
 def error_rate(ref: Column, hyp: Column) -> Column:
     """Edits per reference character after normalisation; 0 if both are empty, 1 if only the reference is; may exceed 1."""
     r, h = normalize_for_cer(ref), normalize_for_cer(hyp)
-    return _rate(F.levenshtein(r, h), F.length(r), F.length(h))
+    return _rate(_edits(r, h), F.length(r), F.length(h))
 
 
 def reading_error_rate(ref: Column, hyp: Column) -> Column:
     """The same over syllables."""
     r, h = encode_readings(normalize_for_cer(ref)), encode_readings(normalize_for_cer(hyp))
-    return _rate(F.levenshtein(r, h), F.length(r), F.length(h))
+    return _rate(_edits(r, h), F.length(r), F.length(h))
 
 
 def cer_rows(pairs: DataFrame) -> DataFrame:
     """``pairs`` (ref, hyp) with n_ref, edits, cer, and cp_cer, the mean of character and syllable rate. Null counts as empty."""
     ref, hyp = F.coalesce("ref", F.lit("")), F.coalesce("hyp", F.lit(""))
     out = pairs.withColumns({"r": normalize_for_cer(ref), "h": normalize_for_cer(hyp)})
-    out = out.withColumns({"n_ref": F.length("r"), "edits": F.levenshtein("r", "h"), "pr": encode_readings(F.col("r")), "ph": encode_readings(F.col("h"))})
+    out = out.withColumns({"n_ref": F.length("r"), "pr": encode_readings(F.col("r")), "ph": encode_readings(F.col("h"))})
+    # most texts differ little: a banded distance first, the full one for those beyond the band
+    near = lambda a, b: F.when(F.col(a) == F.col(b), 0).otherwise(F.levenshtein(a, b, BAND))
+    out = out.withColumns({"e1": near("r", "h"), "e2": near("pr", "ph")})
+    out = out.withColumns({"edits": F.when(F.col("e1") >= 0, F.col("e1")).otherwise(F.levenshtein("r", "h")), "e2": F.when(F.col("e2") >= 0, F.col("e2")).otherwise(F.levenshtein("pr", "ph"))})
     cer = _rate(F.col("edits"), F.col("n_ref"), F.length("h"))
-    cp = _rate(F.levenshtein("pr", "ph"), F.length("pr"), F.length("ph"))
-    return out.withColumns({"cer": cer, "cp_cer": (cer + cp) / 2}).drop("r", "h", "pr", "ph")
+    cp = _rate(F.col("e2"), F.length("pr"), F.length("ph"))
+    return out.withColumns({"cer": cer, "cp_cer": (cer + cp) / 2}).drop("r", "h", "pr", "ph", "e1", "e2")
 
 
 def cer_report(rows: DataFrame, *by: str) -> DataFrame:

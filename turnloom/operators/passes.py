@@ -94,18 +94,31 @@ def _turn_hyps(text: Column, moss: Column) -> Column:
     return F.when(moss.isNull(), F.array(draft)).otherwise(F.array(F.struct(F.lit("moss").alias("model"), moss.alias("text")), draft))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _turn_decision(text: Column, overlap: Column, reply: Column) -> Column:
     """(text, path) after a reply of the second pass, of which only the edits are applied."""
-    none = F.size(F.coalesce(reply["edits"], F.array().cast(EDIT))) == 0
-    applied = apply_first(text, reply["edits"])
-    path = (
-        F.when(reply.isNull(), F.lit(None).cast("string"))
-        .when(pass_b_error(reply).isNotNull(), "fallback")
-        .when(overlap & ~reply["base_model"].isin("moss", "draft") & none, "moss_aware_reject")
-        .when(none & (reply["text"] != text), "empty_edits_reject")
-        .when(~none & (applied != text), "llm")
-    )
-    return F.struct(F.when(path == "llm", applied).otherwise(text).alias("text"), path.alias("path"))
+
+    def decide(r: Column) -> Column:
+        none = F.size(F.coalesce(r["edits"], F.array().cast(EDIT))) == 0
+        error = F.when(none, F.when(r["text"].isNull() | r["base_model"].isNull(), "missing text or base_model")).otherwise(pass_b_error(r))
+        return _let(
+            F.struct(error.alias("error"), F.when(none, text).otherwise(apply_first(text, r["edits"])).alias("applied")),
+            lambda x: F.struct(
+                F.when(r.isNotNull() & x["error"].isNull(), x["applied"]).otherwise(text).alias("text"),
+                F.when(r.isNull(), F.lit(None).cast("string"))
+                .when(x["error"].isNotNull(), "fallback")
+                .when(overlap & ~r["base_model"].isin("moss", "draft") & none, "moss_aware_reject")
+                .when(none & (r["text"] != text), "empty_edits_reject")
+                .when(~none & (x["applied"] != text), "llm")
+                .alias("path"),
+            ),
+        )
+
+    return _let(reply, decide)
 
 
 def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] = mock_reply, short_ms: int = 350) -> DataFrame:
@@ -153,12 +166,13 @@ def sequential_texts(turns: DataFrame, replies: Callable[[Column, Column, Column
         return F.transform(acc, lambda y, j: F.when(j == i, done).otherwise(y))
 
     zero = F.transform("h", lambda x: F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("path")))
-    folded = head.withColumn("final", F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step))
-    near = folded.select("meeting_id", "final", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k).alias("near"))
-    t = turns.join(near, "meeting_id")
-    later = judged(F.col("text"), F.struct("dur_ms", "overlap", "moss"), F.col("near"))
-    done = F.when(F.col("pos") <= k, F.element_at(F.col("final"), F.col("pos").cast("int") + 1)).otherwise(later)
-    return t.withColumn("decided", done).withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("decided", "final", "near")
+    folded = head.select("meeting_id", F.transform("h", lambda x: x["pos"]).alias("at"), F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step).alias("final"))
+    first = folded.select("meeting_id", F.explode(F.arrays_zip("at", "final")).alias("x")).select("meeting_id", F.col("x.at").alias("pos"), F.col("x.final").alias("decided"))
+    near = folded.select("meeting_id", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k).alias("near"))
+    begun = turns.where(F.col("pos") <= k).join(first, ["meeting_id", "pos"])
+    rest = turns.where(F.col("pos") > k).join(near, "meeting_id")
+    rest = rest.withColumn("decided", judged(F.col("text"), F.struct("dur_ms", "overlap", "moss"), F.col("near"))).drop("near")
+    return begun.unionByName(rest).withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("decided")
 
 
 #: Tokens whose spelling the offline polisher knows.
