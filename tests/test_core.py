@@ -62,10 +62,36 @@ def test_metrics(spark):
     rows = [("你好世界", "你好，世界。"), ("单框架", "单方接"), ("", "x"), ("", ""), (None, None), ("ab", "abcdefgh")]
     got = [round(r.cer, 6) for r in metrics.cer_rows(spark.createDataFrame(rows, "ref string, hyp string")).collect()]
     assert got == [0.0, 0.666667, 1.0, 0.0, 0.0, 3.0]
+    cp = metrics.cer_rows(spark.createDataFrame([("帐号", "账号")], "ref string, hyp string"), readings=True).first()
+    assert (cp.cer, cp.cp_cer) == (0.5, 0.25)
     rep = metrics.cer_report(metrics.cer_rows(spark.createDataFrame(rows[:2], "ref string, hyp string"))).first()
     assert (rep.n, rep.corpus_cer) == (2, round(2 / 7, 9))
 
 
+def test_edits_equal_a_plain_matrix(spark):
+    rnd = random.Random(9)
+    rows = []
+    for _ in range(150):
+        a = [rnd.choice("一二三四abc，。 ") for _ in range(rnd.randint(0, 40))]
+        b = list(a)
+        for _ in range(rnd.randint(0, 14)):
+            k = rnd.randint(0, len(b))
+            b[k : k + rnd.randint(0, 2)] = [rnd.choice("一二五x")] * rnd.randint(0, 2)
+        rows.append(("".join(a), "".join(b)))
+
+    def plain(a, b):
+        a, b = ([c for c in x if c not in "，。 "] for x in (a, b))
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+        return row[-1]
+
+    got = metrics.cer_rows(spark.createDataFrame(rows, "ref string, hyp string")).collect()
+    assert [r.edits for r in got] == [plain(r.ref, r.hyp) for r in got]
+
+
 @pytest.mark.parametrize(("a", "b", "d"), [("产用", "采用", 1), ("单框架", "单方接", 2), ("奔至", "蹦字", 2), ("帐号", "账号", 0), ("爱情", "娃娃亲", 3), ("abc", "abd", 1), ("", "", 0)])
 def test_readings(spark, a, b, d):
     df = spark.createDataFrame([(a, b)], "a string, b string")

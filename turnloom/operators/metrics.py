@@ -33,23 +33,29 @@ def reading_error_rate(ref: Column, hyp: Column) -> Column:
     return _rate(_edits(r, h), F.length(r), F.length(h))
 
 
-def cer_rows(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (ref, hyp) with n_ref, edits, cer, and cp_cer, the mean of character and syllable rate. Null counts as empty."""
+def _distances(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``df`` with the edit distance of two columns. Most texts differ little: a banded distance first, the full one beyond the band."""
+    df = df.withColumn("__near", F.when(F.col(a) == F.col(b), 0).otherwise(F.levenshtein(a, b, BAND)))
+    return df.withColumn(name, F.when(F.col("__near") >= 0, F.col("__near")).otherwise(F.levenshtein(a, b))).drop("__near")
+
+
+def cer_rows(pairs: DataFrame, readings: bool = False) -> DataFrame:
+    """``pairs`` (ref, hyp) with n_ref, edits and cer; with ``readings`` also cp_cer, the mean of character and syllable rate.
+
+    Null counts as empty.
+    """
     ref, hyp = F.coalesce("ref", F.lit("")), F.coalesce("hyp", F.lit(""))
-    out = pairs.withColumns({"r": normalize_for_cer(ref), "h": normalize_for_cer(hyp)})
-    out = out.withColumns({"n_ref": F.length("r"), "pr": encode_readings(F.col("r")), "ph": encode_readings(F.col("h"))})
-    # most texts differ little: a banded distance first, the full one for those beyond the band
-    near = lambda a, b: F.when(F.col(a) == F.col(b), 0).otherwise(F.levenshtein(a, b, BAND))
-    out = out.withColumns({"e1": near("r", "h"), "e2": near("pr", "ph")})
-    out = out.withColumns({"edits": F.when(F.col("e1") >= 0, F.col("e1")).otherwise(F.levenshtein("r", "h")), "e2": F.when(F.col("e2") >= 0, F.col("e2")).otherwise(F.levenshtein("pr", "ph"))})
-    cer = _rate(F.col("edits"), F.col("n_ref"), F.length("h"))
-    cp = _rate(F.col("e2"), F.length("pr"), F.length("ph"))
-    return out.withColumns({"cer": cer, "cp_cer": (cer + cp) / 2}).drop("r", "h", "pr", "ph", "e1", "e2")
+    out = pairs.withColumns({"__r": normalize_for_cer(ref), "__h": normalize_for_cer(hyp)}).withColumn("n_ref", F.length("__r"))
+    out = _distances(out, "__r", "__h", "edits")
+    out = out.withColumn("cer", _rate(F.col("edits"), F.col("n_ref"), F.length("__h")))
+    if readings:
+        out = _distances(out.withColumns({"__pr": encode_readings(F.col("__r")), "__ph": encode_readings(F.col("__h"))}), "__pr", "__ph", "__pe")
+        out = out.withColumn("cp_cer", (F.col("cer") + _rate(F.col("__pe"), F.length("__pr"), F.length("__ph"))) / 2).drop("__pr", "__ph", "__pe")
+    return out.drop("__r", "__h")
 
 
 def cer_report(rows: DataFrame, *by: str) -> DataFrame:
-    """(by, n, mean_cer, mean_cp_cer, corpus_cer): empty references count in the means, not in the corpus rate."""
-    return rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.avg("cer"), F.lit(0.0)), 9).alias("mean_cer"), F.round(F.coalesce(F.avg("cp_cer"), F.lit(0.0)), 9).alias("mean_cp_cer"),
-        F.round(F.coalesce(F.sum(F.when(F.col("n_ref") > 0, F.col("edits"))) / F.sum("n_ref"), F.lit(0.0)), 9).alias("corpus_cer"),
-    )
+    """(by, n, mean_cer, corpus_cer) and mean_cp_cer where rows have it; empty references count in the means, not in the corpus rate."""
+    mean = lambda c: F.round(F.coalesce(F.avg(c), F.lit(0.0)), 9).alias("mean_" + c)
+    corpus = F.round(F.coalesce(F.sum(F.when(F.col("n_ref") > 0, F.col("edits"))) / F.sum("n_ref"), F.lit(0.0)), 9).alias("corpus_cer")
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), mean("cer"), *([mean("cp_cer")] if "cp_cer" in rows.columns else []), corpus)

@@ -78,14 +78,14 @@ def alias_array(aliases: DataFrame) -> DataFrame:
 def rewrite_aliases(texts: DataFrame, aliases: DataFrame, text: str = "text", most: int = 100_000) -> DataFrame:
     """``texts`` with ``new_text`` and ``hits``: every alias replaced by its canon, in list order, chained.
 
-    The aliases are one broadcast array, refused beyond ``most`` of them.
+    The aliases are one array from a scalar subquery, refused beyond ``most`` of them.
     """
     n = aliases.count()
     if n > most:
         raise ValueError(f"{n} aliases; the list of hotwords is meant to be small")
     zero = F.struct(F.coalesce(F.col(text), F.lit("")).alias("t"), F.array().cast("array<struct<alt:string,canon:string>>").alias("h"))
     step = lambda acc, a: F.when(acc["t"].contains(a["alt"]), F.struct(F.replace(acc["t"], a["alt"], a["canon"]).alias("t"), F.concat(acc["h"], F.array(F.struct(a["alt"], a["canon"]))).alias("h"))).otherwise(acc)
-    return texts.crossJoin(F.broadcast(alias_array(aliases))).withColumn("r", F.aggregate("aliases", zero, step)).withColumns({"new_text": F.col("r.t"), "hits": F.col("r.h")}).drop("aliases", "r")
+    return texts.withColumn("aliases", alias_array(aliases).scalar()).withColumn("r", F.aggregate("aliases", zero, step)).withColumns({"new_text": F.col("r.t"), "hits": F.col("r.h")}).drop("aliases", "r")
 
 
 def _turn_hyps(text: Column, moss: Column) -> Column:

@@ -142,22 +142,32 @@ def cache_misses(s: SparkSession, d: str) -> DataFrame:
     return hyps.cache_misses(model_gate(s, d), current_hyps(s, d))
 
 
-def _cer_pairs(s: SparkSession, d: str) -> DataFrame:
+def _cer_pairs(s: SparkSession, d: str, readings: bool = False) -> DataFrame:
     """Each hypothesis against the joined texts of its unit's turns."""
     ref = _members(s, d).select("unit_key", textgrid.join_texts(F.transform("members", lambda t: t["text"])).alias("ref"))
-    return metrics.cer_rows(current_hyps(s, d).withColumnRenamed("text", "hyp").join(ref, "unit_key"))
+    return metrics.cer_rows(current_hyps(s, d).withColumnRenamed("text", "hyp").join(ref, "unit_key"), readings)
 
 
 def cer_pairs(s: SparkSession, d: str) -> DataFrame:
-    """(unit_key, model, n_ref, edits, cer, cp_cer)."""
-    return _cer_pairs(s, d).select("unit_key", "model", "n_ref", "edits", F.round("cer", 9).alias("cer"), F.round("cp_cer", 9).alias("cp_cer"))
+    """(unit_key, model, n_ref, edits, cer)."""
+    return _cer_pairs(s, d).select("unit_key", "model", "n_ref", "edits", F.round("cer", 9).alias("cer"))
+
+
+def cp_cer(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, model, cp_cer)."""
+    return _cer_pairs(s, d, readings=True).select("unit_key", "model", F.round("cp_cer", 9).alias("cp_cer"))
 
 
 def eval_cer(s: SparkSession, d: str) -> DataFrame:
-    """(model, n, mean_cer, mean_cp_cer, corpus_cer)."""
+    """(model, n, mean_cer, corpus_cer)."""
     return metrics.cer_report(_cer_pairs(s, d), "model")
 
 
+def eval_cp_cer(s: SparkSession, d: str) -> DataFrame:
+    """(model, n, mean_cer, mean_cp_cer, corpus_cer)."""
+    return metrics.cer_report(_cer_pairs(s, d, readings=True), "model")
+
+
 def neighbors_nearest(s: SparkSession, d: str) -> DataFrame:
     """(unit_key, rank, turn_index, dist_ms2)."""
     return context.nearest_turns(_unit_spans(s, d), valid_turns(s, d, "text"))
@@ -330,7 +340,7 @@ def _p6(s: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
     plain = [
-        eval_cer, cer_pairs, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
+        eval_cer, eval_cp_cer, cer_pairs, cp_cer, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
         neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
         pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
     ]
