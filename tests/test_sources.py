@@ -5,24 +5,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnloom.inference import api_base, run_model
-from turnloom.sources import audio, hotwords, modec
+from turnloom.sources import audio, hotwords, meetings
 from turnloom.streaming.sessions import speaker_sessions
 
 
 def test_meeting_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"meta": {}, "turns": [{"start": 0, "end": 1.5, "speaker_id": "s", "text": "好"}, 7, {"start": 2, "end": 3, "speaker_id": "t"}]}), encoding="utf-8")
     (tmp_path / "b.json").write_text(json.dumps([{"start": 0, "end": 1, "speaker_id": "s", "text": "x", "confidence": 0.5}]), encoding="utf-8")
-    t = modec.turns_of(modec.read_documents(spark, str(tmp_path)), F.regexp_extract("path", r"([^/]+)\.json$", 1))
+    t = meetings.turns_of(meetings.read_documents(spark, str(tmp_path)), F.regexp_extract("path", r"([^/]+)\.json$", 1))
     got = {(r.meeting_id, r.turn_index): (r.end_s, r.text, r.source, r.confidence) for r in t.collect()}
     assert got == {("a", 0): (1.5, "好", "fused", 1.0), ("a", 1): (3.0, "", "fused", 1.0), ("b", 0): (1.0, "x", "fused", 0.5)}
-    modec.write_meetings(t, "final", str(tmp_path / "out"))
+    meetings.write_meetings(t, "final", str(tmp_path / "out"))
     assert json.loads(spark.read.text(str(tmp_path / "out")).where("meeting_id = 'b'").first().value)["turns"][0]["text"] == "x"
 
 
 def test_other_roots_are_refused(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"turns": 3}')
     with pytest.raises(Exception, match="not a turns document"):
-        modec.turns_of(modec.read_documents(spark, str(tmp_path)), F.col("path")).collect()
+        meetings.turns_of(meetings.read_documents(spark, str(tmp_path)), F.col("path")).collect()
 
 
 @pytest.mark.parametrize("content", ["# c\n 甲|乙\n\n丙\n甲|乙\n", '["甲|乙", " ", "丙", "甲|乙"]', '{"hotwords": ["甲|乙", "#x", "丙"]}', '{"words": ["甲|乙", "丙"]}'])
@@ -49,8 +49,8 @@ def test_audio_roundtrip_and_split(spark):
 
 def test_audit_partitions_are_replaced(spark, tmp_path):
     p = str(tmp_path / "audits")
-    modec.replace_audits(spark.createDataFrame([("A", 1), ("B", 2)], "pass string, x int"), p)
-    modec.replace_audits(spark.createDataFrame([("B", 3)], "pass string, x int"), p)
+    meetings.replace_audits(spark.createDataFrame([("A", 1), ("B", 2)], "pass string, x int"), p)
+    meetings.replace_audits(spark.createDataFrame([("B", 3)], "pass string, x int"), p)
     assert sorted((r["pass"], r.x) for r in spark.read.json(p).collect()) == [("A", 1), ("B", 3)]
 
 

@@ -1,4 +1,4 @@
-"""Run a query and write its result: python -m turnloom QUERY TABLES OUT [--format parquet|json|csv]."""
+"""Run a query and write its result, or run the pipeline: python -m turnloom QUERY|pipeline TABLES OUT [--format parquet|json|csv] [--stage STAGE]."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from turnloom.plans import pipeline
 from turnloom.plans.queries import queries
 from turnloom.session import ship
 
@@ -13,13 +14,17 @@ from turnloom.session import ship
 def main(argv: list[str] | None = None) -> int:
     """Parse arguments, run, write."""
     p = argparse.ArgumentParser(prog="turnloom")
-    p.add_argument("query", choices=sorted(queries()))
+    p.add_argument("query", choices=[*sorted(queries()), "pipeline"])
     p.add_argument("tables")
     p.add_argument("out")
     p.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"])
+    p.add_argument("--stage", default="all", choices=["all", *pipeline.STAGES])
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("turnloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     ship(spark)
+    if a.query == "pipeline":
+        pipeline.run(spark, a.tables, a.out, a.stage)
+        return 0
     queries()[a.query](spark, a.tables).write.mode("overwrite").format(a.format).save(a.out)
     return 0
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from turnloom.functions.pinyin import reading_distance, readings_equal
 from turnloom.functions.text import py_strip
 
-# Tiers, anchors and kinds of edits, and their limits.
+# Tiers, anchors and kinds of edits, and their limits; the texts of the errors below are fixed as well.
 TIERS = ("A", "B", "C", "punct")
 ANCHORS = ("hyp", "neighbor_draft", "meeting_draft", "hotword")
 KINDS = ("punc", "entity", "codeswitch")
