@@ -28,6 +28,8 @@ from turnloom.session import checkpointed
 
 ROUNDS = 8
 RIDGE = 1.0  # weight of the squared norm of the classifier's weights
+EMPTY_RIDGE = 0.02  # further weight on the feature of empty variants, for each vote
+POOL = 2.0  # how far the two rows of a confusion matrix are drawn together, in votes for each vote
 FEATURE_SPAN = 3.5  # doublings by which a variant can at most be rarer than the commonest of its slot
 CONFUSIONS = 12.0  # wrong variants a model could have said instead
 _PLAIN = re.compile(r"[\x00-\x7e　-〿一-鿿！-／：-＠［-｀｛-～‘’“”…—·]*\Z")
@@ -348,9 +350,14 @@ def fit(table: DataFrame, n_models: int, rounds: int = ROUNDS) -> Params:
         kept, swap = s[: 4 * m].reshape(m, 4), s[4 * m : 5 * m]
         both, equal = s[5 * m : 5 * m + m * m].reshape(m, m), s[5 * m + m * m : 5 * m + 2 * m * m].reshape(m, m)
         grad, hess = s[5 * m + 2 * m * m :][:FEATURES], s[5 * m + 2 * m * m + FEATURES :].reshape(FEATURES, FEATURES)
-        p.kept = np.clip(np.stack([(kept[:, 0] + 8.5) / (kept[:, 1] + 10), (kept[:, 2] + 8.5) / (kept[:, 3] + 10)], 1), 0.02, 0.995)
+        # both kinds of truth are drawn to the model's own accuracy: else a model that seldom adds words can make its
+        # additions true by itself, and the others' silence a loss
+        own = (kept[:, 0] + kept[:, 2] + 8.5) / (kept[:, 1] + kept[:, 3] + 10)
+        weight = POOL * (kept[:, 1] + kept[:, 3])
+        p.kept = np.clip(np.stack([(kept[:, 0] + weight * own + 8.5) / (kept[:, 1] + weight + 10), (kept[:, 2] + weight * own + 8.5) / (kept[:, 3] + weight + 10)], 1), 0.02, 0.995)
         p.swap = np.clip((swap + 3) / (np.maximum(0.0, kept[:, 1] - kept[:, 0]) + 5), 0.05, 0.95)
-        p.w = p.w + np.linalg.solve(hess + RIDGE * np.eye(FEATURES), grad - RIDGE * p.w)
+        ridge = np.array([RIDGE + EMPTY_RIDGE * kept[:, 1::2].sum(), RIDGE, RIDGE])  # being empty alone says little
+        p.w = p.w + np.linalg.solve(hess + np.diag(ridge), grad - ridge * p.w)
         share = np.where(both > 5, equal / np.maximum(both, 1e-9), 0.0)
         p.copy_of, p.rho = np.full(m, -1), np.zeros(m)
         base = np.median(share[share > 0]) if (share > 0).any() else 0.0
