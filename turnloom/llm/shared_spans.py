@@ -31,6 +31,7 @@ _POS_BITS = 27  # positions within a block of texts
 BLOCK = 1 << 20  # characters hashed at a time, unless one text is longer
 #: Rows of the flagged table up to which its ids are broadcast to the documents; beyond, both sides are shuffled.
 BROADCAST_ROWS = 200_000
+EXPAND = 1000  # copies of one text up to which a class is expanded into pairs
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -233,8 +234,37 @@ def shared_share(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> D
     return sizes.join(covered, "doc_id", "left").select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.round(F.coalesce("shared_chars", F.lit(0)) / F.col("n_chars"), 6).alias("share"))
 
 
+def copy_classes(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """(doc_id, class_id, n): documents of at least ``span`` characters that are exact copies of another; class_id is the least of their ids.
+
+    Copies agree in 128 bits of hashes and in length. Ids and hashes are shuffled, texts aren't.
+    """
+    h = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.reverse("text"), F.lit(1)).alias("h2"), F.length("text").alias("n_chars"))
+    keys = ["h1", "h2", "n_chars"]
+    classes = h.groupBy(*keys).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return h.join(classes, keys).select("doc_id", "class_id", "n")
+
+
 def found_shared(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: the pairs of documents that share a stretch of at least ``span`` characters."""
-    g = groups(docs.select("doc_id", "text"), span)
+    """(doc_a, doc_b), doc_a < doc_b: the pairs of documents that share a stretch of at least ``span`` characters.
+
+    Exact copies are searched once, by their representative, and put back afterwards. Classes of up to ``EXPAND``
+    copies are expanded into all pairs; a larger class is linked to its representative only, which alone stands for it
+    in pairs with other texts (``copy_classes`` has its members), so that a third of all rows being one text doesn't
+    give pairs by the square. Links between different texts are never lost.
+    """
+    docs = docs.select("doc_id", "text")
+    members = checkpointed(copy_classes(docs, span))
+    doubles = members.where("doc_id <> class_id").select("doc_id")
+    few = doubles.count() <= BROADCAST_ROWS
+    g = groups(docs.join(F.broadcast(doubles) if few else doubles, "doc_id", "left_anti"), span)
     a, b = g.select("grp", F.col("doc_id").alias("doc_a")), g.select("grp", F.col("doc_id").alias("doc_b"))
-    return a.join(b, "grp").where("doc_a < doc_b").select("doc_a", "doc_b").distinct()
+    pairs = a.join(b, "grp").where("doc_a < doc_b").select("doc_a", "doc_b").distinct()
+    small = members.where(F.col("n") <= EXPAND).select("doc_id", "class_id")
+    for side in ("doc_a", "doc_b"):
+        copies = small.select(F.col("class_id").alias(side), F.col("doc_id").alias("copy"))
+        pairs = pairs.join(copies, side, "left").withColumn(side, F.coalesce("copy", side)).drop("copy")
+    own = small.select("class_id", F.col("doc_id").alias("doc_a")).join(small.select("class_id", F.col("doc_id").alias("doc_b")), "class_id").where("doc_a < doc_b")
+    star = members.where((F.col("n") > EXPAND) & (F.col("doc_id") != F.col("class_id"))).select(F.col("class_id").alias("doc_a"), F.col("doc_id").alias("doc_b"))
+    pairs = pairs.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
+    return pairs.unionByName(own.select("doc_a", "doc_b")).unionByName(star)
