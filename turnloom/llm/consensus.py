@@ -19,6 +19,7 @@ from difflib import SequenceMatcher
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,7 +141,10 @@ def _lists(values: pa.Array, sizes: list[int]) -> pa.ListArray:
 
 
 def _unit_rows(units: DataFrame, models: list[str]) -> DataFrame:
-    """(unit_key, pivot, models, variants): aligned units, with the n-gram keys of each variant in its context."""
+    """(unit_key, pivot, models, variants): aligned units, with the n-gram keys of each variant in its context.
+
+    The pivot's words are kept as one string with spaces, which takes a quarter of an array's room in a checkpoint.
+    """
     number = {m: i for i, m in enumerate(models)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +153,7 @@ def _unit_rows(units: DataFrame, models: list[str]) -> DataFrame:
             keys, names, texts = batch.column(0), batch.column(1), batch.column(2)
             cuts = names.offsets.to_pylist()
             who, said = names.values.to_pylist(), texts.values.to_pylist()
-            pivots: list[list[str]] = []
+            pivots: list[str] = []
             spoke: list[list[int]] = []
             n_var: list[int] = []
             rows: list[tuple] = []
@@ -173,7 +177,7 @@ def _unit_rows(units: DataFrame, models: list[str]) -> DataFrame:
                         words += left
                         words += v
                         words += right
-                pivots.append(pivot)
+                pivots.append(" ".join(pivot))
                 spoke.append(sorted(heard))
                 n_var.append(len(rows) - before)
             slot, at, end, text, empty, mine, voters, begin, size = (list(x) for x in zip(*rows)) if rows else ([] for _ in range(9))
@@ -191,9 +195,9 @@ def _unit_rows(units: DataFrame, models: list[str]) -> DataFrame:
                 _lists(flat(voters, pa.int32()), [len(x) for x in voters]), _lists(pa.array(two), (size + 1).tolist()), _lists(pa.array(three), (size + 2).tolist()),
             ]
             variants = pa.StructArray.from_arrays(fields, ["slot", "a", "b", "v", "empty", "own", "voters", "g2", "g3"])
-            yield pa.RecordBatch.from_arrays([keys, _lists(flat(pivots, pa.string()), [len(x) for x in pivots]), _lists(flat(spoke, pa.int32()), [len(x) for x in spoke]), _lists(variants, n_var)], ["unit_key", "pivot", "models", "variants"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(pivots, pa.string()), _lists(flat(spoke, pa.int32()), [len(x) for x in spoke]), _lists(variants, n_var)], ["unit_key", "pivot", "models", "variants"])
 
-    return units.mapInArrow(run, f"unit_key bigint, pivot array<string>, models array<int>, variants {_VARIANT}")
+    return units.mapInArrow(run, f"unit_key bigint, pivot string, models array<int>, variants {_VARIANT}")
 
 
 def _gram_counts(aligned: DataFrame) -> DataFrame:
@@ -202,11 +206,11 @@ def _gram_counts(aligned: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pivots = batch.column(0)
+            pivots = pc.split_pattern(pivots.filter(pc.not_equal(pivots, "")), " ")
+            if not len(pivots):
+                continue
             words = pivots.flatten().dictionary_encode()
             sizes = np.diff(pivots.offsets.to_numpy())
-            sizes = sizes[sizes > 0]
-            if not len(sizes):
-                continue
             h = _hashes(words.dictionary.to_pylist())[words.indices.to_numpy()]
             begin, end = _hashes(["^", "$"])
             line = np.empty(len(h) + 4 * len(sizes), np.uint64)
@@ -428,7 +432,7 @@ def consensus_wordings(hyps: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for u, pivot, models, variants, chosen, wrong, sure in zip(pdf["unit_key"].tolist(), pdf["pivot"], pdf["models"], pdf["variants"], pdf["chosen"], pdf["wrong"], pdf["sure"]):
-                words = list(pivot)
+                words = pivot.split()
                 pick = {x["slot"]: x["v"] for x in chosen} if chosen is not None else {}
                 span = {x["slot"]: (x["a"], x["b"]) for x in variants}
                 for s in sorted(pick, reverse=True):
