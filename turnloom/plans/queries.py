@@ -109,9 +109,10 @@ def unit_short_skip(s: SparkSession, d: str) -> DataFrame:
 
 
 def hyp_upsert(s: SparkSession, d: str) -> DataFrame:
-    """Rows of the first three models as the stored ones, all rows of late decodes as the new ones."""
+    """(unit_key, model, text, is_new): late decodes of all models as the new rows, all others (also those without a time) as the stored ones."""
     h = read_table(s, d, "hyps").select("unit_key", "model", "text", "loaded_at")
-    return hyps.upsert(h.where(F.col("model").isin("firered", "moss", "qwen")), h.where(F.col("loaded_at") >= "2025-02-01"))
+    late = F.coalesce(F.col("loaded_at") >= "2025-02-01", F.lit(False))
+    return hyps.upsert(h.where(~late), h.where(late))
 
 
 def agreement_gate(s: SparkSession, d: str) -> DataFrame:
