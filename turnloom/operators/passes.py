@@ -6,14 +6,16 @@ column expression, so that every plan can be checked offline. Passes read a snap
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.functions.pinyin import reading_distance
 from turnloom.operators.hyps import all_agree, best_hyp
 from turnloom.operators.validators import EDIT, REPLY, apply_first, apply_located, locate_polish, pass_a_error, pass_b_error, polish_error
+from turnloom.session import checkpointed
 
 #: The wrong and right spans the offline judge knows, with tier and anchor.
 KNOWN = (("产用", "采用", "C", "hyp"), ("单方接", "单框架", "C", "hotword"), ("帐号", "账号", "B", "hyp"))
@@ -186,14 +188,46 @@ def mock_polish(text: Column) -> Column:
     return F.struct(text.alias("text"), F.lit("draft").alias("base_model"), edits.alias("edits"), F.lit(False).alias("overlap")).cast(REPLY)
 
 
-def polish_texts(rows: DataFrame, replies: Callable[[Column], Column] = mock_polish) -> DataFrame:
+def with_citations(grid: DataFrame, hyps: DataFrame, hotwords: DataFrame, k: int = 20) -> DataFrame:
+    """``grid`` with the texts an edit may cite, joined by spaces, in cite_hyps, cite_neighbors and cite_hotwords.
+
+    ``grid``: unit_key, meeting_id, unit_id, text; ``hyps``: unit_key, hyps; ``hotwords``: pos, term. Neighbours are the
+    first ``k`` other rows of the meeting within the budget, in order of unit_id's number. Only the first k + 1 rows can
+    be anyone's neighbours: they are the small side, and all later rows of a meeting share one text.
+    """
+    grid = checkpointed(grid)
+    order = Window.partitionBy("meeting_id").orderBy(F.length("unit_id").asc_nulls_last(), "unit_id", "unit_key")
+    head = grid.where("meeting_id is not null").withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
+    head = head.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("at", "unit_key", F.coalesce("text", F.lit("")).alias("text")))).alias("head"))
+    blob = lambda rows: F.array_join(capped(F.transform(rows, lambda x: x["text"]), k), " ")
+    own = head.select(F.explode(F.transform("head", lambda x: F.struct(x["unit_key"].alias("unit_key"), blob(F.filter("head", lambda y: y["at"] != x["at"])).alias("own")))).alias("x")).select("x.unit_key", "x.own")
+    # The join on the meeting comes last, so that the text shared by its rows is in no shuffle of rows.
+    rows = grid.join(hyps, "unit_key", "left").join(own, "unit_key", "left").join(head.select("meeting_id", blob(F.col("head")).alias("shared")), "meeting_id", "left")
+    terms = F.array_sort(F.collect_list(F.struct("pos", "term")))
+    cite_hotwords = hotwords.agg(F.array_join(F.transform(terms, lambda x: x["term"]), " ")).scalar()
+    cite_hyps = F.coalesce(F.array_join(F.transform("hyps", lambda h: F.coalesce(h["text"], F.lit(""))), " "), F.lit(""))
+    return rows.withColumns({"cite_hyps": cite_hyps, "cite_neighbors": F.coalesce("own", "shared", F.lit("")), "cite_hotwords": cite_hotwords}).drop("own", "shared")
+
+
+def _asked(replies: Callable[..., Column], text: Column, *cited: Column) -> Column:
+    """The reply to a text, with the texts it may cite where the judge takes them."""
+    try:
+        inspect.signature(replies).bind(text, *cited)
+    except TypeError:
+        return replies(text)
+    return replies(text, *cited)
+
+
+def polish_texts(rows: DataFrame, replies: Callable[..., Column] = mock_polish) -> DataFrame:
     """(…, new_text, path, located): polish of texts from a snapshot.
 
-    ``rows``: text, and the texts an edit may cite in cite_hyps, cite_neighbors and cite_hotwords. An invalid reply
-    leaves the text (fallback), one without edits but with another text is refused (empty_edits_reject).
+    ``rows``: text, and the texts an edit may cite in cite_hyps, cite_neighbors and cite_hotwords. ``replies`` gets the
+    text, and if it takes four columns those three as well. An invalid reply leaves the text (fallback), one without
+    edits but with another text is refused (empty_edits_reject).
     """
-    r = rows.withColumn("reply", F.when(F.coalesce("text", F.lit("")) != "", replies(F.col("text"))))
-    err = polish_error(F.col("reply"), F.col("text"), F.col("cite_hyps"), F.col("cite_neighbors"), F.col("cite_hotwords"))
+    cited = [F.col(c) for c in ("cite_hyps", "cite_neighbors", "cite_hotwords")]
+    r = rows.withColumn("reply", F.when(F.coalesce("text", F.lit("")) != "", _asked(replies, F.col("text"), *cited)))
+    err = polish_error(F.col("reply"), F.col("text"), *cited)
     r = r.withColumn("err", F.when(F.col("reply").isNotNull(), err)).withColumn("located", F.when(F.col("err").isNull() & F.col("reply").isNotNull(), locate_polish(F.col("text"), F.col("reply.edits"))))
     new = F.when(F.col("located").isNull(), F.col("text")).otherwise(apply_located(F.col("text"), F.col("located")))
     none = F.size(F.coalesce("reply.edits", F.array().cast(EDIT))) == 0

@@ -74,12 +74,10 @@ def pass_b(spark: SparkSession, tables: str, work: str, replies: Callable[[Colum
     replace_audits(audits.select(F.lit("B").alias("pass"), "path", "turn_id"), f"{work}/audits")
 
 
-def polish(spark: SparkSession, tables: str, work: str, replies: Callable[[Column], Column] = passes.mock_polish) -> None:
-    """The merged grid of the final texts, polished."""
+def polish(spark: SparkSession, tables: str, work: str, replies: Callable[..., Column] = passes.mock_polish) -> None:
+    """The merged grid of the final texts, polished; a judge of four columns also gets hypotheses, neighbours and hotwords."""
     grid = textgrid.merged_grid(q.current_units(spark, tables, ["meeting_id", "turn_indices"]), spark.read.parquet(f"{work}/final"))
-    rows = grid.join(hyps.by_unit(spark.read.parquet(f"{work}/hyps")), "unit_key", "left")
-    cite = F.array_join(F.transform("hyps", lambda h: F.coalesce(h["text"], F.lit(""))), " ")
-    done = passes.polish_texts(rows.withColumns({"cite_hyps": cite, "cite_neighbors": F.lit(""), "cite_hotwords": F.lit("")}), replies)
+    done = passes.polish_texts(q._cited(spark, tables, grid, spark.read.parquet(f"{work}/hyps")), replies)
     done.select("unit_key", F.col("new_text").alias("text"), "path", "located").write.mode("overwrite").parquet(f"{work}/polished")
     done = spark.read.parquet(f"{work}/polished").where("path is not null")
     replace_audits(done.select(F.lit("polish").alias("pass"), "path", "unit_key"), f"{work}/audits")

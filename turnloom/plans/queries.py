@@ -282,11 +282,15 @@ def pass_b_sequential(s: SparkSession, d: str) -> DataFrame:
     return passes.sequential_texts(_pass_b_turns(s, d).join(pos, "turn_id"), lambda h, o, near: passes.mock_reply(h, o)).select("turn_id", "new_text", "path")
 
 
+def _cited(s: SparkSession, d: str, grid: DataFrame, h: DataFrame) -> DataFrame:
+    """The texts of a merged grid with what their polish may cite; ``h``: unit_key, model, text."""
+    owner = current_units(s, d, ["meeting_id", "unit_id"])
+    return passes.with_citations(grid.select("unit_key", "text").join(owner, "unit_key"), hyps.by_unit(h), hotword_load(s, d))
+
+
 def polish_mock(s: SparkSession, d: str) -> DataFrame:
     """(unit_key, new_text, path): the merged grid polished."""
-    g = merged_grid(s, d).select("unit_key", "text").join(hyps.by_unit(current_hyps(s, d)), "unit_key", "left")
-    cite = F.array_join(F.transform("hyps", lambda h: F.coalesce(h["text"], F.lit(""))), " ")
-    return passes.polish_texts(g.withColumns({"cite_hyps": cite, "cite_neighbors": F.lit(""), "cite_hotwords": F.lit("")})).select("unit_key", "new_text", "path")
+    return passes.polish_texts(_cited(s, d, merged_grid(s, d), current_hyps(s, d))).select("unit_key", "new_text", "path")
 
 
 def moss_restore(s: SparkSession, d: str) -> DataFrame:
