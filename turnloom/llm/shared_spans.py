@@ -117,8 +117,22 @@ def _blocks(ids: list, texts: list[str], least: int) -> Iterator[tuple[list, lis
         yield a, b
 
 
+def unrepeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): ``docs`` with each row once. Ids are shuffled, and texts only of ids that stand in several rows."""
+    docs = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    twice = checkpointed(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    n = twice.count()
+    if not n:
+        return docs
+    twice = F.broadcast(twice) if n <= BROADCAST_ROWS else twice
+    return docs.join(twice, "doc_id", "left_anti").unionByName(docs.join(twice, "doc_id", "left_semi").distinct())
+
+
 def edges(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFrame:
-    """(h, doc_id, pos, len, prev, next): the edges of each text of at least ``span`` characters; prev and next are the neighbours' hashes, 0 at the ends."""
+    """(h, doc_id, pos, len, prev, next): the edges of each text of at least ``span`` characters; prev and next are the neighbours' hashes, 0 at the ends.
+
+    A row that stands twice counts once; a doc_id must not have different texts.
+    """
     if 2 * w + k > span + 1:
         raise ValueError("2 w + k must not exceed span + 1")
 
@@ -139,7 +153,7 @@ def edges(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFram
                 nxt[:-1][chain] = short[1:][chain]
                 yield pd.DataFrame({"h": label, "doc_id": np.asarray(ids, np.int64)[d], "pos": (a - h.begins[d]).astype(np.int32), "len": (b - a).astype(np.int32), "prev": prev, "next": nxt})
 
-    return docs.where(F.col("doc_id").isNotNull()).where(F.length("text") >= span).select("doc_id", "text").mapInPandas(run, "h bigint, doc_id bigint, pos int, len int, prev int, next int")
+    return unrepeated(docs.where(F.length("text") >= span)).mapInPandas(run, "h bigint, doc_id bigint, pos int, len int, prev int, next int")
 
 
 def repeated_paths(e: DataFrame, span: int = SPAN) -> DataFrame:
@@ -230,7 +244,7 @@ def shared_share(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> D
     zero = F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("top"))
     step = lambda acc, x: F.struct((acc["sum"] + F.greatest(F.lit(0), x["hi"] - F.greatest(x["lo"], acc["top"]))).alias("sum"), F.greatest(acc["top"], x["hi"]).alias("top"))
     covered = spans.groupBy("doc_id").agg(F.aggregate(F.array_sort(F.collect_set(F.struct("lo", "hi"))), zero, step, lambda acc: acc["sum"]).alias("shared_chars"))
-    sizes = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", F.length("text").alias("n_chars"))
+    sizes = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", F.length("text").alias("n_chars")).distinct()
     return sizes.join(covered, "doc_id", "left").select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.round(F.coalesce("shared_chars", F.lit(0)) / F.col("n_chars"), 6).alias("share"))
 
 
@@ -239,7 +253,7 @@ def copy_classes(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     Copies agree in 128 bits of hashes and in length. Ids and hashes are shuffled, texts aren't.
     """
-    h = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.reverse("text"), F.lit(1)).alias("h2"), F.length("text").alias("n_chars"))
+    h = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.reverse("text"), F.lit(1)).alias("h2"), F.length("text").alias("n_chars")).distinct()
     keys = ["h1", "h2", "n_chars"]
     classes = h.groupBy(*keys).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return h.join(classes, keys).select("doc_id", "class_id", "n")
