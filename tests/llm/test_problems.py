@@ -315,7 +315,7 @@ def test_leaks(spark, leak_tables):
 def test_leaks_without_broadcasts(spark, leak_tables, monkeypatch):
     docs, items, want = leak_tables
     monkeypatch.setattr(leaks, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(leaks, "CANDIDATE_ROWS", 0)
+    monkeypatch.setattr(leaks, "CANDIDATE_BYTES", 0)
     assert {(r.doc_id, r.item_id) for r in leaks.found_leaks(docs, items).collect()} == want
 
 

@@ -1,10 +1,18 @@
 """Evaluation passages inside corpus documents, by template canonicalisation.
 
 Texts become tokens (words, single ideographs, numbers; case, width and invisible characters folded). Tokens that the
-items share become the literals of templates, numbers and all other runs become typed placeholders. Windows of
-elements are joined on the hash of their template together with the value of one slot, a pair needs two slots that
-agree, and then the passage is aligned in order: sentences of one build with other names and numbers fall out, quotes
-with replaced words or labels inside stay.
+items share become the literals of templates, numbers and all other runs become typed placeholders. Template windows
+are hash-joined in two ways of binding their slots:
+
+* one slot at a time (template and the value of one slot), of which a pair needs two that agree: these survive edits
+  of the other slots;
+* all slots at once: a stretch of tokens of a given weight, whatever is literal or slot in it. These need no wording
+  that items share, so one item, or items that are all unlike, are found as well. A stretch that many items hold
+  (template text alone) is joined at twice its weight instead, so none is dropped.
+
+The passage is then aligned in order and its slots are checked for consistency: sentences of one build with other names
+and numbers fall out of ``found_leaks`` (``reparameterised`` lists them with their values), quotes with replaced words
+or labels inside stay.
 """
 
 from __future__ import annotations
@@ -12,6 +20,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -20,16 +29,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.shared_spans import _mix
+from turnloom.llm.shared_spans import _mix, _powers
 from turnloom.session import checkpointed
 
 WINDOW = 5  # elements of a window
 BLOCK = 1 << 20
 #: Share of the items of one script that hold a word or a pair of ideographs from which it counts as template text.
 LITERAL_SHARE = 0.1
-#: Item keys up to which they are broadcast to the documents' windows, and candidates up to which they are broadcast to the documents.
+#: Weight of a stretch with all slots bound (words and numbers weigh 2, ideographs 1): four words or eight ideographs
+#: stand unbroken in any 40 % of an item of 110 characters, even with one word in seven or one ideograph in ten replaced.
+STRETCH = 8
+#: Item keys up to which they are broadcast to the documents' windows, and bytes of candidates up to which they are broadcast to the documents.
 BROADCAST_ROWS = 2_000_000
-CANDIDATE_ROWS = 200_000
+CANDIDATE_BYTES = 64 << 20
+REPLACED = 7  # tokens of which one may be replaced in a passage that agrees in fewer than two slots
+KNOWN_ITEMS = 10_000  # items whose tokens a task keeps at a time
 _SEP, _HAN, _WORD, _NUM, _SKIP = 0, 1, 2, 3, 4
 _C_NUM, _C_NAME = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 #: Labels at the head of a line that may stand inside a quoted passage.
@@ -109,6 +123,15 @@ class Tokens:
         self.doc = np.searchsorted(doc_end, s, side="right")
         self.n_texts = len(texts)
         self.first = np.searchsorted(self.doc, np.arange(len(texts)))
+        self.spans, self.folded = (s, e), f
+
+    def words(self, a: int, b: int) -> str:
+        """The folded text of the tokens [a, b); ideographs without spaces between them."""
+        out = []
+        for k in range(a, b):
+            w = "".join(map(chr, self.folded[self.spans[0][k] : self.spans[1][k]].tolist()))
+            out.append(w if not out or self.kind[k] == _HAN and self.kind[k - 1] == _HAN else " " + w)
+        return "".join(out)
 
 
 def _units(t: Tokens) -> np.ndarray:
@@ -137,14 +160,23 @@ def is_literal(t: Tokens, literals: np.ndarray) -> np.ndarray:
     return u & (t.kind == _WORD) | (t.kind == _HAN) & (han | np.concatenate([[False], han[:-1]]))
 
 
-def windows(t: Tokens, literals: np.ndarray, templates: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, slot key, token position in the text, template) of each slot of each window that holds literals.
+@dataclass
+class Elements:
+    """Elements of a block: literals, numbers (type 1) and runs of other tokens (type 2), with the windows that hold two literals and a slot."""
 
-    ``templates``: only windows with these templates (sorted), or null for all.
-    """
-    none = np.empty(0, np.int64)
+    text: np.ndarray  # number of the text of each element
+    begin: np.ndarray  # its first token, and the one after its last
+    end: np.ndarray
+    kind: np.ndarray
+    value: np.ndarray
+    at: np.ndarray  # first element of each window
+    template: np.ndarray
+
+
+def elements(t: Tokens, literals: np.ndarray) -> Elements | None:
+    """The elements and template windows of a block; null where there is none."""
     if not len(t.hash):
-        return none, none.view(np.uint64), none, none.view(np.uint64)
+        return None
     lit, num = is_literal(t, literals), t.kind == _NUM
     name = ~lit & ~num
     new_doc = np.concatenate([[True], t.doc[1:] != t.doc[:-1]])
@@ -158,25 +190,73 @@ def windows(t: Tokens, literals: np.ndarray, templates: np.ndarray | None) -> tu
     shape = np.where(typ == 0, t.hash[s], np.where(typ == 1, _C_NUM, _C_NAME))
     n = len(s) - WINDOW + 1
     if n <= 0:
-        return none, none.view(np.uint64), none, none.view(np.uint64)
+        return None
     tmpl = np.zeros(n, np.uint64)
     lits = np.zeros(n, np.int64)
     for j in range(WINDOW):
         tmpl = tmpl * np.uint64(0xD6E8FEB86659FD93) + _mix(shape[j : j + n])
         lits += typ[j : j + n] == 0
-    tmpl = _mix(tmpl)
-    ok = (doc[:n] == doc[WINDOW - 1 :]) & (lits >= 2) & (lits < WINDOW)
-    if templates is not None:
-        ok &= _member(templates, tmpl)
-    at = np.flatnonzero(ok)
-    docs, keys, places, shapes = [], [], [], []
+    at = np.flatnonzero((doc[:n] == doc[WINDOW - 1 :]) & (lits >= 2) & (lits < WINDOW))
+    return Elements(doc, s, e, typ, value, at, _mix(tmpl)[at])
+
+
+def windows(t: Tokens, literals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, key, token position in the text) of each slot of each template window: its template and one value."""
+    x = elements(t, literals)
+    if x is None:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    docs, keys, places = [], [], []
+    for j in range(WINDOW):
+        slot = x.kind[x.at + j] > 0
+        a, m = x.at[slot], x.template[slot]
+        keys.append(_mix(m + x.value[a + j] * np.uint64(2 * j + 3)))
+        docs.append(x.text[a])
+        places.append(x.begin[a + j] - t.first[x.text[a]])
+    return np.concatenate(docs), np.concatenate(keys), np.concatenate(places)
+
+
+def slot_values(t: Tokens, literals: np.ndarray, templates: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """(text number, template, key of all values, token position, values joined by a bar) of each template window.
+
+    ``templates``: only windows with these templates (sorted), or null for all.
+    """
+    x = elements(t, literals)
+    if x is None:
+        none = np.empty(0, np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, []
+    keep = np.ones(len(x.at), bool) if templates is None else _member(templates, x.template)
+    at, tmpl = x.at[keep], x.template[keep]
+    bound = tmpl.copy()
     for j in range(WINDOW):
-        a = at[typ[at + j] > 0]
-        keys.append(_mix(tmpl[a] + value[a + j] * np.uint64(2 * j + 3)))
-        docs.append(doc[a])
-        places.append(s[a + j] - t.first[doc[a]])
-        shapes.append(tmpl[a])
-    return np.concatenate(docs), np.concatenate(keys), np.concatenate(places), np.concatenate(shapes)
+        bound = np.where(x.kind[at + j] > 0, _mix(bound * np.uint64(0xD6E8FEB86659FD93) + x.value[at + j]), bound)
+    values = [" | ".join(t.words(x.begin[a + j], x.end[a + j]) for j in range(WINDOW) if x.kind[a + j] > 0) for a in at.tolist()]
+    return x.text[at], tmpl, bound, x.begin[at] - t.first[x.text[at]], values
+
+
+def _weights(t: Tokens) -> np.ndarray:
+    return np.where(t.kind == _HAN, 1, 2)
+
+
+def stretches(t: Tokens, weight: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, valid) of the shortest stretch of at least ``weight`` that begins at each token, its tokens all bound."""
+    n = len(t.hash)
+    if not n:
+        return np.empty(0, np.uint64), np.empty(0, bool)
+    upto = np.concatenate([[0], np.cumsum(_weights(t))])
+    last = np.searchsorted(upto, upto[:-1] + weight) - 1  # the token that fills the stretch
+    ok = last < n
+    last = np.minimum(last, n - 1)
+    ok &= t.doc[last] == t.doc
+    up, down = _powers(1 << max(20, n.bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(t.hash * down[:n])])
+    a, b = np.arange(n), last + 1
+    return _mix((sums[b] - sums[a]) * up[b] + np.uint64(weight)), ok
+
+
+def _base_weight(total: np.ndarray, least: float) -> np.ndarray:
+    """The weight of an item's stretches: STRETCH, less for items of which ``least`` is shorter than that."""
+    room = least * total
+    return np.where(room >= STRETCH, STRETCH, np.where(room >= STRETCH // 2, STRETCH // 2, 2))
 
 
 def _blocks(ids: list, texts: list) -> Iterator[tuple[list, list[str]]]:
@@ -195,6 +275,12 @@ def _blocks(ids: list, texts: list) -> Iterator[tuple[list, list[str]]]:
         yield a, b
 
 
+def _sorted_keys(df: DataFrame, column: str) -> np.ndarray:
+    """A column of hashes as a sorted array, through Arrow."""
+    got = df.select(column).distinct().toArrow().column(0)
+    return np.unique(np.asarray(got.to_numpy(), np.int64).view(np.uint64)) if len(got) else np.empty(0, np.uint64)
+
+
 def _literals(items: DataFrame) -> np.ndarray:
     """Hashes of template words and pairs of ideographs; at most item length / LITERAL_SHARE of each script's items."""
 
@@ -210,19 +296,69 @@ def _literals(items: DataFrame) -> np.ndarray:
     rows = items.mapInPandas(run, "item_id bigint, han boolean, u bigint")
     total = rows.groupBy("han").agg(F.count_distinct("item_id").alias("n"))
     often = rows.groupBy("han", "u").agg(F.count_distinct("item_id").alias("df")).join(total, "han").where(F.col("df") >= F.greatest(F.lit(3), F.col("n") * LITERAL_SHARE))
-    return np.unique(np.array([r.u for r in often.select("u").distinct().collect()], np.int64).view(np.uint64))
+    return _sorted_keys(often, "u")
 
 
-def _keys(texts: DataFrame, key: str, text: str, literals, templates) -> DataFrame:
-    """(key, k, p, t) of the windows' slots of each text."""
+def _item_keys(items: DataFrame, literals, least: float) -> DataFrame:
+    """(item_id, k, bound): keys of each item's windows; ``bound`` where all slots are bound.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A stretch that more than LITERAL_SHARE of the items hold (and more than four) is taken at twice its weight, however
+    many items hold that; only a text too short for it keeps the short one.
+    """
+
+    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for ids, block in _blocks(pdf["item_id"].tolist(), pdf["ref_text"].tolist()):
+                doc, k, _ = windows(Tokens(block), literals.value)
+                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[doc], "k": k.view(np.int64)})
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for ids, block in _blocks(pdf[key].tolist(), pdf[text].tolist()):
-                doc, k, p, t = windows(Tokens(block), literals.value, templates.value if templates is not None else None)
-                yield pd.DataFrame({key: np.asarray(ids, np.int64)[doc], "k": k.view(np.int64), "p": p.astype(np.int32), "t": t.view(np.int64)})
+            for ids, block in _blocks(pdf["item_id"].tolist(), pdf["ref_text"].tolist()):
+                t = Tokens(block)
+                total = np.bincount(t.doc, weights=_weights(t), minlength=len(ids))
+                base = _base_weight(total, least)[t.doc]
+                keys = {w: stretches(t, w) for w in sorted({*base.tolist(), *(2 * base).tolist()})}
+                k, k2, ok = np.zeros(len(base), np.uint64), np.zeros(len(base), np.uint64), np.zeros(len(base), bool)
+                for w in set(base.tolist()):
+                    at = base == w
+                    k[at], ok[at] = keys[w][0][at], keys[w][1][at]
+                    k2[at] = np.where(keys[2 * w][1], keys[2 * w][0], np.uint64(0))[at]
+                short = (total[t.doc] < 2 * base)[ok]
+                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[t.doc][ok], "k": k[ok].view(np.int64), "k2": k2[ok].view(np.int64), "short": short})
+
+    one = items.mapInPandas(slots, "item_id bigint, k bigint").withColumn("bound", F.lit(False))
+    rows = items.mapInPandas(whole, "item_id bigint, k bigint, k2 bigint, short boolean")
+    often = rows.groupBy("k").agg(F.count_distinct("item_id").alias("df"))
+    most = F.greatest(F.lit(4.0), F.lit(LITERAL_SHARE * items.count()))
+    taken = F.when((F.col("df") <= most) | F.col("short"), F.col("k")).otherwise(F.nullif("k2", F.lit(0)))
+    every = rows.join(often, "k").select("item_id", taken.alias("k"), F.lit(True).alias("bound")).where("k is not null")
+    return one.unionByName(every).distinct()
+
+
+def _document_keys(docs: DataFrame, literals, keys, weights: list[int]) -> DataFrame:
+    """(doc_id, k, p): keys of the windows of each document; only those of items if ``keys`` is given."""
 
-    return texts.select(key, text).mapInPandas(run, f"{key} bigint, k bigint, p int, t bigint")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = keys.value if keys is not None else None
+        for pdf in batches:
+            for ids, block in _blocks(pdf["doc_id"].tolist(), pdf["text"].tolist()):
+                t = Tokens(block)
+                doc, k, p = windows(t, literals.value)
+                found = [(doc, k, p)]
+                for w in weights:
+                    h, ok = stretches(t, w)
+                    if wanted is not None:
+                        ok &= _member(wanted, h)
+                    at = np.flatnonzero(ok)
+                    found.append((t.doc[at], h[at], at - t.first[t.doc[at]]))
+                if wanted is not None:
+                    hit = _member(wanted, k)
+                    found[0] = (doc[hit], k[hit], p[hit])
+                doc, k, p = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({"doc_id": np.asarray(ids, np.int64)[doc], "k": k.astype(np.uint64).view(np.int64), "p": p.astype(np.int32)})
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, k bigint, p int")
 
 
 def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.6) -> float:
@@ -230,65 +366,69 @@ def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0
 
     ``item``: hash, length and whether it is a slot, of each token. Matched runs are chained; a gap costs ``penalty``
     tokens for each token replaced or left out, so that a passage with more than one token in three replaced breaks up. Of the slots in the passage at least the share ``agree`` must be the same, else it is another
-    sentence of the same build.
+    sentence of the same build; where fewer than two do, at most one token in REPLACED may be replaced.
     """
     toks, sizes, slots = item
     upto = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     slots_upto = np.concatenate([[0], np.cumsum(slots)]).tolist()
     blocks = [b for b in SequenceMatcher(None, toks, doc, autojunk=False).get_matching_blocks() if b.size]
-    best, score, begin, prev, lost, same = 0.0, 0.0, 0, None, 0.0, 0
+    best, score, begin, prev, lost, same, swapped = 0.0, 0.0, 0, None, 0.0, 0, 0
     for a, b, n in blocks:
         if prev is not None:
             ga, gb = a - prev[0], b - prev[1]
             cost = penalty * max(ga, min(gb, ga + 1))
             if score - cost > 0:
                 score -= cost
+                swapped += ga
                 lost += upto[a] - upto[prev[0]] if ga > gb + 1 else 0.0
             else:
-                score, begin, lost, same = 0.0, a, 0.0, 0
+                score, begin, lost, same, swapped = 0.0, a, 0.0, 0, 0
         else:
             begin = a
         score += n
         same += slots_upto[a + n] - slots_upto[a]
         prev = (a + n, b + n)
-        if same >= agree * (slots_upto[a + n] - slots_upto[begin]):
+        if same >= agree * (slots_upto[a + n] - slots_upto[begin]) and (same >= 2 or swapped * REPLACED <= a + n - begin):
             best = max(best, upto[a + n] - upto[begin] - lost)
     return best / max(1.0, upto[-1])
 
 
-def candidates(docs: DataFrame, items: DataFrame, literals) -> DataFrame:
-    """(doc_id, item_id, places): pairs with at least two slots of a document that agree with the item."""
+def candidates(docs: DataFrame, items: DataFrame, literals, least: float = 0.4) -> DataFrame:
+    """(doc_id, item_id, places): pairs with a stretch of all slots bound, or two windows with one slot bound, that agree."""
     spark = docs.sparkSession
-    item_keys = checkpointed(_keys(items, "item_id", "ref_text", literals, None).select("item_id", "k", "t").distinct())
+    item_keys = checkpointed(_item_keys(items, literals, least))
     n = item_keys.count()
-    templates = None
-    if n <= BROADCAST_ROWS:  # else every window of the documents goes to the join
-        templates = spark.sparkContext.broadcast(np.unique(np.array([r.t for r in item_keys.select("t").distinct().collect()], np.int64).view(np.uint64)))
-    doc_keys = _keys(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text", literals, templates).select("doc_id", "k", "p")
-    side = item_keys.select("item_id", "k").distinct()
-    hit = doc_keys.join(F.broadcast(side) if n <= BROADCAST_ROWS else side, "k")
-    return hit.groupBy("doc_id", "item_id").agg(F.collect_set("p").alias("places")).where(F.size("places") >= 2)
+    small = n <= BROADCAST_ROWS  # else every window of the documents goes to the join
+    keys = spark.sparkContext.broadcast(_sorted_keys(item_keys, "k")) if small else None
+    doc_keys = _document_keys(docs.where(F.col("doc_id").isNotNull()), literals, keys, [2, STRETCH // 2, STRETCH, 2 * STRETCH])
+    hit = doc_keys.join(F.broadcast(item_keys) if small else item_keys, "k")
+    got = hit.groupBy("doc_id", "item_id").agg(F.collect_set("p").alias("places"), F.bool_or("bound").alias("bound"))
+    return got.where((F.size("places") >= 2) | F.col("bound")).select("doc_id", "item_id", "places")
+
+
+def _readable(items: DataFrame) -> DataFrame:
+    return items.where(F.col("item_id").isNotNull() & (F.length("ref_text") > 0)).select("item_id", "ref_text").dropDuplicates(["item_id"])
 
 
 def found_leaks(docs: DataFrame, items: DataFrame, least: float = 0.4) -> DataFrame:
     """(doc_id, item_id): documents that hold a passage with at least ``least`` of the item's wording.
 
-    Null, empty and blank texts hold nothing; items without any letter or digit leak nowhere. The eval items of a
-    candidate are read by a join, so neither table is gathered.
+    Null, empty and blank texts hold nothing; items without any letter or digit leak nowhere; any number of items will
+    do, and they need not have wording in common. The eval items of a candidate are read by a join, so neither table is
+    gathered.
     """
-    return scored_leaks(docs, items).where(F.col("share") >= least).select("doc_id", "item_id")
+    return scored_leaks(docs, items, least).where(F.col("share") >= least).select("doc_id", "item_id")
 
 
-def scored_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def scored_leaks(docs: DataFrame, items: DataFrame, least: float = 0.4) -> DataFrame:
     """(doc_id, item_id, share) of the candidates."""
-    items = items.where(F.col("item_id").isNotNull() & (F.length("ref_text") > 0)).select("item_id", "ref_text").dropDuplicates(["item_id"])
+    items = _readable(items)
     literals = docs.sparkSession.sparkContext.broadcast(_literals(items))
-    c = checkpointed(candidates(docs, items, literals))
-    wanted = c.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "places", "ref_text")).alias("cands"))
-    wanted = checkpointed(wanted)
+    c = candidates(docs, items, literals, least)
+    wanted = checkpointed(c.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "places", "ref_text")).alias("cands")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[list, list]] = {}
+        known: dict[str, tuple[list, list, list]] = {}
         for pdf in batches:
             out = []
             for d, text, cands in zip(pdf["doc_id"], pdf["text"], pdf["cands"]):
@@ -296,6 +436,8 @@ def scored_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 for cand in cands:
                     ref = cand["ref_text"]
                     if ref not in known:
+                        if len(known) >= KNOWN_ITEMS:
+                            known.clear()
                         t = Tokens([LINE_LABEL.sub(" ", ref)])
                         known[ref] = (t.hash.tolist(), t.size.tolist(), (~is_literal(t, literals.value)).tolist())
                     item, share = known[ref], 0.0
@@ -303,11 +445,41 @@ def scored_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                     a = places[0]
                     for k, p in enumerate(places):
                         if k + 1 == len(places) or places[k + 1] - p > n:
-                            if p > a or len(places) == 1:
-                                share = max(share, aligned_share(item, toks[max(0, a - n) : p + n]))
+                            share = max(share, aligned_share(item, toks[max(0, a - n) : p + n]))
                             a = places[k + 1] if k + 1 < len(places) else a
                     out.append((d, cand["item_id"], share))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "share"])
 
-    small = wanted.count() <= CANDIDATE_ROWS
-    return docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted, "doc_id").mapInPandas(run, "doc_id bigint, item_id bigint, share double")
+    size = wanted.select(F.sum(F.aggregate("cands", F.lit(0).cast("bigint"), lambda acc, x: acc + 64 + 4 * F.size(x["places"]) + F.octet_length(x["ref_text"])))).first()[0] or 0
+    return docs.select("doc_id", "text").join(F.broadcast(wanted) if size <= CANDIDATE_BYTES else wanted, "doc_id").mapInPandas(run, "doc_id bigint, item_id bigint, share double")
+
+
+def reparameterised(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, place, doc_values, item_values): passages of the build of an item with other names or numbers.
+
+    One row for each template window of a document that an item has too, while no item has its values: ``place`` is the
+    number of its first token, ``item_id`` the least item with that template and ``item_values`` its values there.
+    Values are folded and joined by a bar. Null, empty and blank texts have none.
+    """
+    items = _readable(items)
+    literals = docs.sparkSession.sparkContext.broadcast(_literals(items))
+
+    def rows(key: str, text: str, known):  # noqa: ANN001, ANN202
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for ids, block in _blocks(pdf[key].tolist(), pdf[text].tolist()):
+                    t = Tokens(block)
+                    doc, tmpl, bound, place, values = slot_values(t, literals.value, None if known is None else known.value)
+                    yield pd.DataFrame({key: np.asarray(ids, np.int64)[doc], "t": tmpl.view(np.int64), "bound": bound.view(np.int64), "place": place.astype(np.int32), "vals": values})
+
+        return run
+
+    form = "bigint, t bigint, bound bigint, place int, vals string"
+    of_items = checkpointed(items.mapInPandas(rows("item_id", "ref_text", None), f"item_id {form}"))
+    small = of_items.count() <= BROADCAST_ROWS
+    known = docs.sparkSession.sparkContext.broadcast(_sorted_keys(of_items, "t")) if small else None
+    of_docs = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInPandas(rows("doc_id", "text", known), f"doc_id {form}")
+    side = F.broadcast if small else (lambda x: x)
+    first = of_items.groupBy("t").agg(F.min(F.struct("item_id", "place", "vals")).alias("x")).select("t", F.col("x.item_id").alias("item_id"), F.col("x.vals").alias("item_values"))
+    other = of_docs.join(side(of_items.select("t", "bound").distinct()), ["t", "bound"], "left_anti")
+    return other.join(side(first), "t").select("doc_id", "item_id", "place", F.col("vals").alias("doc_values"), "item_values").distinct()

@@ -39,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_texts": lambda s, d: one_form.one_form(one_form.looks_alike_texts(t(s, d, "turns"), t(s, d, "hyps"))),
         "p7_ids": lambda s, d: encoding.encode_texts(t(s, d, "documents")),
         "p8_found": lambda s, d: leaks.found_leaks(t(s, d, "documents"), t(s, d, "eval_items")),
+        "p8_templates": lambda s, d: leaks.reparameterised(t(s, d, "documents"), t(s, d, "eval_items")),
         "p9_found": lambda s, d: shared_spans.found_shared(t(s, d, "documents")),
         "p9_classes": lambda s, d: shared_spans.copy_classes(t(s, d, "documents")).select("doc_id", "class_id"),
         "p9_shared": lambda s, d: shared_spans.shared_share(t(s, d, "documents")),
