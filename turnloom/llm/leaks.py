@@ -361,7 +361,7 @@ def _document_keys(docs: DataFrame, literals, keys, weights: list[int]) -> DataF
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, k bigint, p int")
 
 
-def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.6) -> float:
+def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.5) -> float:
     """Share of the item's letters and digits that the best passage of ``doc`` covers in order, replaced words included.
 
     ``item``: hash, length and whether it is a slot, of each token. Matched runs are chained; a gap costs ``penalty``
