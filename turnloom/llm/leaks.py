@@ -41,7 +41,8 @@ LITERAL_SHARE = 0.1
 STRETCH = 8
 #: Item keys up to which they are broadcast to the documents' windows, and bytes of candidates up to which they are broadcast to the documents.
 BROADCAST_ROWS = 2_000_000
-CANDIDATE_BYTES = 64 << 20
+CANDIDATE_BYTES = 16 << 20
+ITEM_BYTES = 16 << 20  # bytes of items' texts up to which they are broadcast
 REPLACED = 7  # tokens of which one may be replaced in a passage that agrees in fewer than two slots
 KNOWN_ITEMS = 10_000  # items whose tokens a task keeps at a time
 _SEP, _HAN, _WORD, _NUM, _SKIP = 0, 1, 2, 3, 4
@@ -153,6 +154,21 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
+class Keys:
+    """A set of hashes: a table of their low bits first, then the sorted values."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, self.low = values, np.uint64((1 << 22) - 1)
+        self.table = np.zeros(1 << 22, bool)
+        self.table[(values & self.low).astype(np.int64)] = True
+
+    def holds(self, x: np.ndarray) -> np.ndarray:
+        out = self.table[(x & self.low).astype(np.int64)]
+        at = np.flatnonzero(out)
+        out[at] = _member(self.values, x[at])
+        return out
+
+
 def is_literal(t: Tokens, literals: np.ndarray) -> np.ndarray:
     """Which tokens are template text."""
     u = _member(literals, _units(t))
@@ -173,8 +189,8 @@ class Elements:
     template: np.ndarray
 
 
-def elements(t: Tokens, literals: np.ndarray) -> Elements | None:
-    """The elements and template windows of a block; null where there is none."""
+def elements(t: Tokens, literals: np.ndarray, templates: Keys | None = None) -> Elements | None:
+    """The elements and template windows of a block (only those with these templates, if given); null where there is none."""
     if not len(t.hash):
         return None
     lit, num = is_literal(t, literals), t.kind == _NUM
@@ -197,35 +213,39 @@ def elements(t: Tokens, literals: np.ndarray) -> Elements | None:
         tmpl = tmpl * np.uint64(0xD6E8FEB86659FD93) + _mix(shape[j : j + n])
         lits += typ[j : j + n] == 0
     at = np.flatnonzero((doc[:n] == doc[WINDOW - 1 :]) & (lits >= 2) & (lits < WINDOW))
-    return Elements(doc, s, e, typ, value, at, _mix(tmpl)[at])
+    tmpl = _mix(tmpl[at])
+    if templates is not None:
+        keep = templates.holds(tmpl)
+        at, tmpl = at[keep], tmpl[keep]
+    return Elements(doc, s, e, typ, value, at, tmpl)
 
 
-def windows(t: Tokens, literals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, key, token position in the text) of each slot of each template window: its template and one value."""
-    x = elements(t, literals)
+def windows(t: Tokens, literals: np.ndarray, templates: Keys | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, key, token position in the text, template) of each slot of each template window: its template and one value."""
+    x = elements(t, literals, templates)
     if x is None:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    docs, keys, places = [], [], []
+        return (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64))
+    docs, keys, places, shapes = [], [], [], []
     for j in range(WINDOW):
         slot = x.kind[x.at + j] > 0
         a, m = x.at[slot], x.template[slot]
         keys.append(_mix(m + x.value[a + j] * np.uint64(2 * j + 3)))
         docs.append(x.text[a])
         places.append(x.begin[a + j] - t.first[x.text[a]])
-    return np.concatenate(docs), np.concatenate(keys), np.concatenate(places)
+        shapes.append(m)
+    return np.concatenate(docs), np.concatenate(keys), np.concatenate(places), np.concatenate(shapes)
 
 
-def slot_values(t: Tokens, literals: np.ndarray, templates: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+def slot_values(t: Tokens, literals: np.ndarray, templates: Keys | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
     """(text number, template, key of all values, token position, values joined by a bar) of each template window.
 
-    ``templates``: only windows with these templates (sorted), or null for all.
+    ``templates``: only windows with these templates, or null for all.
     """
-    x = elements(t, literals)
+    x = elements(t, literals, templates)
     if x is None:
         none = np.empty(0, np.int64)
         return none, none.view(np.uint64), none.view(np.uint64), none, []
-    keep = np.ones(len(x.at), bool) if templates is None else _member(templates, x.template)
-    at, tmpl = x.at[keep], x.template[keep]
+    at, tmpl = x.at, x.template
     bound = tmpl.copy()
     for j in range(WINDOW):
         bound = np.where(x.kind[at + j] > 0, _mix(bound * np.uint64(0xD6E8FEB86659FD93) + x.value[at + j]), bound)
@@ -300,7 +320,7 @@ def _literals(items: DataFrame) -> np.ndarray:
 
 
 def _item_keys(items: DataFrame, literals, least: float) -> DataFrame:
-    """(item_id, k, bound): keys of each item's windows; ``bound`` where all slots are bound.
+    """(item_id, k, shape, bound): keys of each item's windows; where all slots are ``bound``, shape is the weight, else the template.
 
     A stretch that more than LITERAL_SHARE of the items hold (and more than four) is taken at twice its weight, however
     many items hold that; only a text too short for it keeps the short one.
@@ -309,8 +329,8 @@ def _item_keys(items: DataFrame, literals, least: float) -> DataFrame:
     def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for ids, block in _blocks(pdf["item_id"].tolist(), pdf["ref_text"].tolist()):
-                doc, k, _ = windows(Tokens(block), literals.value)
-                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[doc], "k": k.view(np.int64)})
+                doc, k, _, t = windows(Tokens(block), literals.value)
+                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[doc], "k": k.view(np.int64), "shape": t.view(np.int64)})
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -325,43 +345,41 @@ def _item_keys(items: DataFrame, literals, least: float) -> DataFrame:
                     k[at], ok[at] = keys[w][0][at], keys[w][1][at]
                     k2[at] = np.where(keys[2 * w][1], keys[2 * w][0], np.uint64(0))[at]
                 short = (total[t.doc] < 2 * base)[ok]
-                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[t.doc][ok], "k": k[ok].view(np.int64), "k2": k2[ok].view(np.int64), "short": short})
+                yield pd.DataFrame({"item_id": np.asarray(ids, np.int64)[t.doc][ok], "k": k[ok].view(np.int64), "k2": k2[ok].view(np.int64), "short": short, "w": base[ok].astype(np.int64)})
 
-    one = items.mapInPandas(slots, "item_id bigint, k bigint").withColumn("bound", F.lit(False))
-    rows = items.mapInPandas(whole, "item_id bigint, k bigint, k2 bigint, short boolean")
+    one = items.mapInPandas(slots, "item_id bigint, k bigint, shape bigint").withColumn("bound", F.lit(False))
+    rows = items.mapInPandas(whole, "item_id bigint, k bigint, k2 bigint, short boolean, w bigint")
     often = rows.groupBy("k").agg(F.count_distinct("item_id").alias("df"))
     most = F.greatest(F.lit(4.0), F.lit(LITERAL_SHARE * items.count()))
-    taken = F.when((F.col("df") <= most) | F.col("short"), F.col("k")).otherwise(F.nullif("k2", F.lit(0)))
-    every = rows.join(often, "k").select("item_id", taken.alias("k"), F.lit(True).alias("bound")).where("k is not null")
+    near = (F.col("df") <= most) | F.col("short")
+    taken = F.when(near, F.col("k")).otherwise(F.nullif("k2", F.lit(0)))
+    every = rows.join(often, "k").select("item_id", taken.alias("k"), F.when(near, F.col("w")).otherwise(2 * F.col("w")).alias("shape"), F.lit(True).alias("bound")).where("k is not null")
     return one.unionByName(every).distinct()
 
 
-def _document_keys(docs: DataFrame, literals, keys, weights: list[int]) -> DataFrame:
-    """(doc_id, k, p): keys of the windows of each document; only those of items if ``keys`` is given."""
+def _document_keys(docs: DataFrame, literals, known, weights: list[int]) -> DataFrame:
+    """(doc_id, k, p): keys of the windows of each document; only those of items if ``known`` (templates, keys) is given."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = keys.value if keys is not None else None
+        templates, wanted = map(Keys, known.value) if known is not None else (None, None)
         for pdf in batches:
             for ids, block in _blocks(pdf["doc_id"].tolist(), pdf["text"].tolist()):
                 t = Tokens(block)
-                doc, k, p = windows(t, literals.value)
-                found = [(doc, k, p)]
+                found = [windows(t, literals.value, templates)[:3]]
                 for w in weights:
                     h, ok = stretches(t, w)
-                    if wanted is not None:
-                        ok &= _member(wanted, h)
-                    at = np.flatnonzero(ok)
+                    at = np.flatnonzero(ok if wanted is None else ok & wanted.holds(h))
                     found.append((t.doc[at], h[at], at - t.first[t.doc[at]]))
-                if wanted is not None:
-                    hit = _member(wanted, k)
-                    found[0] = (doc[hit], k[hit], p[hit])
                 doc, k, p = (np.concatenate(x) for x in zip(*found))
+                if wanted is not None:
+                    hit = wanted.holds(k)
+                    doc, k, p = doc[hit], k[hit], p[hit]
                 yield pd.DataFrame({"doc_id": np.asarray(ids, np.int64)[doc], "k": k.astype(np.uint64).view(np.int64), "p": p.astype(np.int32)})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, k bigint, p int")
 
 
-def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.5) -> float:
+def aligned_share(item: tuple[list, list, list], doc: list, penalty: float = 2.0, agree: float = 0.6) -> float:
     """Share of the item's letters and digits that the best passage of ``doc`` covers in order, replaced words included.
 
     ``item``: hash, length and whether it is a slot, of each token. Matched runs are chained; a gap costs ``penalty``
@@ -399,8 +417,10 @@ def candidates(docs: DataFrame, items: DataFrame, literals, least: float = 0.4)
     item_keys = checkpointed(_item_keys(items, literals, least))
     n = item_keys.count()
     small = n <= BROADCAST_ROWS  # else every window of the documents goes to the join
-    keys = spark.sparkContext.broadcast(_sorted_keys(item_keys, "k")) if small else None
-    doc_keys = _document_keys(docs.where(F.col("doc_id").isNotNull()), literals, keys, [2, STRETCH // 2, STRETCH, 2 * STRETCH])
+    known = spark.sparkContext.broadcast((_sorted_keys(item_keys.where("not bound"), "shape"), _sorted_keys(item_keys, "k"))) if small else None
+    weights = [r.shape for r in item_keys.where("bound").select("shape").distinct().collect()]  # a few weights
+    doc_keys = _document_keys(docs.where(F.col("doc_id").isNotNull()), literals, known, sorted(weights))
+    item_keys = item_keys.select("item_id", "k", "bound")
     hit = doc_keys.join(F.broadcast(item_keys) if small else item_keys, "k")
     got = hit.groupBy("doc_id", "item_id").agg(F.collect_set("p").alias("places"), F.bool_or("bound").alias("bound"))
     return got.where((F.size("places") >= 2) | F.col("bound")).select("doc_id", "item_id", "places")
@@ -425,7 +445,11 @@ def scored_leaks(docs: DataFrame, items: DataFrame, least: float = 0.4) -> DataF
     items = _readable(items)
     literals = docs.sparkSession.sparkContext.broadcast(_literals(items))
     c = candidates(docs, items, literals, least)
-    wanted = checkpointed(c.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "places", "ref_text")).alias("cands")))
+    spark = docs.sparkSession
+    near = (items.select(F.sum(F.octet_length("ref_text") + 64)).first()[0] or 0) <= ITEM_BYTES  # else their texts travel with the candidates
+    refs = spark.sparkContext.broadcast({r.item_id: r.ref_text for r in items.collect()}) if near else None
+    c = c.withColumn("ref_text", F.lit(None).cast("string")) if near else c.join(items, "item_id")
+    wanted = checkpointed(c.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "places", "ref_text")).alias("cands")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[list, list, list]] = {}
@@ -434,7 +458,7 @@ def scored_leaks(docs: DataFrame, items: DataFrame, least: float = 0.4) -> DataF
             for d, text, cands in zip(pdf["doc_id"], pdf["text"], pdf["cands"]):
                 toks = Tokens([LINE_LABEL.sub(" ", text)]).hash.tolist()
                 for cand in cands:
-                    ref = cand["ref_text"]
+                    ref = refs.value[cand["item_id"]] if refs is not None else cand["ref_text"]
                     if ref not in known:
                         if len(known) >= KNOWN_ITEMS:
                             known.clear()
@@ -450,7 +474,7 @@ def scored_leaks(docs: DataFrame, items: DataFrame, least: float = 0.4) -> DataF
                     out.append((d, cand["item_id"], share))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "share"])
 
-    size = wanted.select(F.sum(F.aggregate("cands", F.lit(0).cast("bigint"), lambda acc, x: acc + 64 + 4 * F.size(x["places"]) + F.octet_length(x["ref_text"])))).first()[0] or 0
+    size = wanted.select(F.sum(F.aggregate("cands", F.lit(0).cast("bigint"), lambda acc, x: acc + 64 + 4 * F.size(x["places"]) + F.coalesce(F.octet_length(x["ref_text"]), F.lit(0))))).first()[0] or 0
     return docs.select("doc_id", "text").join(F.broadcast(wanted) if size <= CANDIDATE_BYTES else wanted, "doc_id").mapInPandas(run, "doc_id bigint, item_id bigint, share double")
 
 
@@ -469,7 +493,7 @@ def reparameterised(docs: DataFrame, items: DataFrame) -> DataFrame:
             for pdf in batches:
                 for ids, block in _blocks(pdf[key].tolist(), pdf[text].tolist()):
                     t = Tokens(block)
-                    doc, tmpl, bound, place, values = slot_values(t, literals.value, None if known is None else known.value)
+                    doc, tmpl, bound, place, values = slot_values(t, literals.value, None if known is None else Keys(known.value))
                     yield pd.DataFrame({key: np.asarray(ids, np.int64)[doc], "t": tmpl.view(np.int64), "bound": bound.view(np.int64), "place": place.astype(np.int32), "vals": values})
 
         return run
