@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from turnloom.llm import shared_spans
 from turnloom.operators import validators
 from turnloom.plans import pipeline
 from turnloom.plans import queries as q
@@ -51,16 +49,3 @@ def test_polish_cites_every_anchor(spark, tmp_path):
         assert {k: r.text for k, r in got.items() if r.path == "llm"} == want and {k for k, r in got.items() if r.path == "fallback"} == {5, 6, 7}
     assert got[0].located[0].evidence == "/".join(["Windows零", " ".join(texts[1:21]), "Python|派森"])
     assert got[26].located[0].evidence == "/".join(["", " ".join(texts[:20]), "Python|派森"])
-
-
-def test_repeated_documents_keep_links(spark):
-    rng = random.Random(5)
-    word = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
-    part = word(900)
-    docs = [(1, word(200) + part + word(150)), (2, word(90) + part + word(260)), (3, word(1000)), (4, word(40) + part[100:600] + word(700))]
-    docs.append((5, docs[1][1]))
-    df = spark.createDataFrame([*docs, docs[0], docs[0], docs[2], docs[1]], "doc_id bigint, text string")
-    once = spark.createDataFrame(docs, "doc_id bigint, text string")
-    assert sorted(map(tuple, shared_spans.found_shared(df).collect())) == [(1, 2), (1, 4), (1, 5), (2, 4), (2, 5), (4, 5)]
-    for f in (shared_spans.shared_share, shared_spans.copy_classes):
-        assert sorted(map(tuple, f(df).collect())) == sorted(map(tuple, f(once).collect()))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from turnloom.session import checkpointed
 
+PARTITION_BYTES, MOST_PARTITIONS = 256 << 20, 100_000
+
 
 def valid_times(df: DataFrame, start: str = "start_s", end: str = "end_s", least_s: float = 0.01) -> DataFrame:
     """Rows whose times are finite, in order and at least ``least_s`` apart, with start_ms and end_ms added."""
@@ -84,9 +86,13 @@ def combine_summaries(rows: list[tuple]) -> dict[int, tuple]:
 def range_sorted(df: DataFrame, entity: str, order: list[str], partitions: int | None = None) -> DataFrame:
     """``df`` range-partitioned by entity and order, sorted inside, and written to a reliable checkpoint.
 
-    The number of partitions is fixed, so that the two scans that follow see the same ones.
+    The number of partitions is fixed, so that the two scans that follow see the same ones: spark.sql.shuffle.partitions,
+    or more where the input is so large that they would pass PARTITION_BYTES.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, size // PARTITION_BYTES))
+    n = partitions
     return checkpointed(df.repartitionByRange(n, entity, *order).sortWithinPartitions(entity, *order))
 
 

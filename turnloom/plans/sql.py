@@ -115,9 +115,8 @@ def oracle_sql() -> dict[str, str]:
             r as (select v.turn_id, round(coalesce(ms, 0) / (e - s)::double, 9) as overlap_ratio from v left join c using (turn_id))
             select turn_id, overlap_ratio, overlap_ratio > 0 as contains_overlap, overlap_ratio > 0.30 as heavy_overlap from r""",
         "overlap_metadata": f"with {_U}, x as (select meeting_id, unnest(turn_indices) as turn_index, contains_overlap as o, heavy_overlap as v from u) select meeting_id, turn_index, bool_or(o) as in_overlap, bool_or(v) as in_heavy from x group by all",
-        "hyp_upsert": """with a as (select unit_key, model, text, loaded_at, 0 as side from hyps where model in ('firered', 'moss', 'qwen') union all
-              select unit_key, model, text, loaded_at, 1 from hyps where loaded_at >= timestamptz '2025-02-01 00:00:00+00'),
-            r as (select *, row_number() over (partition by unit_key, model order by side desc, loaded_at desc, text desc nulls last) as rn from a where model <> '' and unit_key is not null)
+        "hyp_upsert": """with a as (select unit_key, model, text, loaded_at, case when loaded_at >= timestamptz '2025-02-01 00:00:00+00' then 1 else 0 end as side from hyps),
+            r as (select *, row_number() over (partition by unit_key, model order by side desc, loaded_at desc nulls last, text desc nulls last) as rn from a where model <> '' and unit_key is not null)
             select unit_key, model, text, side = 1 as is_new from r where rn = 1""",
         "agreement_gate": f"with {_H} select unit_key, count(*) as n_hyps, count(distinct case when coalesce(text, '') <> '' then {_norm('text')} end) <= 1 as agree from h group by unit_key",
         "best_hyp": f"""with {_H}, {_U}, r as (select h.unit_key, h.model, h.text, row_number() over (partition by h.unit_key order by

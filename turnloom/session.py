@@ -14,10 +14,15 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; fall back to a local one only where none is set."""
+    """Use the folder the cluster names in spark.checkpoint.dir; a local session without one gets one of its own, a cluster is refused.
+
+    Checkpoints are removed with their DataFrames where spark.cleaner.referenceTracking.cleanCheckpoints is true.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="turnloom-"))
 
 
