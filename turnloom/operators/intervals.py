@@ -90,7 +90,7 @@ def range_sorted(df: DataFrame, entity: str, order: list[str], partitions: int |
     or more where the input is so large that they would pass PARTITION_BYTES.
     """
     if partitions is None:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, size // PARTITION_BYTES))
     n = partitions
     return checkpointed(df.repartitionByRange(n, entity, *order).sortWithinPartitions(entity, *order))
