@@ -1,22 +1,24 @@
 """Defective prompt and response pairs.
 
-Each reply is read by a pushdown parser (think blocks, fences, brackets, strings, markup) that says whether it broke
-off and where its payload lies. Greedy string tiling of the payload against the instruction finds copied prompts,
+Each reply is read by one pushdown parser (``reply_parser``: think blocks, fences, JSON, brackets, quotations, emphasis,
+lists, markup) that says whether it broke off and where its payload lies. Greedy string tiling of the payload against the instruction finds copied prompts,
 refusal grammars find declined tasks, and script and function-word checks find replies in another language.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnloom.llm.reply_parser import breaks_off, parse_reply
+from turnloom.llm.shared_spans import _mix, _powers
+
 # Replies that stand for nothing.
 PLACEHOLDERS = {"", "null", "none", "nil", "n/a", "na", "nan", "undefined", "tbd", "todo", "empty", "no response", "no answer", "无", "空", "暂无", "待定", "略"}
 CLOSING = ".。!！?？…\"”’'」』》)）】]}›»;；`*~♪"
@@ -56,98 +58,22 @@ REFUSALS = [
 ]
 REFUSAL = re.compile("|".join(f"(?:{r})" for r in REFUSALS), re.I)
 
-_TARGETS = [("en", r"\b(?:into|to|in|an?|faithful)\s+english\b|english (?:version|translation)|(?:译|翻译)(?:成|为)英|英文|英语"), ("zh", r"\b(?:into|to|in|an?|faithful)\s+chinese\b|chinese (?:version|translation)|(?:译|翻译)(?:成|为)中|中文|汉语")]
-TARGETS = [(k, re.compile(p, re.I)) for k, p in _TARGETS]
-
-
-@dataclass
-class Parsed:
-    """What the pushdown parser saw of a reply."""
-
-    broken: bool
-    body: str
-    payload: str | None
-    is_json: bool
-
-
-def _json_scan(s: str, at: int) -> tuple[int, bool]:
-    """End of the JSON value that begins at ``at`` and whether its stack is empty there."""
-    stack, i, n = [], at, len(s)
-    while i < n:
-        ch = s[i]
-        if stack and stack[-1] == '"':
-            if ch == "\\":
-                i += 1
-            elif ch == '"':
-                stack.pop()
-        elif ch == '"':
-            stack.append('"')
-        elif ch in "{[":
-            stack.append("}" if ch == "{" else "]")
-        elif ch in "}]":
-            if not stack or stack[-1] != ch:
-                return i, False
-            stack.pop()
-            if not stack:
-                return i + 1, True
-        i += 1
-    return n, False
-
-
-_THINK = re.compile(r"<\s*(/?)\s*(think|thinking|reasoning|thought)\s*>", re.I)
-
-
-def parse_reply(reply: str) -> Parsed:
-    """Read think blocks, fences, JSON and markup with a stack; what is still open at the end broke off."""
-    depth, body, last = 0, [], 0
-    for m in _THINK.finditer(reply):
-        if m.group(1):
-            if depth:
-                depth -= 1
-                last = m.end()
-        else:
-            if not depth:
-                body.append(reply[last : m.start()])
-            depth += 1
-    if depth:
-        return Parsed(True, "".join(body).strip(), None, False)
-    body.append(reply[last:])
-    text = "".join(body).strip()
-    fences = re.findall(r"^[ \t]*(`{3,}|~{3,})", text, re.M)
-    broken = len(fences) % 2 == 1
-    inner = re.sub(r"^[ \t]*(?:`{3,}|~{3,})[\w-]*[ \t]*$", "", text, flags=re.M).strip()
-    a = min((k for k in (inner.find("{"), inner.find('["'), inner.find("[{")) if k >= 0), default=-1)
-    lead = inner[:a].strip() if a >= 0 else ""
-    if a >= 0 and (not lead or len(lead) <= 80 and re.search(r"[:：.。!！]$", lead)):
-        end, whole = _json_scan(inner, a)
-        if not whole:
-            return Parsed(True, inner, None, True)
-        try:
-            value = json.loads(inner[a:end], strict=False)
-        except ValueError:
-            return Parsed(True, inner, None, True)
-        return Parsed(broken, inner, _text_of(value), True)
-    return Parsed(broken, inner, inner, False)
-
-
-def _text_of(value: object) -> str:
-    """The answer a JSON reply holds: its text field, else its only string, else all strings joined."""
-    if isinstance(value, dict):
-        for k in ("text", "answer", "translation", "summary", "content", "output", "result", "minutes"):
-            if k in value:
-                return _text_of(value[k]) if not isinstance(value[k], str) else value[k]
-        return " ".join(x for x in map(_text_of, (v for k, v in value.items() if k not in ("base_model", "edits", "overlap"))) if x)
-    if isinstance(value, list):
-        return " ".join(x for x in map(_text_of, value) if x)
-    return value if isinstance(value, str) else ""
-
-
-def _plain_broken(body: str) -> bool:
-    """A plain reply that doesn't end in closing punctuation, or leaves a quotation or bracket open."""
-    tail = re.sub(r"[\s​-‏﻿]+$", "", body)
-    if not tail or tail[-1] not in CLOSING:
-        return bool(tail)
-    return any(body.count(a) > body.count(b) for a, b in ("“”", "「」", "『』", "（）", "《》", "【】"))
+# Names of the languages that ``language`` knows, in English, Chinese and the language itself.
+LANGUAGES = {
+    "en": "english|英文|英语|anglais|englisch|inglés|inglese|inglês|английский", "zh": "chinese|mandarin|中文|汉语|普通话|chinois|chinesisch|chino|cinese|китайский", "fr": "french|法文|法语|français|französisch|francés|francese",
+    "de": "german|德文|德语|deutsch|allemand|alemán|tedesco", "es": "spanish|西班牙文|西班牙语|español|espagnol|spanisch", "it": "italian|意大利文|意大利语|italiano|italien|italienisch", "pt": "portuguese|葡萄牙文|葡萄牙语|português|portugais",
+    "nl": "dutch|荷兰文|荷兰语|nederlands|néerlandais", "ja": "japanese|日文|日语|日本語|japonais|japanisch|japonés", "ko": "korean|韩文|韩语|한국어|coréen|koreanisch|coreano", "ru": "russian|俄文|俄语|русский|russe|russisch|ruso", "el": "greek|希腊文|希腊语|ελληνικά|grec", "ar": "arabic|阿拉伯文|阿拉伯语|العربية|arabe",
+}
+TARGETS = [
+    (k, re.compile(rf"\b(?:into|to|in|an?|faithful|ins?|en|au|al|in het|na|на)\s+(?:{names})\b|(?:{names})\s+(?:version|translation|rendering)|(?:译|翻译|译写)(?:成|为|到)\s*(?:{names})|(?:用|以)\s*(?:{names})|(?:{names})に|(?:{names})로", re.I))
+    for k, names in LANGUAGES.items()
+]
+
+
+def target_language(question: str) -> str | None:
+    """The language an instruction asks for; of several the one named last, as in 'from German into French'."""
+    named = [(m.start(), k) for k, p in TARGETS for m in p.finditer(question)]
+    return max(named)[1] if named else next((k for k, names in LANGUAGES.items() if k in ("en", "zh") and re.search(names, question, re.I)), None)
 
 
 def tokens(text: str) -> list[str]:
@@ -155,32 +81,54 @@ def tokens(text: str) -> list[str]:
     return re.findall(r"[一-鿿㐀-䶿぀-ヿ가-힯]|\d+|[^\W\d_一-鿿㐀-䶿぀-ヿ가-힯]+", unicodedata.normalize("NFKC", text).lower())
 
 
+def _windows(ids: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the windows of ``size`` tokens that are all free."""
+    n = len(ids) - size + 1
+    up, down = _powers(1 << max(20, len(ids).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(ids) * down[: len(ids)])])
+    used = np.concatenate([[0], np.cumsum(~free)])
+    at = np.flatnonzero(used[size:] == used[:n])
+    return at, (sums[at + size] - sums[at]) * up[at + size]
+
+
 def tile(a: list[str], b: list[str], least: int) -> int:
-    """Tokens of ``a`` covered by greedy string tiling with ``b``: longest common runs first, each token used once."""
+    """Tokens of ``a`` covered by greedy string tiling with ``b``, each token used once.
+
+    Runs are searched by hash in falling lengths, from the whole of the shorter text down to ``least``; a run that is
+    found goes on as far as both texts agree. Each length is one linear pass.
+    """
     if len(a) < least or len(b) < least:
         return 0
-    index: dict[tuple, list[int]] = {}
-    for j in range(len(b) - least + 1):
-        index.setdefault(tuple(b[j : j + least]), []).append(j)
-    used_a, used_b, covered = [False] * len(a), [False] * len(b), 0
+    grams = {tuple(b[j : j + least]) for j in range(len(b) - least + 1)}
+    if not any(tuple(a[i : i + least]) in grams for i in range(len(a) - least + 1)):
+        return 0
+    number: dict[str, int] = {}
+    x, y = (np.fromiter((number.setdefault(t, len(number) + 1) for t in ts), np.uint64, len(ts)) for ts in (a, b))
+    free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
+    size = min(len(a), len(b))
     while True:
-        best = (0, 0, 0)
-        i = 0
-        while i <= len(a) - least:
-            if not used_a[i]:
-                for j in index.get(tuple(a[i : i + least]), ()):
-                    k = 0
-                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
-                        k += 1
-                    if k > best[0]:
-                        best = (k, i, j)
-            i += 1
-        k, i, j = best
-        if k < least:
-            return covered
-        used_a[i : i + k] = [True] * k
-        used_b[j : j + k] = [True] * k
-        covered += k
+        (at_a, h_a), (at_b, h_b) = _windows(x, free_a, size), _windows(y, free_b, size)
+        keep_a, keep_b = np.isin(h_a, h_b), np.isin(h_b, h_a)
+        places: dict[int, list[int]] = {}
+        for j, h in zip(at_b[keep_b][::-1].tolist(), h_b[keep_b][::-1].tolist()):
+            places.setdefault(h, []).append(j)  # the first place is the last of the list
+        upto = 0
+        for i, h in zip(at_a[keep_a].tolist(), h_a[keep_a].tolist()):
+            if i < upto or not free_a[i : i + size].all():
+                continue
+            open_places = places[h]
+            while open_places and not free_b[open_places[-1] : open_places[-1] + size].all():
+                open_places.pop()
+            if not open_places:
+                continue
+            j, k = open_places.pop(), size
+            while i + k < len(a) and j + k < len(b) and free_a[i + k] and free_b[j + k] and a[i + k] == b[j + k]:
+                k += 1
+            free_a[i : i + k] = free_b[j : j + k] = False
+            upto = i + k
+        if size == least:
+            return int((~free_a).sum())
+        size = max(least, size * 3 // 4)
 
 
 _LATIN = re.compile(r"[A-Za-z]")
@@ -267,7 +215,7 @@ def defect(kind: str | None, user: str | None, reply: str | None) -> str | None:
     if not p.is_json:
         if _copied(kind, user, body):
             return "refusal" if REFUSAL.search(body) and not REFUSAL.search(user) else "copied_prompt"
-        if _plain_broken(body):
+        if breaks_off(p, CLOSING):
             return "truncated"
     question, material, hyps = split_prompt(kind, user)
     body_t = tokens(body)
@@ -290,9 +238,9 @@ def _copied(kind: str, user: str, body: str) -> bool:
     if not any(tuple(b[i : i + least]) in grams for i in range(len(b) - least + 1)):
         return False
     times = max(1, round(len(b) / max(1, len(q))))
-    if tile(b, q * min(times, 4), least) >= 0.7 * len(b):
+    if tile(b, q * times, least) >= 0.7 * len(b):
         return True
-    return tile(q, b, least) >= 0.8 * len(q) and tile(b, tokens(user) * (2 if len(b) > 1.2 * len(tokens(user)) else 1), 3) >= 0.8 * len(b)
+    return tile(q, b, least) >= 0.8 * len(q) and tile(b, tokens(user) * max(1, round(len(b) / max(1, len(tokens(user))))), 3) >= 0.8 * len(b)
 
 
 def _wrong_language(kind: str, question: str, material: str, hyps: list[str], body: str, body_t: list[str]) -> str | None:
@@ -306,7 +254,7 @@ def _wrong_language(kind: str, question: str, material: str, hyps: list[str], bo
         want = language(question)
         return "wrong_language" if want and got != want else None
     if kind == "translate":
-        target = next((k for k, p in TARGETS if p.search(question)), None)
+        target = target_language(question)
         return "wrong_language" if target and got != target else None
     return None
 
