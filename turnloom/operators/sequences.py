@@ -65,13 +65,13 @@ def row_positions(df: DataFrame, entity: str, order: list[str], name: str = "pos
     return rows.mapInPandas(number, _with_long(rows, name))
 
 
-def label_runs(df: DataFrame, entity: str, order: list[str], key: str, breaks: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray], name: str = "run", partitions: int | None = None) -> DataFrame:
-    """``df`` with the ``key`` of the first row of each run in column ``name``.
+def label_runs(df: DataFrame, entity: str, order: list[str], key: str, breaks: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray], name: str = "run", partitions: int | None = None, keep: str = "true") -> DataFrame:
+    """``df`` with the ``key`` of the first row of each run in column ``name``; only rows that meet ``keep``, tested after the sort.
 
     ``breaks(before, now)`` gets two equally long frames of consecutive rows and says where a new run begins; another
     entity always begins one. ``key`` must be unique and of type bigint.
     """
-    rows = range_sorted(df.where(F.col(entity).isNotNull()), entity, order, partitions)
+    rows = range_sorted(df.where(F.col(entity).isNotNull()), entity, order, partitions).where(keep)
     columns = rows.columns
 
     def starts(before: pd.DataFrame | None, pdf: pd.DataFrame) -> np.ndarray:
