@@ -1,20 +1,24 @@
 """Clean, ordered speaker turns from transcripts.
 
-The line parser is a chain of regular (finite-state) grammars over one line: tool times, sound annotations, speaker
-labels, then standalone hesitations, each taken off before the next is read. All of it runs as JVM expressions.
+A finite-state parser (``transcript_lines``) reads texts of several lines in the known caption and transcript layouts;
+each line is then read by regular grammars in order: tool times, sound annotations, speaker labels, then standalone
+hesitations, each taken off before the next is read. All of that runs as JVM expressions. Consecutive lines of a speaker
+are merged by a carried scan over range-sorted rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import fold_width, py_strip, speaker_label
-from turnloom.operators.intervals import range_sorted, valid_times
+from turnloom.llm.transcript_lines import parse_lines
+from turnloom.operators.intervals import valid_times
+from turnloom.operators.sequences import label_runs
 
 _CLOCK = r"[0-9]{1,4}:[0-5]?[0-9](?::[0-5]?[0-9])?(?:[.,][0-9]{1,6})?"
 _STAMP = r"[0-9]{1,3}:[0-5][0-9]:[0-5][0-9](?:[.,][0-9]{1,6})?"
@@ -80,60 +84,76 @@ def mark_dirt(turns: DataFrame, text: str = "text", speaker: str = "speaker_id")
     ).drop("__seen", "__t", "__s", "__l", "__p")
 
 
+def _parsed(turns: DataFrame, text: str = "text") -> DataFrame:
+    """``turns`` with ``__read``: the parser's state after a text of several lines, null for one line."""
+    raw = F.when(F.col(text).rlike("[\r\n]"), F.col(text))
+    return turns.withColumn("__read", F.when(raw.isNotNull(), parse_lines(F.when(raw.rlike(_MAY_FOLD), fold_width(raw)).otherwise(raw))))
+
+
 def dirty_turns(current: DataFrame) -> DataFrame:
     """One row per turn and kind of dirt: (turn_id, dirt, speaker)."""
+    read = _parsed(current.select("turn_id", "speaker_id", "text"))
+    read = read.withColumn("text", F.when(F.col("__read").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__read.lines", lambda x: x["text"]), "\n")))
+    more = F.when(F.col("__read").isNull(), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(F.when(F.col("__read.times"), F.lit("timestamp")), F.when(F.col("__read.labels"), F.lit("label")))))
+    marked = mark_dirt(read).select("turn_id", F.when(F.col("__read").isNull(), F.col("dirt")).otherwise(F.array_union("dirt", more)).alias("dirt"), F.col("clean_speaker").alias("speaker"))
     # an outer explode: the filter that Spark infers for an inner one is pushed below the grammars and runs them again
-    return mark_dirt(current).select("turn_id", F.explode_outer("dirt").alias("dirt"), F.col("clean_speaker").alias("speaker")).where("dirt is not null")
+    return marked.select("turn_id", F.explode_outer("dirt").alias("dirt"), "speaker").where("dirt is not null")
+
+
+def turn_lines(turns: DataFrame) -> DataFrame:
+    """(meeting_id, turn_id, line, start_ms, end_ms, speaker_id, text): a row per line that speaks; ``turns`` has times in ms.
+
+    A line's own times and name hold where its layout gives them, else those of its turn.
+    """
+    own = F.struct(F.col("start_ms"), F.col("end_ms"), F.lit(None).cast("string").alias("label"), F.coalesce("text", F.lit("")).alias("text"))
+    lines = F.when(F.col("__read").isNull(), F.array(own)).otherwise(F.col("__read.lines"))
+    x = _parsed(turns).select("meeting_id", "turn_id", "speaker_id", F.col("start_ms").alias("s"), F.col("end_ms").alias("e"), F.posexplode(lines).alias("line", "x"))
+    return x.select("meeting_id", "turn_id", "line", F.coalesce("x.start_ms", "s").alias("start_ms"), F.coalesce("x.end_ms", F.greatest("x.start_ms", "e"), "e").alias("end_ms"), F.coalesce("x.label", "speaker_id").alias("speaker_id"), F.col("x.label").alias("label"), F.col("x.text").alias("text"))
 
 
-def _run_summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    first = last = None
-    begun, count, whole = 0, 0, True
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in order of their runs: one row for each stretch of a run within the partition."""
+    held: list | None = None  # meeting, run, speaker, first start, greatest end, texts
     for pdf in batches:
-        for m, s, t in zip(pdf["meeting_id"], pdf["clean_speaker"], pdf["turn_id"]):
-            if first is None:
-                first, last, begun, count = (m, s), (m, s), t, 1
-            elif (m, s) == last:
-                count += 1
-            else:
-                last, begun, count, whole = (m, s), t, 1, False
-    if first is not None:
-        yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "m0": [first[0]], "s0": [first[1]], "m1": [last[0]], "s1": [last[1]], "begun": [begun], "n": [count], "whole": [whole]})
-
-
-def speaker_turns(current: DataFrame, part_turns: int = 500, partitions: int | None = None) -> DataFrame:
+        out = []
+        if not len(pdf):
+            continue
+        run = pdf["run"].to_numpy(np.int64)
+        cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+        ends, texts = pdf["end_ms"].to_numpy(np.int64), pdf["clean_text"].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            r = int(run[a])
+            if held is None or held[1] != r:
+                if held is not None:
+                    out.append((*held[:5], " ".join(held[5]), len(held[5])))
+                held = [pdf["meeting_id"].iat[a], r, pdf["clean_speaker"].iat[a], int(pdf["start_ms"].iat[a]), int(ends[a]), []]
+            held[4] = max(held[4], int(ends[a:b].max()))
+            held[5] += texts[a:b]
+        yield pd.DataFrame(out, columns=["meeting_id", "run", "speaker", "start_ms", "end_ms", "text", "n"])
+    if held is not None:
+        yield pd.DataFrame([(*held[:5], " ".join(held[5]), len(held[5]))], columns=["meeting_id", "run", "speaker", "start_ms", "end_ms", "text", "n"])
+
+
+def speaker_turns(current: DataFrame, partitions: int | None = None) -> DataFrame:
     """Clean turns, consecutive lines of one speaker merged: (meeting_id, start_ms, end_ms, speaker, text, n_turns).
 
-    Order is by start and end, then turn_id. The rows are range-sorted, so a meeting that holds a third of them is
-    spread over many tasks; the run that is open at a partition's end is carried over as one row per partition. A run
-    of more than ``part_turns`` lines comes out in parts of that many, so that no row grows without bound. Turns with
-    impossible times and turns of which nothing is left are not in the result.
+    Order is by start and end, then turn_id and line. The rows are range-sorted, so a meeting that holds a third of them
+    is spread over many tasks; the run that is open at a partition's end is carried over as one row per partition, and a
+    run's lines are joined within each partition before its parts meet. ``speaker`` is speaker_N, a name that the text
+    itself gives, or unknown; ``n_turns`` counts lines. Turns with impossible times and lines of which nothing is left
+    are not in the result.
     """
-    rows = mark_dirt(valid_times(current.where(F.col("meeting_id").isNotNull()))).select("meeting_id", "start_ms", "end_ms", "turn_id", "clean_speaker", "clean_text")
-    # filtered after the checkpoint: before it the filter would be pushed below the grammars and run them again
-    rows = range_sorted(rows, "meeting_id", ["start_ms", "end_ms", "turn_id"], partitions).where("clean_text <> ''")
-    summaries = rows.mapInPandas(_run_summary, "pid int, m0 string, s0 string, m1 string, s1 string, begun bigint, n bigint, whole boolean").collect()  # one row per partition
-    carry, state = {}, None
-    for r in sorted(summaries, key=lambda r: r.pid):
-        carry[r.pid] = state
-        if r.whole and state is not None and (r.m0, r.s0) == state[0]:
-            state = (state[0], state[1], state[2] + r.n)
-        else:
-            state = ((r.m1, r.s1), r.begun, r.n)
-    shared = current.sparkSession.sparkContext.broadcast(carry)
-
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = shared.value.get(TaskContext.get().partitionId())
-        for pdf in batches:
-            runs, parts = [], []
-            for m, s, t in zip(pdf["meeting_id"], pdf["clean_speaker"], pdf["turn_id"]):
-                state = (state[0], state[1], state[2] + 1) if state is not None and state[0] == (m, s) else ((m, s), t, 1)
-                runs.append(state[1])
-                parts.append((state[2] - 1) // part_turns)
-            yield pdf.assign(run=runs, part=parts)
-
-    labelled = rows.mapInPandas(label, "meeting_id string, start_ms bigint, end_ms bigint, turn_id bigint, clean_speaker string, clean_text string, run bigint, part bigint")
-    lines = F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "turn_id", "clean_text")))
-    return labelled.groupBy("meeting_id", "run", "part", F.col("clean_speaker").alias("speaker")).agg(
-        F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.array_join(F.transform(lines, lambda x: x["clean_text"]), " ").alias("text"), F.count(F.lit(1)).alias("n_turns")
-    ).select("meeting_id", "start_ms", "end_ms", "speaker", "text", "n_turns")
+    rows = valid_times(current.where(F.col("meeting_id").isNotNull())).select("meeting_id", "turn_id", "start_ms", "end_ms", "speaker_id", "text")
+    rows = mark_dirt(turn_lines(rows)).select(
+        "meeting_id", "start_ms", "end_ms", (F.col("turn_id") * (1 << 20) + F.col("line")).alias("row_key"), "clean_text",
+        F.when((F.col("clean_speaker") == "unknown") & F.col("label").isNotNull(), F.trim("label")).otherwise(F.col("clean_speaker")).alias("clean_speaker"),
+    )
+
+    def breaks(before: pd.DataFrame, now: pd.DataFrame) -> np.ndarray:
+        return before["clean_speaker"].to_numpy(object) != now["clean_speaker"].to_numpy(object)
+
+    # lines without text are filtered after the range sort's checkpoint: before it the filter would be pushed below the grammars and run them again
+    runs = label_runs(rows, "meeting_id", ["start_ms", "end_ms", "row_key"], "row_key", breaks, partitions=partitions, keep="clean_text <> ''")
+    parts = runs.mapInPandas(_merged, "meeting_id string, run bigint, speaker string, start_ms bigint, end_ms bigint, text string, n bigint")
+    whole = parts.groupBy("meeting_id", "run", "speaker").agg(F.min("start_ms").alias("first"), F.max("end_ms").alias("last"), F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "text"))).alias("x"), F.sum("n").alias("n_turns"))
+    return whole.select("meeting_id", F.col("first").alias("start_ms"), F.col("last").alias("end_ms"), "speaker", F.array_join(F.transform("x", lambda y: y["text"]), " ").alias("text"), "n_turns")

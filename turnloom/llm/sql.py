@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from turnloom.functions.text import width_pairs
-from turnloom.llm.speaker_turns import _LATIN, _LIKE, SOUND_EN, SOUND_ZH
+
+# Stems of words for noises, and letters that look like Latin ones, kept apart from the operator's own lists.
+SOUND_EN = "laugh|cough|sneez|sniff|sigh|breath|yawn|music|applau|clap|nois|static|silen|inaudible|unintelligible|crosstalk|ring|beep|knock|door|typing|keyboard|background|pause|throat|phone|footstep|click|hum|chuckl"
+SOUND_ZH = "笑|咳|静音|静默|沉默|无声|音乐|掌声|鼓掌|敲门|关门|开门|门声|噪音|噪声|杂音|呼吸|叹气|喷嚏|铃声|电话响|听不清|脚步|背景音|键盘|清嗓"
+_LIKE, _LATIN = "аеорсухіѕАВЕМНОРСТХЅІΑΒΕΗΜΝΟΡΤΧΥΖ", "aeopcyxisABEMHOPCTXSIABEHMNOPTXYZ"
 
 _TURNS = "t as (select * from (select *, row_number() over (partition by turn_id order by loaded_at desc) as rn from turns) where rn = 1)"
 _UNITS = "u as (select * from (select *, row_number() over (partition by unit_key order by loaded_at desc) as rn from units) where rn = 1)"
