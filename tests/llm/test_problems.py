@@ -351,7 +351,7 @@ def test_shared_spans_equal_brute_force(spark, seed, alphabet, monkeypatch):
     docs = _corpus(seed, alphabet)
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id bigint, text string, h string")
     assert {tuple(r) for r in shared_spans.found_shared(df).collect()} == _pairs(docs)
-    monkeypatch.setattr(shared_spans, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(shared_spans, "BROADCAST_BYTES", 0)
     covered = {}
     for d, x in docs:
         if x:
@@ -363,16 +363,15 @@ def test_shared_spans_equal_brute_force(spark, seed, alphabet, monkeypatch):
     assert {r.doc_id: r.shared_chars for r in shared_spans.shared_share(df).collect()} == covered
 
 
-def test_large_classes_of_copies_are_linked_to_one(spark, monkeypatch):
+def test_copies_are_expanded_or_linked_to_one(spark):
     rnd = random.Random(9)
     t = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
     x, y = t(700), t(400)
     docs = [(i, x) for i in range(10, 16)] + [(i, y) for i in (1, 20, 21)] + [(30, t(100) + x[:350]), (31, y[50:] + t(90)), (32, t(500)), (40, t(200)), (41, None)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert {tuple(r) for r in shared_spans.found_shared(df).collect()} == _pairs(docs)
-    monkeypatch.setattr(shared_spans, "EXPAND", 3)
-    got = [tuple(r) for r in shared_spans.found_shared(df).collect()]
-    assert len(got) == len(set(got)) and set(got) == {(10, i) for i in range(11, 16)} | {(10, 30)} | {(a, b) for a in (1, 20, 21) for b in (1, 20, 21) if a < b} | {(1, 31), (20, 31), (21, 31)}
+    got = [tuple(r) for r in shared_spans.found_shared(df, expand=False).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(10, i) for i in range(11, 16)} | {(10, 30)} | {(1, 20), (1, 21), (1, 31)}
     assert {(r.doc_id, r.class_id) for r in shared_spans.copy_classes(df).collect()} == {(i, 10) for i in range(10, 16)} | {(1, 1), (20, 1), (21, 1)}
 
 

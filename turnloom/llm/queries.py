@@ -41,6 +41,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_found": lambda s, d: leaks.found_leaks(t(s, d, "documents"), t(s, d, "eval_items")),
         "p8_templates": lambda s, d: leaks.reparameterised(t(s, d, "documents"), t(s, d, "eval_items")),
         "p9_found": lambda s, d: shared_spans.found_shared(t(s, d, "documents")),
+        "p9_links": lambda s, d: shared_spans.found_shared(t(s, d, "documents"), expand=False),
+        "p9_spans": lambda s, d: shared_spans.shared_stretches(t(s, d, "documents")),
         "p9_classes": lambda s, d: shared_spans.copy_classes(t(s, d, "documents")).select("doc_id", "class_id"),
         "p9_shared": lambda s, d: shared_spans.shared_share(t(s, d, "documents")),
     }

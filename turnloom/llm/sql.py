@@ -73,6 +73,13 @@ select distinct tbl, row_id from y where regexp_matches(s, '[{_INV}{_SPACES}\\x{
 _WINDOWS = """w as (select doc_id, i, hash(substring(text, i, 300)) as h from (select doc_id, text, unnest(range(1, length(text) - 298)) as i from documents where length(text) >= 300)),
 r as (select h from w group by h having min(doc_id) < max(doc_id)), x as (select doc_id, i, h from w where h in (select h from r))"""
 P9_FOUND = f"with {_WINDOWS} select distinct a.doc_id as doc_a, b.doc_id as doc_b from (select distinct doc_id, h from x) a join (select distinct doc_id, h from x) b on a.h = b.h and a.doc_id < b.doc_id"
+P9_LINKS = f"""with {_WINDOWS}, c as (select doc_id, min(doc_id) over (partition by text) as class_id from documents where length(text) >= 300),
+p as ({{P9_FOUND}}), q as (select a.class_id as a, b.class_id as b from p join c a on a.doc_id = doc_a join c b on b.doc_id = doc_b where a.class_id <> b.class_id)
+select distinct least(a, b) as doc_a, greatest(a, b) as doc_b from q union all select class_id, doc_id from c where class_id <> doc_id"""
+P9_LINKS = P9_LINKS.replace("{P9_FOUND}", P9_FOUND.split(_WINDOWS)[1])
+P9_SPANS = f"""with {_WINDOWS}, g as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p from x),
+k as (select doc_id, i, sum(case when p is null or i - p > 300 then 1 else 0 end) over (partition by doc_id order by i rows unbounded preceding) as n from g)
+select doc_id, min(i)::int - 1 as "start", max(i)::int + 299 as "end" from k group by doc_id, n"""
 P9_CLASSES = "select doc_id, min(doc_id) over (partition by text) as class_id from documents where length(text) >= 300 qualify count(*) over (partition by text) > 1"
 P9_SHARED = f"""with {_WINDOWS}, g as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p from x),
 c as (select doc_id, sum(least(300, i - coalesce(p, i - 300))) as n from g group by doc_id)
@@ -81,4 +88,4 @@ select d.doc_id, length(text) as n_chars, coalesce(n, 0) as shared_chars, round(
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p9_classes": P9_CLASSES, "p9_shared": P9_SHARED}
+    return {"p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p9_links": P9_LINKS, "p9_spans": P9_SPANS, "p9_classes": P9_CLASSES, "p9_shared": P9_SHARED}
