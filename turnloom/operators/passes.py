@@ -106,7 +106,7 @@ def _turn_decision(text: Column, overlap: Column, reply: Column) -> Column:
 
     def decide(r: Column) -> Column:
         none = F.size(F.coalesce(r["edits"], F.array().cast(EDIT))) == 0
-        error = F.when(none, F.when(r["text"].isNull() | r["base_model"].isNull(), "missing text or base_model")).otherwise(pass_b_error(r))
+        error = pass_b_error(r)
         return _let(
             F.struct(error.alias("error"), F.when(none, text).otherwise(apply_first(text, r["edits"])).alias("applied")),
             lambda x: F.struct(

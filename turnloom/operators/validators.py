@@ -38,13 +38,14 @@ def _empty(c: Column) -> Column:
 
 
 def judgment_schema(reply: Column) -> Column:
-    """Text and base model present; each edit with tier and spans, a known tier, an anchor in tier C."""
+    """Text and base model present, edits a list (null is none); each edit an object with tier and spans, a known tier, an anchor in tier C."""
     per_edit = lambda e: _first(
+        (e.isNull(), "edit must be dict"),
         (e["tier"].isNull() | e["span_asr"].isNull() | e["span_out"].isNull(), "edit missing tier/span fields"),
         (~e["tier"].isin(*TIERS), F.concat(F.lit("bad tier "), e["tier"])),
         ((e["tier"] == "C") & _empty(e["anchor"]), "Tier C requires anchor"),
     )
-    return F.when(reply["text"].isNull() | reply["base_model"].isNull(), "missing text or base_model").otherwise(first_error(reply["edits"], per_edit))
+    return F.when(reply["text"].isNull() | reply["base_model"].isNull(), "missing text or base_model").when(reply["edits"].isNull(), "edits must be list").otherwise(first_error(reply["edits"], per_edit))
 
 
 def span_local(edits: Column, most: int = 1) -> Column:
@@ -142,10 +143,11 @@ def polish_edit_error(e: Column, text: Column, hyps: Column, neighbors: Column,
 def polish_error(reply: Column, text: Column, hyps: Column, neighbors: Column, hotwords: Column) -> Column:
     """Schema of all edits first, then the discipline of each."""
     schema = lambda e: _first(
+        (e.isNull(), F.lit("edit must be dict")),
         (e["span_asr"].isNull() | e["span_out"].isNull() | e["kind"].isNull(), F.lit("edit missing span_asr/span_out/kind")),
         (~F.lower(e["kind"]).isin(*KINDS), F.concat(F.lit("bad kind '"), F.lower(e["kind"]), F.lit("'"))),
     )
-    return F.coalesce(F.when(reply["text"].isNull(), "missing text"), first_error(reply["edits"], schema), first_error(reply["edits"], lambda e: polish_edit_error(e, text, hyps, neighbors, hotwords)))
+    return F.coalesce(F.when(reply["text"].isNull(), "missing text").when(reply["edits"].isNull(), "edits must be list"), first_error(reply["edits"], schema), first_error(reply["edits"], lambda e: polish_edit_error(e, text, hyps, neighbors, hotwords)))
 
 
 def apply_first(text: Column, edits: Column) -> Column:

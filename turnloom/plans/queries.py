@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import speaker_label
@@ -230,20 +230,46 @@ def _replies(s: SparkSession, d: str) -> DataFrame:
     return j.select("infer_id", replies.parsed(F.col("json_text")).alias("reply")).where("reply is not null")
 
 
+#: Ways in which the rules' drill damages a reply: (name, what is replaced, by what), applied in order of the pairs.
+DAMAGE: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = (
+    ("none", ()), ("not_objects", (('"edits": [', '"edits": [1, '), (", ]", "]"))), ("no_list", (('"edits": [', '"edits": "x", "more": ['),)), ("null_list", (('"edits": [', '"edits": null, "more": ['),)),
+    ("tier_c", (('"tier": "A"', '"tier": "C"'),)), ("no_tier", (('"tier": ', '"rank": '),)), ("other_tier", (('"tier": "A"', '"tier": "Q"'),)), ("tier_b_longer", (('"tier": "A"', '"tier": "B"'), ('"span_out": "', '"span_out": "q'))),
+    ("longer", (('"span_out": "', '"span_out": "zz'),)), ("no_anchor", (('"tier": "A"', '"tier": "C"'), ('"anchor": ', '"at": '))), ("no_base", (('"base_model"', '"model"'),)), ("world", (('"tier": "A"', '"tier": "C"'), ('"anchor": "hyp"', '"anchor": "world"'))),
+    ("entity", (('"tier": ', '"kind": "Entity", "evidence": "seen", "tier": '), ('"span_out": "', '"span_out": "q'))), ("punc", (('"tier": ', '"kind": "punc", "tier": '), ('"span_out": "', '"span_out": ",'))), ("itn", (('"tier": ', '"kind": "itn", "tier": '),)),
+    ("elsewhere", (('"tier": ', '"kind": "codeswitch", "tier": '), ('"span_asr": "', '"span_asr": "#'))), ("digits", (('"tier": ', '"kind": "entity", "tier": '), ('"span_out": "', '"span_out": "7'))), ("inserted", (('"tier": ', '"kind": "entity", "tier": '), ('"span_asr": "', '"span_asr": "", "was": "'))),
+)
+
+
+def _damaged(s: SparkSession, d: str) -> DataFrame:
+    """(infer_id, damage, json_text): each current reply as it is and in every damaged way."""
+    j = replies.extract_json(_infer(s, d), "infer_id", "response")
+
+    def ruin(pairs: tuple[tuple[str, str], ...]) -> Column:
+        c = F.col("json_text")
+        for old, new in pairs:
+            c = F.replace(c, F.lit(old), F.lit(new))
+        return c
+
+    each = F.array(*[F.struct(F.lit(name).alias("damage"), ruin(pairs).alias("json_text")) for name, pairs in DAMAGE])
+    return j.select("infer_id", F.explode(each).alias("x")).select("infer_id", "x.*")
+
+
 def judgment_checks(s: SparkSession, d: str) -> DataFrame:
-    """(infer_id, schema_error, span_error, ladder_error, pass_b_error) of each reply that holds an object."""
+    """(infer_id, damage, schema_error, span_error, ladder_error, pass_b_error) of each reply, as it is and damaged; one that holds no object has its parse error as schema error."""
     r, e = F.col("reply"), F.col("reply.edits")
-    return _replies(s, d).select("infer_id", validators.judgment_schema(r).alias("schema_error"), validators.span_local(e).alias("span_error"), validators.evidence_ladder(e).alias("ladder_error"), validators.pass_b_error(r).alias("pass_b_error"))
+    x = _damaged(s, d).withColumns({"reply": replies.parsed(F.col("json_text")), "lost": replies.parse_error(F.col("json_text"))})
+    bad = F.coalesce(F.col("lost"), validators.judgment_schema(r))
+    return x.select("infer_id", "damage", bad.alias("schema_error"), validators.span_local(e).alias("span_error"), validators.evidence_ladder(e).alias("ladder_error"), F.coalesce("lost", validators.pass_b_error(r)).alias("pass_b_error"))
 
 
 def polish_checks(s: SparkSession, d: str) -> DataFrame:
-    """(infer_id, error, new_text, n_located): edits of a reply checked as polish of its own text, and applied to it."""
-    r = _replies(s, d).join(_infer(s, d).select("infer_id", F.coalesce("user_text", F.lit("")).alias("source")), "infer_id")
+    """(infer_id, damage, error, new_text, n_located): the edits of each reply checked as polish of its own text with its prompt as evidence, and applied to it."""
+    x = _damaged(s, d).withColumns({"reply": replies.parsed(F.col("json_text")), "lost": replies.parse_error(F.col("json_text"))})
+    r = x.join(_infer(s, d).select("infer_id", F.coalesce("user_text", F.lit("")).alias("source")), "infer_id")
     text = F.coalesce("reply.text", F.lit(""))
-    edits = F.transform(F.coalesce("reply.edits", F.array().cast(validators.EDIT)), lambda e: e.withField("kind", F.coalesce(e["kind"], F.lit("entity"))))
-    r = r.withColumn("edits", edits).withColumn("located", validators.locate_polish(text, F.col("edits")))
-    err = validators.polish_error(F.col("reply").withField("edits", F.col("edits")), text, F.col("source"), F.col("source"), F.col("source"))
-    return r.select("infer_id", err.alias("error"), validators.apply_located(text, F.col("located")).alias("new_text"), F.size("located").alias("n_located"))
+    r = r.withColumn("located", validators.locate_polish(text, F.filter("reply.edits", lambda e: e.isNotNull())))
+    err = F.coalesce("lost", validators.polish_error(F.col("reply"), text, F.col("source"), F.col("source"), F.col("source")))
+    return r.select("infer_id", "damage", err.alias("error"), validators.apply_located(text, F.col("located")).alias("new_text"), F.size("located").alias("n_located"))
 
 
 def _pass_a(s: SparkSession, d: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from turnloom.functions.text import CER_PUNCT
 from turnloom.operators.passes import KNOWN
 from turnloom.operators.textgrid import ENDS, JOINER
+from turnloom.plans.queries import DAMAGE
 
 _INVISIBLE = "­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯﻿"
 _WS = "\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -62,6 +63,54 @@ def _mock(said: str) -> str:
     return f"case {' '.join(out)} else {{'t': coalesce(coalesce(list_filter({said}, lambda z: z.model = 'moss')[1], {said}[1]).text, ''), 'w': null, 'r': null}} end"
 
 
+def _ruined(c: str, pairs: tuple[tuple[str, str], ...]) -> str:
+    for old, new in pairs:
+        c = f"replace({c}, '{old}', '{new}')"
+    return c
+
+
+_BLOCKS = "(?is)<think>.*?</think>|<thinking>.*?</thinking>|<reason>.*?</reason>|<reasoning>.*?</reasoning>"
+#: The object of a reply: the text from its first to its last brace, think blocks aside, if that is JSON.
+_RUINED = f"""ob as (select infer_id, user_text, regexp_extract(regexp_replace(coalesce(response, ''), '{_BLOCKS}', '', 'g'), '(?s)[{{].*[}}]') as o from i),
+  ruin as (select infer_id, coalesce(user_text, '') as source, unnest([{", ".join(f"{{'damage': '{name}', 'j': {_ruined('jt', pairs)}}}" for name, pairs in DAMAGE)}], recursive := true)
+    from (select *, case when json_valid(o) then o end as jt from ob)),
+  ed0 as (select infer_id, source, damage, case when json_valid(j) then j end as j, j as raw from ruin),
+  ed as (select *, json_type(j) as root, json_type(j, '$.edits') as ety, case when json_type(j, '$.edits') = 'ARRAY' then coalesce(json_array_length(j, '$.edits'), 0) else 0 end as ne from ed0),
+  mem as (select infer_id, source, damage, root, ety, j, raw, unnest(case when ne > 0 then range(ne::bigint) else [null] end) as k from ed),
+  f as (select *, json_extract(j, '$.edits[' || k || ']') as e from mem),
+  g as (select *, json_type(e) as et, e->>'span_asr' as a, e->>'span_out' as b, e->>'tier' as tier, e->>'kind' as kind, coalesce(e->>'anchor', '') as anchor, coalesce(e->>'evidence', '') as evidence from f),
+  lost as (select distinct infer_id, damage, case when raw is null then 'no JSON object' when j is null then 'LLM JSON parse failed' when root <> 'OBJECT' then 'LLM JSON root must be object' end as lost,
+    j->>'text' as text, case when json_type(j, '$.text') is null or json_type(j, '$.base_model') is null then 'missing text or base_model' when ety is not null and ety <> 'ARRAY' then 'edits must be list' end as head,
+    case when json_type(j, '$.text') is null then 'missing text' when ety is not null and ety <> 'ARRAY' then 'edits must be list' end as phead from g)"""
+_SQUEEZE = "regexp_replace({}, '[\\s\\x{{a0}}\\x{{3000}}]', '', 'g')"
+#: Edits between two spans: DuckDB counts bytes, which is right where one side is empty (its letters are counted) or the difference is ASCII, as in the drill.
+_AWAY = f"case when {_SQUEEZE.format('a')} = '' then length({_SQUEEZE.format('b')}) else levenshtein({_SQUEEZE.format('a')}, {_SQUEEZE.format('b')}) end"
+_JUDGED = f"""er as (select infer_id, damage, k,
+    case when e is null then null when et <> 'OBJECT' then 'edit must be dict' when tier is null or a is null or b is null then 'edit missing tier/span fields' when tier not in ('A', 'B', 'C', 'punct') then 'bad tier ' || tier when tier = 'C' and anchor = '' then 'Tier C requires anchor' end as e1,
+    case when et = 'OBJECT' and tier <> 'punct' and abs(length(b) - length(a)) > 1 then 'span_local_char_count failed for ''' || a || ''' -> ''' || b || '''' end as e2,
+    case when et <> 'OBJECT' then null when tier = 'B' and {_SQUEEZE.format("a")} <> {_SQUEEZE.format("b")} then 'Tier B requires exact pinyin: ''' || a || ''' vs ''' || b || '''' when tier = 'C' and anchor = '' then 'Tier C requires anchor'
+      when tier = 'C' and anchor not in ('hyp', 'neighbor_draft', 'meeting_draft', 'hotword') then 'bad Tier C anchor ' || anchor when tier = 'C' and ({_AWAY}) > 2 then 'Tier C pinyin edit distance ' || ({_AWAY}) || ' > 2' end as e3,
+    case when et = 'OBJECT' and tier not in ('B', 'C', 'punct') then 'tier ''' || tier || ''' not allowed in this pass' end as e4, et = 'OBJECT' and tier = 'A' as is_a from g),
+  fe as (select infer_id, damage, arg_min(e1, k) filter (where e1 is not null) as s1, arg_min(e2, k) filter (where e2 is not null) as s2, arg_min(e3, k) filter (where e3 is not null) as s3,
+    arg_min(coalesce(e4, e3), k) filter (where coalesce(e4, e3) is not null) as s4, coalesce(bool_or(is_a), false) as any_a from er group by all)"""
+_CORE = "regexp_replace({}, '[^一-鿿A-Za-z0-9]', '', 'g')"
+_KIND_OF = "case when regexp_matches({0}, '[一-鿿]') and regexp_matches({0}, '[A-Za-z]') then 'mixed' when regexp_matches({0}, '[一-鿿]') and not regexp_matches({0}, '[0-9]') then 'cjk' when regexp_matches({0}, '[A-Za-z]') then 'latin' end"
+_POLISHED = f"""pr0 as (select g.infer_id, g.damage, k, et, a, b, lower(kind) as kind, anchor, evidence, source, lost.text, {_CORE.format("coalesce(a, '')")} as ca, {_CORE.format("coalesce(b, '')")} as cb,
+    lower(regexp_replace(coalesce(a, ''), '[^A-Za-z]', '', 'g')) as la, lower(regexp_replace(coalesce(b, ''), '[^A-Za-z]', '', 'g')) as lb from g join lost using (infer_id, damage) where e is not null),
+  pr1 as (select *, {_KIND_OF.format("ca")} as sa, {_KIND_OF.format("cb")} as sb, la <> '' and la = lb and not regexp_matches(a, '[一-鿿]') and not regexp_matches(b, '[一-鿿]') as same from pr0),
+  pr2 as (select *, coalesce(sa = 'cjk' and sb = 'cjk', false) as cjk, coalesce(sa = 'latin' and sb = 'latin', false) as lat, coalesce(sa <> sb or (sa = 'mixed' and sb = 'mixed'), false) as sw from pr1),
+  pe as (select infer_id, damage, k,
+    case when et <> 'OBJECT' then 'edit must be dict' when a is null or b is null or kind is null then 'edit missing span_asr/span_out/kind' when kind not in ('punc', 'entity', 'codeswitch') then 'bad kind ''' || kind || '''' end as p1,
+    case when et <> 'OBJECT' or a = b then null when a = '' then 'insertions forbidden' when not contains(text, a) then 'span_asr not in text' when regexp_replace(a, '[^\\p{{Nd}}]', '', 'g') <> regexp_replace(b, '[^\\p{{Nd}}]', '', 'g') then 'number rewrite forbidden'
+      when length(b) > 0 and length(b) < length(a) and length(a) % greatest(length(b), 1) = 0 and repeat(b, (length(a) // greatest(length(b), 1))::bigint) = a then 'repeat collapse forbidden'
+      when cjk and abs(length(ca) - length(cb)) > 2 then 'cjk substitution exceeds ±2 character slack' when not cjk and starts_with(b, a) and {_CORE.format("substring(b, length(a) + 1)")} <> '' then 'added content forbidden'
+      when not cjk and starts_with(a, b) and {_CORE.format("substring(a, length(b) + 1)")} <> '' then 'deleted content forbidden' when kind = 'punc' and ca <> cb then 'punc cannot change words' when kind = 'punc' then null
+      when lat and not same then 'latin rewrite must keep the same letters' when not cjk and not lat and not sw then 'unsupported script mix' when same then null when trim(evidence) = '' then 'missing evidence'
+      when anchor not in ('hyp', 'neighbor_draft', 'meeting_draft', 'hotword') then 'bad/missing anchor ''' || anchor || '''' when trim(b) = '' or not contains(lower(source), lower(trim(b))) then 'span_out not found in ' || anchor || ' evidence' end as p2,
+    case when et = 'OBJECT' and kind in ('punc', 'entity', 'codeswitch') and coalesce(a, '') <> coalesce(b, '') and coalesce(a, '') <> '' and instr(text, a) > 0 then a end as spot, b, text from pr2),
+  pf as (select infer_id, damage, arg_min(p1, k) filter (where p1 is not null) as s1, arg_min(p2, k) filter (where p2 is not null) as s2, count(spot) as n, max(spot) as a, arg_max(b, spot) as b from pe group by all)"""
+
+
 _PASS_A = f"""said as (select unit_key, list({{'model': model, 'text': text}} order by model) as hs, count(distinct case when coalesce(text, '') <> '' then {_norm("text")} end) <= 1 as agree from h group by unit_key),
   pa0 as (select unit_key, meeting_id, not contains_overlap and agree as skipped_llm, coalesce(list_filter(hs, lambda z: coalesce(z.text, '') <> '')[1], hs[1]).text as best, {_mock("hs")} as r from said join u using (unit_key) where not skip_asr),
   pa as (select unit_key, meeting_id, coalesce(case when skipped_llm then best else r.t end, '') as text, skipped_llm from pa0)"""
@@ -83,6 +132,10 @@ def oracle_sql() -> dict[str, str]:
         "pass_b_sequential": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
         "pass_stats_b": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select count(*) as n_audits, count(*) filter (where path = 'llm') as llm, 0 as fallback, 0 as moss_aware_reject,
             count(*) filter (where path = 'empty_edits_reject') as empty_edits_reject from pq where path is not null""",
+        "judgment_checks": f"""with {_I}, {_RUINED}, {_JUDGED} select infer_id, damage, coalesce(lost, head, s1) as schema_error, s2 as span_error, s3 as ladder_error,
+            coalesce(lost, head, s1, case when any_a then 'pass_b_rejects_tier_a' end, s2, s4) as pass_b_error from lost left join fe using (infer_id, damage)""",
+        "polish_checks": f"""with {_I}, {_RUINED}, {_POLISHED} select infer_id, damage, coalesce(lost, phead, s1, s2) as error,
+            case when coalesce(n, 0) > 0 then substring(lost.text, 1, instr(lost.text, a) - 1) || coalesce(b, '') || substring(lost.text, instr(lost.text, a) + length(a)) else coalesce(lost.text, '') end as new_text, coalesce(n, 0)::int as n_located from lost left join pf using (infer_id, damage)""",
         "moss_restore": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' then moss else text end as new_text,
             o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' as restored from pt""",
         "neighbor_prompt": f"""with {_T}, {_U}, {_V}, {_MEM}, {_SPAN},
