@@ -22,44 +22,56 @@ KNOWN = (("产用", "采用", "C", "hyp"), ("单方接", "单框架", "C", "hotw
 
 
 def mock_reply(hyps: Column, overlap: Column) -> Column:
-    """The offline judge: a known wrong span of the first hypothesis that has one is put right, else moss or the first is kept."""
+    """The offline judge: where a hypothesis has the first known span right while another has it wrong, it is taken as it is;
+    else a known wrong span of the first hypothesis that has one is put right; else moss or the first is kept."""
     text_of = lambda m: F.try_element_at(F.filter(hyps, lambda h: h["model"] == m), F.lit(1))
     base = F.coalesce(text_of("moss"), F.try_element_at(hyps, F.lit(1)))
     plain = F.struct(F.coalesce(base["text"], F.lit("")).alias("text"), F.coalesce(base["model"], F.lit("moss")).alias("base_model"), F.array().cast(EDIT).alias("edits"), overlap.alias("overlap")).cast(REPLY)
-    out = None
+    wrong, right = KNOWN[0][:2]
+    chosen = F.when(F.exists(hyps, lambda h: h["text"].contains(wrong)), F.try_element_at(F.filter(hyps, lambda h: h["text"].contains(right)), F.lit(1)))
+    out = F.when(chosen.isNotNull(), F.struct(chosen["text"].alias("text"), chosen["model"].alias("base_model"), F.array().cast(EDIT).alias("edits"), overlap.alias("overlap")).cast(REPLY))
     hit = lambda wrong: F.try_element_at(F.filter(hyps, lambda h: h["text"].contains(wrong)), F.lit(1))
     for wrong, right, tier, anchor in KNOWN:
         h = hit(wrong)
         edit = F.struct(F.lit(wrong).alias("span_asr"), F.lit(right).alias("span_out"), F.lit(tier).alias("tier"), F.lit(None).cast("string").alias("kind"), F.lit(anchor).alias("anchor"), F.lit(None).cast("string").alias("evidence"), F.lit(None).cast("int").alias("start_char"))
         reply = F.struct(F.replace(h["text"], F.lit(wrong), F.lit(right)).alias("text"), h["model"].alias("base_model"), F.array(edit).cast(EDIT).alias("edits"), overlap.alias("overlap")).cast(REPLY)
-        out = F.when(h.isNotNull(), reply) if out is None else out.when(h.isNotNull(), reply)
+        out = out.when(h.isNotNull(), reply)
     return out.otherwise(plain)
 
 
 def unit_texts(units: DataFrame, replies: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
-    """(unit_key, text, skipped_llm, forced_moss, fallback_ok, fallback, last_error): one decision per unit.
+    """(unit_key, text, skipped_llm, forced_moss, retries, fallback_ok, fallback, last_error): one decision per unit.
 
     ``units``: unit_key, hyps, contains_overlap. Units whose hypotheses agree off overlap are settled before any judge
-    is asked. ``replies`` and ``fallback``: (unit_key, reply) of a judge; without them the offline judge replies. An
-    invalid reply falls to the fallback judge, then to the best hypothesis. Under overlap a reply that rests on another
-    model than moss without any edit gives the moss text.
+    is asked. ``replies``: (unit_key, reply) of a judge, or (unit_key, tries) with its replies in order; ``fallback``:
+    (unit_key, reply); without them the offline judge replies. The first valid reply counts, ``retries`` is the number
+    of invalid ones before it; after the last one the fallback judge is heard, then the best hypothesis is taken. Under
+    overlap a reply that rests on another model than moss without any edit gives the moss text.
     """
     agree = ~F.col("contains_overlap") & all_agree(F.col("hyps"))
     u = units.withColumn("skipped_llm", agree)
-    u = u.withColumn("reply", F.when(~agree, mock_reply(F.col("hyps"), F.col("contains_overlap")))) if replies is None else u.join(replies, "unit_key", "left")
-    u = u.withColumn("second", F.lit(None).cast(REPLY)) if fallback is None else u.join(fallback.withColumnRenamed("reply", "second"), "unit_key", "left")
-    error = lambda r: F.when(F.col(r).isNull(), "no reply").otherwise(pass_a_error(F.col(r)))
-    u = u.withColumns({"err1": error("reply"), "err2": error("second")})
-    chosen = F.when(F.col("err1").isNull(), F.col("reply")).when(F.col("err2").isNull(), F.col("second"))
+    if replies is None:
+        u = u.withColumn("tries", F.when(~agree, F.array(mock_reply(F.col("hyps"), F.col("contains_overlap")))))
+    else:
+        u = u.join(replies if "tries" in replies.columns else replies.select("unit_key", F.array("reply").alias("tries")), "unit_key", "left")
+    u = u.withColumn("second", F.lit(None).cast(REPLY)) if fallback is None else u.join(fallback.select("unit_key", F.col("reply").alias("second")), "unit_key", "left")
+    error = lambda r: F.when(r.isNull(), "no reply").otherwise(pass_a_error(r))
+    heard = F.coalesce("tries", F.array(F.lit(None).cast(REPLY)))
+    u = u.withColumn("judged", F.transform(heard, lambda r: F.struct(error(r).alias("error"), r.alias("reply")))).withColumn("err2", error(F.col("second")))
+    u = u.withColumn("good", F.try_element_at(F.filter("judged", lambda x: x["error"].isNull()), F.lit(1))["reply"])
+    failed = F.coalesce(F.array_position(F.transform("judged", lambda x: x["error"].isNull()), True) - 1, F.lit(-1))
+    u = u.withColumns({"failed": F.when(failed < 0, F.size("judged")).otherwise(failed).cast("int"), "err1": F.try_element_at(F.transform("judged", lambda x: x["error"]), F.lit(-1))})
+    chosen = F.coalesce("good", F.when(F.col("err2").isNull(), F.col("second")))
     moss = F.filter("hyps", lambda h: (h["model"] == "moss") & (F.coalesce(h["text"], F.lit("")) != ""))
     u = u.withColumn("chosen", F.when(~F.col("skipped_llm"), chosen))
     forced = ~F.col("skipped_llm") & F.col("chosen").isNotNull() & F.col("contains_overlap") & (F.col("chosen.base_model") != "moss") & F.exists("hyps", lambda h: h["model"] == "moss") & (F.size(F.coalesce("chosen.edits", F.array().cast(EDIT))) == 0)
     best = best_hyp(F.col("hyps"), F.col("contains_overlap"))["text"]
     text = F.when(F.col("skipped_llm"), best_hyp(F.col("hyps"), F.lit(False))["text"]).when(F.col("chosen").isNull(), best).when(F.col("forced_moss"), F.coalesce(F.try_element_at(moss, F.lit(1))["text"], best)).otherwise(F.col("chosen.text"))
+    asked, lost = ~F.col("skipped_llm"), F.col("chosen").isNull()
     return u.withColumn("forced_moss", F.coalesce(forced, F.lit(False))).select(
-        "unit_key", F.coalesce(text, F.lit("")).alias("text"), "skipped_llm", "forced_moss",
-        (~F.col("skipped_llm") & F.col("err1").isNotNull() & F.col("err2").isNull()).alias("fallback_ok"),
-        (~F.col("skipped_llm") & F.col("chosen").isNull()).alias("fallback"), F.when(~F.col("skipped_llm") & F.col("chosen").isNull(), F.col("err1")).alias("last_error"),
+        "unit_key", F.coalesce(text, F.lit("")).alias("text"), "skipped_llm", "forced_moss", F.when(asked, F.col("failed")).otherwise(0).alias("retries"),
+        (asked & F.col("good").isNull() & ~lost).alias("fallback_ok"), (asked & lost).alias("fallback"),
+        F.when(asked & lost, F.when(F.lit(fallback is not None), F.coalesce("err2", "err1")).otherwise(F.col("err1"))).alias("last_error"),
     )
 
 
@@ -101,39 +113,56 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _turn_decision(text: Column, overlap: Column, reply: Column) -> Column:
-    """(text, path) after a reply of the second pass, of which only the edits are applied."""
+def _turn_decision(text: Column, overlap: Column, reply: Column, second: Column | None = None) -> Column:
+    """(text, path, edits, fallback_ok) after a reply of the second pass, of which only the edits are applied; ``second`` is heard if it is invalid."""
+    no_reply = F.lit(None).cast(REPLY)
 
     def decide(r: Column) -> Column:
-        none = F.size(F.coalesce(r["edits"], F.array().cast(EDIT))) == 0
-        error = pass_b_error(r)
         return _let(
-            F.struct(error.alias("error"), F.when(none, text).otherwise(apply_first(text, r["edits"])).alias("applied")),
-            lambda x: F.struct(
-                F.when(r.isNotNull() & x["error"].isNull(), x["applied"]).otherwise(text).alias("text"),
-                F.when(r.isNull(), F.lit(None).cast("string"))
-                .when(x["error"].isNotNull(), "fallback")
-                .when(overlap & ~r["base_model"].isin("moss", "draft") & none, "moss_aware_reject")
-                .when(none & (r["text"] != text), "empty_edits_reject")
-                .when(~none & (x["applied"] != text), "llm")
-                .alias("path"),
+            F.struct(pass_b_error(r["a"]).alias("ea"), pass_b_error(r["b"]).alias("eb")),
+            lambda e: _let(
+                F.struct(F.when(e["ea"].isNull(), r["a"]).when(r["b"].isNotNull() & e["eb"].isNull(), r["b"]).alias("r"), (r["a"].isNotNull() & e["ea"].isNotNull() & r["b"].isNotNull() & e["eb"].isNull()).alias("second")),
+                lambda g: _let(F.when(g["r"].isNotNull(), apply_first(text, g["r"]["edits"])).otherwise(text), lambda applied: outcome(r["a"], g["r"], applied, g["second"])),
             ),
         )
 
-    return _let(reply, decide)
+    def outcome(asked: Column, r: Column, applied: Column, second_ok: Column) -> Column:
+        none = F.size(F.coalesce(r["edits"], F.array().cast(EDIT))) == 0
+        done = ~none & (applied != text)
+        path = (
+            F.when(asked.isNull(), F.lit(None).cast("string")).when(r.isNull(), "fallback").when(overlap & ~r["base_model"].isin("moss", "draft") & none, "moss_aware_reject")
+            .when(none & (r["text"] != text), "empty_edits_reject").when(done, "llm")
+        )
+        return F.struct(applied.alias("text"), path.alias("path"), F.when(done, r["edits"]).alias("edits"), second_ok.alias("fallback_ok"))
+
+    return _let(F.struct(reply.alias("a"), (no_reply if second is None else second).alias("b")), decide)
 
 
-def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] = mock_reply, short_ms: int = 350) -> DataFrame:
-    """(…, new_text, path): the second pass over turns with text of at least ``short_ms``, from a snapshot.
+def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] | DataFrame = mock_reply, short_ms: int = 350, fallback: Callable[[Column, Column], Column] | DataFrame | None = None) -> DataFrame:
+    """(…, new_text, path, edits, fallback_ok): the second pass over turns with text of at least ``short_ms``, from a snapshot.
 
-    ``turns``: text, dur_ms, overlap, moss (text or null). The judge sees moss (if any) and the draft; only its edits
-    are applied, never its text. ``path`` says what was done: llm, moss_aware_reject, empty_edits_reject, fallback
-    (invalid reply), or null for nothing.
+    ``turns``: turn_id, text, dur_ms, overlap, moss (text or null). The judge sees moss (if any) and the draft; only its
+    edits are applied, never its text. A judge is a function from hypotheses and overlap to a reply, or a table
+    (turn_id, reply). ``path`` says what was done: llm, moss_aware_reject, empty_edits_reject, fallback (no valid
+    reply), or null for nothing.
     """
     eligible = (F.coalesce("text", F.lit("")) != "") & (F.col("dur_ms") >= short_ms)
-    t = turns.withColumn("reply", F.when(eligible, replies(_turn_hyps(F.col("text"), F.col("moss")), F.col("overlap"))))
-    t = t.withColumn("decided", _turn_decision(F.col("text"), F.col("overlap"), F.col("reply")))
-    return t.withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("reply", "decided")
+
+    def heard(t: DataFrame, judge: Callable[[Column, Column], Column] | DataFrame | None, name: str) -> DataFrame:
+        if isinstance(judge, DataFrame):
+            return t.join(judge.select("turn_id", F.col("reply").alias(name)), "turn_id", "left").withColumn(name, F.when(eligible, F.col(name)))
+        return t.withColumn(name, F.lit(None).cast(REPLY) if judge is None else F.when(eligible, judge(_turn_hyps(F.col("text"), F.col("moss")), F.col("overlap"))))
+
+    t = heard(heard(turns, replies, "reply"), fallback, "second")
+    t = t.withColumn("decided", _turn_decision(F.col("text"), F.col("overlap"), F.col("reply"), F.col("second")))
+    return t.withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path"), "edits": F.col("decided.edits"), "fallback_ok": F.col("decided.fallback_ok")}).drop("reply", "second", "decided")
+
+
+def turn_audits(done: DataFrame) -> DataFrame:
+    """(turn_id, path, span_asr, span_out, tier, anchor, fallback_ok): what the second pass did, one row for each edit of a changed turn, placed or not, and one for each refusal."""
+    none = F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in ("span_asr", "span_out", "tier", "anchor")]))
+    each = F.when(F.col("path") == "llm", F.transform("edits", lambda e: F.struct(e["span_asr"].alias("span_asr"), e["span_out"].alias("span_out"), e["tier"].alias("tier"), e["anchor"].alias("anchor")))).when(F.col("path") == "empty_edits_reject", F.transform(none, lambda x: x.withField("span_asr", F.col("text")))).otherwise(none)
+    return done.where("path is not null").select("turn_id", "path", "fallback_ok", F.explode(each).alias("e")).select("turn_id", "path", "e.span_asr", "e.span_out", "e.tier", "e.anchor", "fallback_ok")
 
 
 def capped(texts: Column, k: int = 20, budget: int = 8192, cost: int = 32) -> Column:
@@ -167,7 +196,7 @@ def sequential_texts(turns: DataFrame, replies: Callable[[Column, Column, Column
         done = judged(F.element_at(acc, i + 1)["text"], F.element_at(F.col("h"), i + 1), capped(F.transform(others, lambda y: y["t"]), k))
         return F.transform(acc, lambda y, j: F.when(j == i, done).otherwise(y))
 
-    zero = F.transform("h", lambda x: F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("path")))
+    zero = F.transform("h", lambda x: F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("path"), F.lit(None).cast(EDIT).alias("edits"), F.lit(False).alias("fallback_ok")))
     folded = head.select("meeting_id", F.transform("h", lambda x: x["pos"]).alias("at"), F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step).alias("final"))
     first = folded.select("meeting_id", F.explode(F.arrays_zip("at", "final")).alias("x")).select("meeting_id", F.col("x.at").alias("pos"), F.col("x.final").alias("decided"))
     near = folded.select("meeting_id", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k).alias("near"))
@@ -218,15 +247,22 @@ def _asked(replies: Callable[..., Column], text: Column, *cited: Column) -> Colu
     return replies(text, *cited)
 
 
-def polish_texts(rows: DataFrame, replies: Callable[..., Column] = mock_polish) -> DataFrame:
+def polish_texts(rows: DataFrame, replies: Callable[..., Column] | DataFrame = mock_polish, short_ms: int = 350, key: str = "unit_key") -> DataFrame:
     """(…, new_text, path, located): polish of texts from a snapshot.
 
     ``rows``: text, and the texts an edit may cite in cite_hyps, cite_neighbors and cite_hotwords. ``replies`` gets the
-    text, and if it takes four columns those three as well. An invalid reply leaves the text (fallback), one without
+    text, and if it takes four columns those three as well; or it is a table (key, reply). Where rows have dur_ms, those
+    under ``short_ms`` aren't asked about. An invalid reply leaves the text (fallback), one without
     edits but with another text is refused (empty_edits_reject).
     """
     cited = [F.col(c) for c in ("cite_hyps", "cite_neighbors", "cite_hotwords")]
-    r = rows.withColumn("reply", F.when(F.coalesce("text", F.lit("")) != "", _asked(replies, F.col("text"), *cited)))
+    ok = F.coalesce("text", F.lit("")) != ""
+    if "dur_ms" in rows.columns:
+        ok = ok & (F.col("dur_ms") >= short_ms)
+    if isinstance(replies, DataFrame):
+        r = rows.join(replies.select(key, "reply"), key, "left").withColumn("reply", F.when(ok, F.col("reply")))
+    else:
+        r = rows.withColumn("reply", F.when(ok, _asked(replies, F.col("text"), *cited)))
     err = polish_error(F.col("reply"), F.col("text"), *cited)
     r = r.withColumn("err", F.when(F.col("reply").isNotNull(), err)).withColumn("located", F.when(F.col("err").isNull() & F.col("reply").isNotNull(), locate_polish(F.col("text"), F.col("reply.edits"))))
     new = F.when(F.col("located").isNull(), F.col("text")).otherwise(apply_located(F.col("text"), F.col("located")))
@@ -236,6 +272,14 @@ def polish_texts(rows: DataFrame, replies: Callable[..., Column] = mock_polish)
     return r.withColumn("path", path).drop("reply", "err")
 
 
+def polish_audits(done: DataFrame, key: str = "unit_key") -> DataFrame:
+    """(key, path, kind, anchor, span_asr, span_out, start_char, end_char, evidence): one row for each placed edit of a changed text, and one for each refusal or fallback."""
+    fields = ("kind", "anchor", "span_asr", "span_out", "start_char", "end_char", "evidence")
+    none = F.array(F.struct(*[F.lit(None).cast("int" if f.endswith("char") else "string").alias(f) for f in fields]))
+    each = F.when(F.col("path") == "llm", F.transform("located", lambda x: F.struct(*[x[f].alias(f) for f in fields]))).otherwise(none)
+    return done.where("path is not null").select(key, "path", F.explode(each).alias("e")).select(key, "path", *[f"e.{f}" for f in fields])
+
+
 def restore_moss(turns: DataFrame) -> DataFrame:
     """``turns`` with ``new_text`` and ``restored``: blank drafts under overlap get the moss text; nothing else changes."""
     need = F.col("overlap") & (F.trim(F.coalesce("text", F.lit(""))) == "") & (F.coalesce("moss", F.lit("")) != "")

@@ -20,6 +20,35 @@ def path_counts(audits: DataFrame, paths: list[str], *by: str) -> DataFrame:
     return audits.groupBy(*by).agg(F.count(F.lit(1)).alias("n_audits"), *[F.count_if(F.col("path") == p).alias(p) for p in paths])
 
 
+def turn_pass_stats(audits: DataFrame, *by: str) -> DataFrame:
+    """Counts over the audits of the second pass: (by, n_audits, hotword_alias, llm_edits, llm_fallback, fallback_judge_success, moss_aware_reject, moss_force, empty_edits_reject, n_batched).
+
+    ``audits``: path, fallback_ok. All rows of a judge are batched here; aliases and forced moss texts come without one.
+    """
+    path = F.col("path")
+    return audits.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_audits"), F.count_if(path == "hotword_alias").alias("hotword_alias"), F.count_if(path == "llm").alias("llm_edits"), F.count_if(path == "fallback").alias("llm_fallback"),
+        F.count_if(F.coalesce("fallback_ok", F.lit(False))).alias("fallback_judge_success"), F.count_if(path == "moss_aware_reject").alias("moss_aware_reject"), F.count_if(path == "moss_force").alias("moss_force"),
+        F.count_if(path == "empty_edits_reject").alias("empty_edits_reject"), F.count_if(~path.isin("hotword_alias", "moss_force")).alias("n_batched"),
+    )
+
+
+def polish_stats(audits: DataFrame) -> DataFrame:
+    """(measure, value, n): totals of the polish audits, and histograms of their edits by kind and by anchor."""
+    llm = F.col("path") == "llm"
+    pair = lambda name, value=None: F.struct(F.lit(name).alias("measure"), (F.lit(None).cast("string") if value is None else value).alias("value"))
+    rows = F.array(
+        pair("n_audits"), F.when(llm, pair("llm_edits")), F.when(F.col("path") == "empty_edits_reject", pair("empty_edits_reject")), F.when(F.col("path") == "fallback", pair("fallback")),
+        F.when(llm & (F.col("kind") != ""), pair("kind", F.col("kind"))), F.when(llm & (F.col("anchor") != ""), pair("anchor", F.col("anchor"))),
+    )
+    return audits.select(F.explode(F.array_compact(rows)).alias("x")).groupBy(F.col("x.measure").alias("measure"), F.col("x.value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def recovered(before: DataFrame, still: DataFrame, key: str) -> DataFrame:
+    """(key): what failed before and doesn't any more."""
+    return before.select(key).distinct().join(still.select(key), key, "left_anti")
+
+
 def histogram(audits: DataFrame, column: str, *by: str) -> DataFrame:
     """(by, column, n): how often each value occurs, nulls left out."""
     return audits.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("n"))

@@ -272,40 +272,91 @@ def polish_checks(s: SparkSession, d: str) -> DataFrame:
     return r.select("infer_id", "damage", err.alias("error"), validators.apply_located(text, F.col("located")).alias("new_text"), F.size("located").alias("n_located"))
 
 
+def _reply(text: Column, base: Column, overlap: Column, *edits: Column) -> Column:
+    return F.struct(text.alias("text"), base.alias("base_model"), F.array(*edits).cast(validators.EDIT).alias("edits"), overlap.alias("overlap")).cast(validators.REPLY)
+
+
+def _edit(span: Column, out: Column, tier: str | None = None, kind: str | None = None, anchor: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(span.alias("span_asr"), out.alias("span_out"), F.lit(tier).cast("string").alias("tier"), F.lit(kind).cast("string").alias("kind"), (none if anchor is None else anchor).alias("anchor"), none.alias("evidence"), F.lit(None).cast("int").alias("start_char"))
+
+
+def _drill_a(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Replies of a judge that errs on known units, and of its fallback: (unit_key, tries) and (unit_key, reply).
+
+    Of each thirteenth unit both tries are invalid but the fallback's is not, of each seventeenth all are, of each
+    eleventh the first is; each seventh reply rests on the first hypothesis without an edit.
+    """
+    h, o, k = F.col("hyps"), F.col("contains_overlap"), F.col("unit_key")
+    good, first = passes.mock_reply(h, o), F.element_at(h, 1)
+    bad = _reply(F.lit("x"), F.lit(None).cast("string"), o)
+    worse = _reply(F.lit("x"), F.lit("moss"), o, _edit(F.lit("a"), F.lit("b"), "Q"))
+    tries = F.when(k % 13 == 0, F.array(bad, worse)).when(k % 17 == 0, F.array(bad, worse)).when(k % 11 == 0, F.array(bad, good)).when(k % 7 == 0, F.array(_reply(F.coalesce(first["text"], F.lit("")), first["model"], o))).otherwise(F.array(good))
+    return units.select("unit_key", tries.alias("tries")), units.where(k % 221 != 0).select("unit_key", F.when(k % 13 == 0, good).otherwise(worse).alias("reply"))
+
+
 def _pass_a(s: SparkSession, d: str) -> DataFrame:
-    u = hyps.by_unit(current_hyps(s, d)).join(current_units(s, d, ["meeting_id", "contains_overlap", "skip_asr"]).where(~F.col("skip_asr")), "unit_key")
-    return passes.unit_texts(u)
+    u = checkpointed(hyps.by_unit(current_hyps(s, d)).join(current_units(s, d, ["meeting_id", "contains_overlap", "skip_asr"]).where(~F.col("skip_asr")), "unit_key"))
+    return passes.unit_texts(u, *_drill_a(u)).join(u.select("unit_key", "meeting_id"), "unit_key")
 
 
 def pass_a_mock(s: SparkSession, d: str) -> DataFrame:
-    """(unit_key, text, skipped_llm, forced_moss, fallback_ok, fallback, last_error)."""
-    return _pass_a(s, d)
+    """(unit_key, text, skipped_llm, forced_moss, retries, fallback_ok, fallback, last_error) with a judge that errs on known units."""
+    return _pass_a(s, d).drop("meeting_id")
 
 
 def pass_stats_a(s: SparkSession, d: str) -> DataFrame:
     """Counts of the first pass by meeting."""
-    a = _pass_a(s, d).withColumn("retries", F.col("fallback").cast("int")).join(current_units(s, d, ["meeting_id"]), "unit_key")
-    return reports.unit_pass_stats(a, "meeting_id")
+    return reports.unit_pass_stats(_pass_a(s, d), "meeting_id")
 
 
-def _pass_b_turns(s: SparkSession, d: str) -> DataFrame:
+def _pass_b_turns(s: SparkSession, d: str, *more: str) -> DataFrame:
     meta = reports.overlap_metadata(current_units(s, d, ["meeting_id", "turn_indices", "contains_overlap", "heavy_overlap"]))
     t = valid_turns(s, d, "text").join(meta, ["meeting_id", "turn_index"], "left")
     moss = hyps.to_turns(current_hyps(s, d).where("model = 'moss'"), _members(s, d))
     owner = current_units(s, d, ["meeting_id"]).select("unit_key", "meeting_id")
     moss = moss.join(owner, "unit_key").groupBy("meeting_id", "turn_index").agg(F.max_by("text", "unit_key").alias("moss"))
-    return t.join(moss, ["meeting_id", "turn_index"], "left").select("turn_id", "text", (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"), F.coalesce("in_overlap", F.lit(False)).alias("overlap"), "moss")
+    return t.join(moss, ["meeting_id", "turn_index"], "left").select("turn_id", "meeting_id", *more, "text", (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"), F.coalesce("in_overlap", F.lit(False)).alias("overlap"), "moss")
+
+
+def _draft(h: Column) -> Column:
+    return F.element_at(h, -1)["text"]
+
+
+def _drill_b(h: Column, o: Column) -> Column:
+    """A judge that errs on known turns: each eleventh reply is invalid, each seventh rests on another model, each fifth changes the text without an edit, each third edits a comma."""
+    k, t, draft = F.col("turn_id"), _draft(h), F.lit("draft")
+    return (
+        F.when(k % 11 == 0, _reply(t, draft, o, _edit(F.lit("，"), F.lit(","), "A"))).when(k % 7 == 0, _reply(t, F.lit("qwen"), o)).when(k % 5 == 0, _reply(F.concat(t, F.lit("x")), draft, o))
+        .when((k % 3 == 0) & t.contains("，"), _reply(t, draft, o, _edit(F.lit("，"), F.lit(","), "punct"), _edit(F.lit("没有的"), F.lit("没"), "punct"))).otherwise(passes.mock_reply(h, o))
+    )
+
+
+def _drill_b_fallback(h: Column, o: Column) -> Column:
+    """The fallback of that judge: valid for each twenty-second turn only."""
+    return F.when(F.col("turn_id") % 22 == 0, _reply(_draft(h), F.lit("draft"), o, _edit(F.lit("。"), F.lit("."), "punct"))).otherwise(_reply(_draft(h), F.lit(None).cast("string"), o))
+
+
+def _pass_b(s: SparkSession, d: str) -> DataFrame:
+    return passes.turn_texts(_pass_b_turns(s, d), _drill_b, fallback=_drill_b_fallback)
 
 
 def pass_b_mock(s: SparkSession, d: str) -> DataFrame:
-    """(turn_id, new_text, path)."""
-    return passes.turn_texts(_pass_b_turns(s, d)).select("turn_id", "new_text", "path")
+    """(turn_id, new_text, path, fallback_ok) with a judge that errs on known turns."""
+    return _pass_b(s, d).select("turn_id", "new_text", "path", "fallback_ok")
+
+
+def cascading_reply(h: Column, o: Column, near: Column) -> Column:
+    """A judge whose edits spread: a question mark becomes a semicolon, and where a neighbour has a semicolon, a full stop does too."""
+    t = _draft(h)
+    to = lambda mark: _reply(t, F.lit("draft"), o, _edit(F.lit(mark), F.lit("；"), "punct"))
+    return F.when(t.contains("？"), to("？")).when(t.contains("。") & F.exists(near, lambda x: F.coalesce(x.contains("；"), F.lit(False))), to("。")).otherwise(passes.mock_reply(h, o))
 
 
 def pass_b_sequential(s: SparkSession, d: str) -> DataFrame:
-    """(turn_id, new_text, path): the second pass in order of the turns."""
-    pos = turn_positions(s, d).join(valid_turns(s, d).select("turn_id", "meeting_id"), "turn_id")
-    return passes.sequential_texts(_pass_b_turns(s, d).join(pos, "turn_id"), lambda h, o, near: passes.mock_reply(h, o)).select("turn_id", "new_text", "path")
+    """(turn_id, new_text, path): the second pass in order of the turns, by a judge whose later edits rest on earlier ones."""
+    t = checkpointed(_pass_b_turns(s, d, "turn_index"))
+    return passes.sequential_texts(units.reindexed(t).drop("turn_index"), cascading_reply).select("turn_id", "new_text", "path")
 
 
 def _cited(s: SparkSession, d: str, grid: DataFrame, h: DataFrame) -> DataFrame:
@@ -325,14 +376,25 @@ def moss_restore(s: SparkSession, d: str) -> DataFrame:
 
 
 def pass_stats_b(s: SparkSession, d: str) -> DataFrame:
-    """Counts of what the second pass did."""
-    return reports.path_counts(pass_b_mock(s, d).where("path is not null"), ["llm", "fallback", "moss_aware_reject", "empty_edits_reject"])
+    """Counts over the audits of the second pass, with those of the path without a judge."""
+    forced = passes.restore_moss(_pass_b_turns(s, d)).where("restored").select(F.lit("moss_force").alias("path"), F.lit(False).alias("fallback_ok"))
+    return reports.turn_pass_stats(passes.turn_audits(_pass_b(s, d)).select("path", "fallback_ok").unionByName(forced))
+
+
+def _drill_polish(text: Column) -> Column:
+    """A polisher that errs on known turns: each fifth adds a letter, each seventh changes the text without an edit, each third edits a comma and cites."""
+    k = F.col("turn_id")
+    anchor = F.when(k % 2 == 0, "hyp").otherwise("meeting_draft")
+    return (
+        F.when(k % 5 == 0, _reply(text, F.lit("draft"), F.lit(False), _edit(text, F.concat(text, F.lit("x")), kind="entity"))).when(k % 7 == 0, _reply(F.concat(text, F.lit("x")), F.lit("draft"), F.lit(False)))
+        .when(k % 3 == 0, _reply(text, F.lit("draft"), F.lit(False), _edit(F.lit("，"), F.lit(","), kind="Punc", anchor=anchor))).otherwise(passes.mock_polish(text))
+    )
 
 
 def pass_stats_polish(s: SparkSession, d: str) -> DataFrame:
-    """(pass, anchor, n): how often the edits of replies cite each anchor."""
-    e = _replies(s, d).join(_infer(s, d).select("infer_id", "pass"), "infer_id").select("pass", F.explode("reply.edits").alias("e"))
-    return reports.histogram(e.select("pass", F.col("e.anchor").alias("anchor")), "anchor", "pass")
+    """(measure, value, n): totals and histograms of the polish audits over the turns, by a polisher that errs on known turns."""
+    rows = _pass_b_turns(s, d).select("turn_id", "text", "dur_ms").withColumns({c: F.lit("") for c in ("cite_hyps", "cite_neighbors", "cite_hotwords")})
+    return reports.polish_stats(passes.polish_audits(passes.polish_texts(rows, _drill_polish, key="turn_id"), "turn_id"))
 
 
 def overlap_metadata(s: SparkSession, d: str) -> DataFrame:

@@ -55,12 +55,13 @@ _BY_TURN = """m as (select unit_key, list(v.turn_index order by k) as ti, list(g
 
 
 def _mock(said: str) -> str:
-    """Text and number of edits of the offline judge's reply; ``said`` is a list of {model, text} in order."""
-    out = []
-    for wrong, right, _, _ in KNOWN:
-        hit = f"list_filter({said}, lambda z: contains(z.text, '{wrong}'))"
-        out.append(f"when len({hit}) > 0 then {{'t': replace({hit}[1].text, '{wrong}', '{right}'), 'w': '{wrong}', 'r': '{right}'}}")
-    return f"case {' '.join(out)} else {{'t': coalesce(coalesce(list_filter({said}, lambda z: z.model = 'moss')[1], {said}[1]).text, ''), 'w': null, 'r': null}} end"
+    """Text, base model, and wrong and right span of the offline judge's reply; ``said`` is a list of {model, text} in order."""
+    has = lambda w: f"list_filter({said}, lambda z: contains(z.text, '{w}'))"
+    wrong, right = KNOWN[0][:2]
+    out = [f"when len({has(wrong)}) > 0 and len({has(right)}) > 0 then {{'t': {has(right)}[1].text, 'm': {has(right)}[1].model, 'w': null, 'r': null}}"]
+    out += [f"when len({has(w)}) > 0 then {{'t': replace({has(w)}[1].text, '{w}', '{r}'), 'm': {has(w)}[1].model, 'w': '{w}', 'r': '{r}'}}" for w, r, _, _ in KNOWN]
+    base = f"coalesce(list_filter({said}, lambda z: z.model = 'moss')[1], {said}[1])"
+    return f"case {' '.join(out)} else {{'t': coalesce({base}.text, ''), 'm': coalesce({base}.model, 'moss'), 'w': null, 'r': null}} end"
 
 
 def _ruined(c: str, pairs: tuple[tuple[str, str], ...]) -> str:
@@ -112,26 +113,77 @@ _POLISHED = f"""pr0 as (select g.infer_id, g.damage, k, et, a, b, lower(kind) as
 
 
 _PASS_A = f"""said as (select unit_key, list({{'model': model, 'text': text}} order by model) as hs, count(distinct case when coalesce(text, '') <> '' then {_norm("text")} end) <= 1 as agree from h group by unit_key),
-  pa0 as (select unit_key, meeting_id, not contains_overlap and agree as skipped_llm, coalesce(list_filter(hs, lambda z: coalesce(z.text, '') <> '')[1], hs[1]).text as best, {_mock("hs")} as r from said join u using (unit_key) where not skip_asr),
-  pa as (select unit_key, meeting_id, coalesce(case when skipped_llm then best else r.t end, '') as text, skipped_llm from pa0)"""
-_PASS_B = f"""flags as (select meeting_id, turn_index, bool_or(o) as o from (select meeting_id, unnest(turn_indices) as turn_index, contains_overlap as o from u) group by all),
+  pa0 as (select unit_key, meeting_id, contains_overlap as o, not contains_overlap and agree as skipped_llm, hs, list_filter(hs, lambda z: coalesce(z.text, '') <> '') as ful, {_mock("hs")} as r from said join u using (unit_key) where not skip_asr),
+  pa1 as (select *, list_filter(ful, lambda z: z.model = 'moss')[1].text as moss, coalesce(ful[1].text, hs[1].text) as first,
+    case when unit_key % 13 = 0 or unit_key % 17 = 0 then 2 when unit_key % 11 = 0 then 1 else 0 end as bad, unit_key % 13 = 0 and unit_key % 221 <> 0 as saved, unit_key % 221 = 0 as unheard,
+    case when unit_key % 13 <> 0 and unit_key % 17 <> 0 and unit_key % 11 <> 0 and unit_key % 7 = 0 then {{'t': coalesce(hs[1].text, ''), 'm': hs[1].model, 'w': null, 'r': null}} else r end as said from pa0),
+  pa2 as (select *, not skipped_llm and bad = 2 and not saved as lost, coalesce(not skipped_llm and o and said.m <> 'moss' and said.w is null and len(list_filter(hs, lambda z: z.model = 'moss')) > 0, false) as unsure from pa1),
+  pa as (select unit_key, meeting_id, coalesce(case when skipped_llm then first when lost or (unsure and moss is not null) then case when o and moss is not null then moss else first end when unsure then first else said.t end, '') as text,
+    skipped_llm, unsure and not lost as forced_moss, case when skipped_llm then 0 else bad end as retries, not skipped_llm and bad = 2 and saved as fallback_ok, lost as fallback, case when lost then case when unheard then 'no reply' else 'bad tier Q' end end as last_error from pa2)"""
+_TURN_ROWS = f"""flags as (select meeting_id, turn_index, bool_or(o) as o from (select meeting_id, unnest(turn_indices) as turn_index, contains_overlap as o from u) group by all),
   moss as (select meeting_id, turn_index, max_by(bt.text, unit_key) as moss from bt join u using (unit_key) where model = 'moss' group by all),
-  pt as (select turn_id, v.text, e - s as dur, coalesce(o, false) as o, moss from v left join flags using (meeting_id, turn_index) left join moss using (meeting_id, turn_index)),
-  pr as (select *, case when coalesce(text, '') <> '' and dur >= 350 then {_mock("case when moss is null then [{'model': 'draft', 'text': text}] else [{'model': 'moss', 'text': moss}, {'model': 'draft', 'text': text}] end")} end as r from pt),
-  pb as (select *, case when r.w is not null and instr(text, r.w) > 0 then substring(text, 1, instr(text, r.w) - 1) || r.r || substring(text, instr(text, r.w) + length(r.w)) else text end as app from pr),
-  pq as (select *, case when r is null then null when r.w is null and r.t <> text then 'empty_edits_reject' when r.w is not null and app <> text then 'llm' end as path from pb)"""
+  pt as (select turn_id, meeting_id, v.turn_index, v.text, e - s as dur, coalesce(o, false) as o, moss, coalesce(v.text, '') <> '' and e - s >= 350 as asked from v left join flags using (meeting_id, turn_index) left join moss using (meeting_id, turn_index))"""
+
+
+def _two(text: str, moss: str) -> str:
+    return _mock(f"case when {moss} is null then [{{'model': 'draft', 'text': {text}}}] else [{{'model': 'moss', 'text': {moss}}}, {{'model': 'draft', 'text': {text}}}] end")
+
+
+def _put(text: str, r: str) -> str:
+    """The first wrong span of a reply put right."""
+    return f"case when {r}.w is not null and instr({text}, {r}.w) > 0 then substring({text}, 1, instr({text}, {r}.w) - 1) || {r}.r || substring({text}, instr({text}, {r}.w) + length({r}.w)) else {text} end"
+
+
+_PASS_B = f"""{_TURN_ROWS},
+  pr as (select *, turn_id % 11 = 0 as broken, turn_id % 22 = 0 as saved, case when not asked then null when turn_id % 22 = 0 then {{'t': text, 'm': 'draft', 'w': '。', 'r': '.', 'n': 1}} when turn_id % 11 = 0 then null when turn_id % 7 = 0 then {{'t': text, 'm': 'qwen', 'w': null, 'r': null, 'n': 0}}
+    when turn_id % 5 = 0 then {{'t': text || 'x', 'm': 'draft', 'w': null, 'r': null, 'n': 0}} when turn_id % 3 = 0 and contains(text, '，') then {{'t': text, 'm': 'draft', 'w': '，', 'r': ',', 'n': 2}} else struct_insert({_two("text", "moss")}, n := 1) end as r from pt),
+  pb as (select *, {_put("text", "r")} as app from pr),
+  pq as (select *, asked and saved as fallback_ok, case when not asked then null when r is null then 'fallback' when o and r.m not in ('moss', 'draft') and r.w is null then 'moss_aware_reject' when r.w is null and r.t <> text then 'empty_edits_reject' when r.w is not null and app <> text then 'llm' end as path from pb)"""
+
+#: Whether one of the first 20 texts of a list within the budget has a semicolon.
+_SPREAD = "len(list_filter(range(1, least(20, len({0})) + 1), lambda q: contains(coalesce({0}[q], ''), '；') and (q = 1 or list_sum(list_transform({0}[1:q], lambda x: length(coalesce(x, '')) + 32)) <= 8192))) > 0"
+
+
+def _cascade(own: str, moss: str, asked: str, near: str) -> str:
+    mock = _two(own, moss)
+    return f"case when not {asked} then null when contains({own}, '？') then {{'t': {own}, 'm': 'draft', 'w': '？', 'r': '；'}} when contains({own}, '。') and {_SPREAD.format(near)} then {{'t': {own}, 'm': 'draft', 'w': '。', 'r': '；'}} else {mock} end"
+
+
+_PATH = "case when {r} is null then null when {o} and {r}.m not in ('moss', 'draft') and {r}.w is null then 'moss_aware_reject' when {r}.w is null and {r}.t <> {t} then 'empty_edits_reject' when {r}.w is not null and {p} <> {t} then 'llm' end"
+_SEQUENTIAL = f"""{_TURN_ROWS},
+  sq as (select *, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from pt),
+  hd as (select meeting_id, list({{'id': turn_id, 'text': text, 'moss': moss, 'o': o, 'long': dur >= 350}} order by pos) as h from sq where pos <= 20 group by meeting_id),
+  fold as (select meeting_id, h, 0 as i, list_transform(h, lambda x: x.text) as ts, []::varchar[] as ps from hd
+    union all
+    select meeting_id, h, i + 1, list_transform(range(1, len(ts) + 1), lambda q: case when q = i + 1 then app else ts[q] end), list_append(ps, {_PATH.format(r="r", o="h[i + 1].o", t="ts[i + 1]", p="app")})
+    from (select *, {_put("ts[i + 1]", "r")} as app from (select *, {_cascade("ts[i + 1]", "h[i + 1].moss", "(coalesce(ts[i + 1], '') <> '' and h[i + 1].long)", "near")} as r
+      from (select *, list_transform(list_filter(range(1, len(ts) + 1), lambda q: q <> i + 1), lambda q: ts[q]) as near from fold where i < len(h))))),
+  ended as (select * from fold where i = len(h)),
+  early as (select unnest(list_transform(range(1, len(h) + 1), lambda q: {{'turn_id': h[q].id, 'new_text': ts[q], 'path': ps[q]}}), recursive := true) from ended),
+  late as (select turn_id, {_put("text", "r")} as new_text, {_PATH.format(r="r", o="o", t="text", p=_put("text", "r"))} as path
+    from (select sq.*, {_cascade("text", "moss", "asked", "near")} as r from sq join (select meeting_id, ts[1:20] as near from ended) using (meeting_id) where pos > 20))"""
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
-        "pass_a_mock": f"with {_U}, {_H}, {_PASS_A} select unit_key, text, skipped_llm, false as forced_moss, false as fallback_ok, false as fallback, null::varchar as last_error from pa",
-        "pass_stats_a": f"""with {_U}, {_H}, {_PASS_A} select meeting_id, count(*) as n_units, count(*) filter (where skipped_llm) as skipped_llm, 0 as retries_total, 0 as fallback_to_best_hyp, 0 as fallback_judge_success,
-            0.0::double as approx_retry_rate, false as suggest_raise_temperature from pa group by meeting_id""",
-        "pass_b_mock": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
-        "pass_b_sequential": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when path = 'llm' then app else text end as new_text, path from pq",
-        "pass_stats_b": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select count(*) as n_audits, count(*) filter (where path = 'llm') as llm, 0 as fallback, 0 as moss_aware_reject,
-            count(*) filter (where path = 'empty_edits_reject') as empty_edits_reject from pq where path is not null""",
+        "pass_a_mock": f"with {_U}, {_H}, {_PASS_A} select unit_key, text, skipped_llm, forced_moss, retries, fallback_ok, fallback, last_error from pa",
+        "pass_stats_a": f"""with {_U}, {_H}, {_PASS_A}, c as (select meeting_id, count(*) as n_units, count(*) filter (where skipped_llm) as skipped_llm, sum(retries)::bigint as retries_total, count(*) filter (where fallback) as fallback_to_best_hyp,
+            count(*) filter (where fallback_ok) as fallback_judge_success from pa group by meeting_id)
+            select *, round(case when n_units > skipped_llm then retries_total / (n_units - skipped_llm)::double else 0.0 end, 9) as approx_retry_rate, coalesce(round(case when n_units > skipped_llm then retries_total / (n_units - skipped_llm)::double else 0.0 end, 9) > 0.05, false) as suggest_raise_temperature from c""",
+        "pass_b_mock": f"with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when r is null then text else app end as new_text, path, fallback_ok from pq",
+        "pass_b_sequential": f"with recursive {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_SEQUENTIAL} select turn_id, new_text, path from early union all select turn_id, new_text, path from late",
+        "pass_stats_b": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B}, au as (select path, fallback_ok, case when path = 'llm' then coalesce(r.n, 1) else 1 end as n from pq where path is not null
+              union all select 'moss_force', false, 1 from pt where o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '')
+            select coalesce(sum(n), 0)::bigint as n_audits, coalesce(sum(n) filter (where path = 'hotword_alias'), 0)::bigint as hotword_alias, coalesce(sum(n) filter (where path = 'llm'), 0)::bigint as llm_edits, coalesce(sum(n) filter (where path = 'fallback'), 0)::bigint as llm_fallback,
+              coalesce(sum(n) filter (where fallback_ok), 0)::bigint as fallback_judge_success, coalesce(sum(n) filter (where path = 'moss_aware_reject'), 0)::bigint as moss_aware_reject, coalesce(sum(n) filter (where path = 'moss_force'), 0)::bigint as moss_force,
+              coalesce(sum(n) filter (where path = 'empty_edits_reject'), 0)::bigint as empty_edits_reject, coalesce(sum(n) filter (where path not in ('moss_force', 'hotword_alias')), 0)::bigint as n_batched from au""",
+        "pass_stats_polish": f"""with {_T}, {_V}, x as (select turn_id as k, text from v where coalesce(text, '') <> '' and e - s >= 350),
+            a as (select k, case when k % 5 = 0 then 'fallback' when k % 7 = 0 then 'empty_edits_reject' when k % 3 = 0 then case when contains(text, '，') then 'llm' else 'fallback' end end as path, case when k % 2 = 0 then 'hyp' else 'meeting_draft' end as anchor from x
+              where not (k % 5 <> 0 and k % 7 <> 0 and k % 3 <> 0)),
+            r as (select 'n_audits' as measure, null as value from a union all select 'llm_edits', null from a where path = 'llm' union all select path, null from a where path in ('fallback', 'empty_edits_reject')
+              union all select 'kind', 'punc' from a where path = 'llm' union all select 'anchor', anchor from a where path = 'llm')
+            select measure, value, count(*) as n from r group by all""",
         "judgment_checks": f"""with {_I}, {_RUINED}, {_JUDGED} select infer_id, damage, coalesce(lost, head, s1) as schema_error, s2 as span_error, s3 as ladder_error,
             coalesce(lost, head, s1, case when any_a then 'pass_b_rejects_tier_a' end, s2, s4) as pass_b_error from lost left join fe using (infer_id, damage)""",
         "polish_checks": f"""with {_I}, {_RUINED}, {_POLISHED} select infer_id, damage, coalesce(lost, phead, s1, s2) as error,
