@@ -13,20 +13,29 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.session import checkpointed
 
+MIN_TURN_S = 0.01  # fixed value: seconds a turn lasts at least
 PARTITION_BYTES, MOST_PARTITIONS = 256 << 20, 100_000
 
 
-def valid_times(df: DataFrame, start: str = "start_s", end: str = "end_s", least_s: float = 0.01) -> DataFrame:
-    """Rows whose times are finite, in order and at least ``least_s`` apart, with start_ms and end_ms added."""
-    s, e = F.col(start), F.col(end)
-    finite = s.isNotNull() & e.isNotNull() & ~F.isnan(s) & ~F.isnan(e) & (F.abs(s) < F.lit(1e15)) & (F.abs(e) < F.lit(1e15))
-    ms = lambda c: F.round(c * 1000).cast("bigint")
-    return df.where(finite).withColumns({"start_ms": ms(s), "end_ms": ms(e)}).where(F.col("end_ms") - F.col("start_ms") >= round(least_s * 1000)).where(e > s)
+def invalid_reason(start: Column, end: Column, least_s: float = MIN_TURN_S) -> Column:
+    """Why times are impossible, the first that fits; null for valid ones. Missing times count as not finite.
+
+    The shortest length is tested on the difference in whole microseconds, before anything is rounded to milliseconds.
+    """
+    bad = lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
+    return F.when(bad(start) | bad(end), "nan_or_inf").when(end <= start, "end_le_start").when(F.round((end - start) * 1e6) < least_s * 1e6, "too_short_invalid")
+
+
+def valid_times(df: DataFrame, start: str = "start_s", end: str = "end_s", least_s: float = MIN_TURN_S) -> DataFrame:
+    """Rows whose times are finite, in order and at least ``least_s`` apart, with start_ms and end_ms added; times that don't fit a bigint are left out."""
+    ms = lambda c: F.round(F.col(c) * 1000).try_cast("bigint")
+    kept = df.where(invalid_reason(F.col(start), F.col(end), least_s).isNull()).withColumns({"start_ms": ms(start), "end_ms": ms(end)})
+    return kept.where("start_ms is not null and end_ms is not null")
 
 
 def _scan(entities: np.ndarray, s: np.ndarray, e: np.ndarray, carry: tuple | None) -> tuple[np.ndarray, np.ndarray]:

@@ -8,16 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import py_strip
+from turnloom.operators.intervals import invalid_reason  # noqa: F401
 from turnloom.operators.sequences import label_runs, row_positions
 
 # Fixed values of the pipeline's configuration.
-MIN_TURN_S, MAX_ASR_S, MAX_GAP_S, MIN_ASR_S, HEAVY = 0.01, 30.0, 5.0, 0.35, 0.30
-
-
-def invalid_reason(start: Column, end: Column, least: float = MIN_TURN_S) -> Column:
-    """Why a turn's times are impossible, the first that fits; null for a valid turn. Missing times count as not finite."""
-    bad = lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-    return F.when(bad(start) | bad(end), "nan_or_inf").when(end <= start, "end_le_start").when(F.round((end - start) * 1e6) < least * 1e6, "too_short_invalid")
+MAX_ASR_S, MAX_GAP_S, MIN_ASR_S, HEAVY = 30.0, 5.0, 0.35, 0.30
 
 
 def coerce_turns(df: DataFrame) -> DataFrame:

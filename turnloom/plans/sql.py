@@ -32,7 +32,7 @@ def _current(name: str, table: str, keys: str) -> str:
 _T, _U, _H, _I = _current("t", "turns", "turn_id"), _current("u0", "units", "unit_key"), _current("h", "hyps", "unit_key, model"), _current("i", "llm_infer", "infer_id")
 _U = _U + ", u as (select * replace (coalesce(contains_overlap, false) as contains_overlap, coalesce(heavy_overlap, false) as heavy_overlap, coalesce(skip_asr, false) as skip_asr) from u0)"
 _V = f"""v as (select *, cast(round(start_s * 1000) as bigint) as s, cast(round(end_s * 1000) as bigint) as e, {_label("speaker_id")} as who from t
-  where isfinite(start_s) and isfinite(end_s) and end_s > start_s and round(end_s * 1000) - round(start_s * 1000) >= 10)"""
+  where isfinite(start_s) and isfinite(end_s) and end_s > start_s and round((end_s - start_s) * 1e6) >= 10000)"""
 _REACH = "w as (select meeting_id, s, e, max(e) over (partition by meeting_id order by s, e rows between unbounded preceding and 1 preceding) as m from v)"
 _MEM = "mem as (select unit_key, meeting_id, k, ti as turn_index from (select unit_key, meeting_id, unnest(turn_indices) as ti, generate_subscripts(turn_indices, 1) as k from u))"
 _SPAN = "sp as (select unit_key, mem.meeting_id, min(s) as s, max(e) as e from mem join v on mem.meeting_id = v.meeting_id and mem.turn_index = v.turn_index group by all)"
