@@ -66,7 +66,7 @@ def long_units(units: DataFrame, turns: DataFrame, limit_ms: int = 30_000, pause
     reason = F.trim(F.coalesce("skip_reason", F.lit("")))
     kept = units.where((reason == "") | reason.rlike(TOO_LONG))
     member = kept.select("unit_key", "meeting_id", F.explode(F.array_distinct("turn_indices")).alias("turn_index"))
-    ms = lambda c: F.round(F.col(c) * 1000).cast("bigint").alias(c[:-2] + "_ms")
+    ms = lambda c: F.round(F.col(c) * 1000).try_cast("bigint").alias(c[:-2] + "_ms")
     ok = "start_s is not null and end_s is not null and not isnan(start_s) and not isnan(end_s) and abs(start_s) < 1e15 and abs(end_s) < 1e15 and end_s > start_s"
     times = turns.where(ok).select("meeting_id", "turn_index", ms("start_s"), ms("end_s"))
     spans = member.join(times, ["meeting_id", "turn_index"]).groupBy("unit_key").agg(F.array_sort(F.collect_list(F.struct("start_ms", "end_ms"))).alias("turn_ms"))
