@@ -146,7 +146,20 @@ def cache_misses(s: SparkSession, d: str) -> DataFrame:
 def _cer_pairs(s: SparkSession, d: str, readings: bool = False) -> DataFrame:
     """Each hypothesis against the joined texts of its unit's turns."""
     ref = _members(s, d).select("unit_key", textgrid.join_texts(F.transform("members", lambda t: t["text"])).alias("ref"))
-    return metrics.cer_rows(current_hyps(s, d).withColumnRenamed("text", "hyp").join(ref, "unit_key"), readings)
+    return metrics.unit_rates(current_hyps(s, d), ref, readings)
+
+
+def _documents_by_place(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The turns of each meeting by place, and the texts moss gives for those it heard, by place too."""
+    moss = hyps.to_turns(current_hyps(s, d).where("model = 'moss'"), _members(s, d)).join(current_units(s, d, ["meeting_id"]).select("unit_key", "meeting_id"), "unit_key")
+    heard = moss.groupBy("meeting_id", "turn_index").agg(F.max_by("text", "unit_key").alias("moss"))
+    t = checkpointed(units.reindexed(valid_turns(s, d, "text").select("meeting_id", "turn_index", "text").join(heard, ["meeting_id", "turn_index"], "left")))
+    return t.select("meeting_id", "pos", "text"), t.where("moss is not null").select("meeting_id", "pos", F.col("moss").alias("text"))
+
+
+def eval_documents(s: SparkSession, d: str) -> DataFrame:
+    """(meeting_id, n_turns, n_hyp, n_ref, mean_cer, corpus_cer): each meeting's document from moss against that of its turns, place by place."""
+    return metrics.document_report(*_documents_by_place(s, d))
 
 
 def cer_pairs(s: SparkSession, d: str) -> DataFrame:
@@ -433,7 +446,7 @@ def _p6(s: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
     plain = [
-        eval_cer, eval_cp_cer, cer_pairs, cp_cer, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
+        eval_cer, eval_cp_cer, cer_pairs, cp_cer, eval_documents, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
         neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
         pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
     ]

@@ -64,6 +64,25 @@ def _mock(said: str) -> str:
     return f"case {' '.join(out)} else {{'t': coalesce({base}.text, ''), 'm': coalesce({base}.model, 'moss'), 'w': null, 'r': null}} end"
 
 
+_ONE_BYTE = "array_to_string(list_transform(range(1, 128), lambda c: chr(c::int)), '')"
+#: Edit distance of r and h in characters. DuckDB counts bytes, so what the two have in common at both ends is cut off and the characters of the rest are renamed to one-byte ones,
+#: pair by pair: those of one side alone match nothing and are one character. The few rests with more than 125 that stand on both sides are walked row by row.
+_NARROW = "translate({0}, array_to_string(list_concat(cm, list_filter({1}, lambda x: not list_contains(cm, x))), ''), substring(" + _ONE_BYTE + ", 3, len(cm)) || repeat(chr({2}), len({1})))"
+_SAME = "len(list_filter(range(1, least(length({0}), length({1})) + 1), lambda q: {2}({0}, q) = {2}({1}, q)))"
+_CER = f"""ca as (select * replace ({_norm("coalesce(r, '')")} as r, {_norm("coalesce(h, '')")} as h) from cp),
+  cb as (select * exclude (r, h), r as r0, h as h0, substring(r, k + 1) as r, substring(h, k + 1) as h from (select *, case when r = h then length(r) else {_SAME.format("r", "h", "left")} end as k from ca)),
+  cc as (select * replace (left(r, length(r) - k2) as r, left(h, length(h) - k2) as h) from (select *, {_SAME.format("r", "h", "right")} as k2 from cb)),
+  cx as materialized (select *, row_number() over () as id, list_filter(rs, lambda x: list_contains(hs, x)) as cm from (select *, list_distinct(string_split(r, '')) as rs, list_distinct(string_split(h, '')) as hs from cc)),
+  wide as materialized (select id, r, h from cx where len(cm) > 125),
+  dp as (select id, 0 as i, j, j as v from (select id, unnest(range(0, length(h) + 1)) as j from wide)
+    union all select id, i + 1, j, min(m - j) over (partition by id order by j rows unbounded preceding) + j
+    from (select id, i, j, case when j = 0 then i + 1 else least(v + 1, lag(v) over (partition by id order by j) + case when substring(r, i + 1, 1) = substring(h, j, 1) then 0 else 1 end) end as m from dp join wide using (id) where i < length(r))),
+  cd as (select cx.*, case when cx.r = '' or cx.h = '' then length(cx.r) + length(cx.h) when len(cm) > 125 then (select v from dp where dp.id = cx.id and dp.i = length(cx.r) and dp.j = length(cx.h)) else levenshtein({_NARROW.format("cx.r", "rs", 1)}, {_NARROW.format("cx.h", "hs", 2)}) end as edits from cx),
+  ce as (select *, length(r0) as n_ref, case when r0 = '' and h0 = '' then 0.0 when r0 = '' then 1.0 else edits / length(r0)::double end as cer from cd)"""
+_CER_RATES = "round(coalesce(avg(cer), 0.0), 9) as mean_cer, round(coalesce(sum(edits) filter (where n_ref > 0) / sum(n_ref)::double, 0.0), 9) as corpus_cer"
+_UNIT_PAIRS = "cp as (select h.unit_key, h.model, jx.text as r, h.text as h from h join jx using (unit_key))"
+
+
 def _ruined(c: str, pairs: tuple[tuple[str, str], ...]) -> str:
     for old, new in pairs:
         c = f"replace({c}, '{old}', '{new}')"
@@ -167,6 +186,12 @@ _SEQUENTIAL = f"""{_TURN_ROWS},
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
+        "cer_pairs": f"with recursive {_T}, {_U}, {_H}, {_V}, {_MEM}, {_JOINED}, {_UNIT_PAIRS}, {_CER} select unit_key, model, n_ref::int as n_ref, edits::int as edits, round(cer, 9) as cer from ce",
+        "eval_cer": f"with recursive {_T}, {_U}, {_H}, {_V}, {_MEM}, {_JOINED}, {_UNIT_PAIRS}, {_CER} select model, count(*) as n, {_CER_RATES} from ce group by model",
+        "eval_documents": f"""with recursive {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_TURN_ROWS}, pp as (select meeting_id, text, moss, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from pt),
+            cp as (select meeting_id, text as r, moss as h from pp where moss is not null), {_CER}
+            select meeting_id, count(moss) as n_turns, count(moss) as n_hyp, count(*) as n_ref, coalesce(any_value(mean_cer), 0.0) as mean_cer, coalesce(any_value(corpus_cer), 0.0) as corpus_cer
+            from pp left join (select meeting_id, {_CER_RATES} from ce group by meeting_id) using (meeting_id) group by meeting_id""",
         "pass_a_mock": f"with {_U}, {_H}, {_PASS_A} select unit_key, text, skipped_llm, forced_moss, retries, fallback_ok, fallback, last_error from pa",
         "pass_stats_a": f"""with {_U}, {_H}, {_PASS_A}, c as (select meeting_id, count(*) as n_units, count(*) filter (where skipped_llm) as skipped_llm, sum(retries)::bigint as retries_total, count(*) filter (where fallback) as fallback_to_best_hyp,
             count(*) filter (where fallback_ok) as fallback_judge_success from pa group by meeting_id)
