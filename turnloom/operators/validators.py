@@ -150,6 +150,11 @@ def polish_error(reply: Column, text: Column, hyps: Column, neighbors: Column, h
     return F.coalesce(F.when(reply["text"].isNull(), "missing text").when(reply["edits"].isNull(), "edits must be list"), first_error(reply["edits"], schema), first_error(reply["edits"], lambda e: polish_edit_error(e, text, hyps, neighbors, hotwords)))
 
 
+def judgment_shape(reply: Column) -> Column:
+    """Whether a polish reply can be read at all: text and a list of edits; their rules need the texts they cite."""
+    return F.when(reply["text"].isNull(), "missing text").when(reply["edits"].isNull(), "edits must be list")
+
+
 def apply_first(text: Column, edits: Column) -> Column:
     """Each edit replaces the first occurrence of its span, one after the other; spans that aren't there change nothing."""
     def step(acc: Column, e: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import speaker_label
-from turnloom.operators import context, hyps, intervals, metrics, passes, replies, reports, textgrid, units, validators
+from turnloom.operators import context, hyps, intervals, metrics, passes, prompts, replies, reports, textgrid, units, validators
 from turnloom.session import checkpointed, current_rows, read_table
 
 _TURN = ["meeting_id", "turn_index", "start_s", "end_s", "speaker_id", "text", "asr_status", "source", "confidence"]
@@ -80,6 +80,20 @@ def unit_build(s: SparkSession, d: str) -> DataFrame:
     return u.withColumn("turn_indices", F.array_join("turn_indices", ","))
 
 
+def build_with_overlap(turns: DataFrame) -> DataFrame:
+    """Units built from valid turns (meeting_id, turn_id, turn_index, start_ms, end_ms, speaker), with overlap ratio and flags."""
+    u = checkpointed(units.build_units(turns).withColumn("unit_key", F.xxhash64("meeting_id", "unit_seq")))
+    talk = turns.select("meeting_id", "start_ms", "end_ms", "speaker")
+    covered = intervals.union_overlap(u, talk, "meeting_id", "unit_key", differ="speaker")
+    ratio = F.round(F.coalesce("covered_ms", F.lit(0)) / (F.col("end_ms") - F.col("start_ms")), 9)
+    return units.overlap_flags(u.join(covered, "unit_key", "left").withColumn("overlap_ratio", ratio).drop("covered_ms"))
+
+
+def built_units(s: SparkSession, d: str) -> DataFrame:
+    """(meeting_id, unit_id, overlap_ratio, contains_overlap, heavy_overlap) of the units built anew."""
+    return build_with_overlap(valid_turns(s, d)).select("meeting_id", "unit_id", "overlap_ratio", "contains_overlap", "heavy_overlap")
+
+
 def overlap_ratio(s: SparkSession, d: str) -> DataFrame:
     """(turn_id, overlap_ratio, contains_overlap, heavy_overlap) of each valid turn against the other speakers of its meeting."""
     t = checkpointed(valid_turns(s, d))
@@ -323,12 +337,12 @@ def pass_stats_a(s: SparkSession, d: str) -> DataFrame:
     return reports.unit_pass_stats(_pass_a(s, d), "meeting_id")
 
 
-def _pass_b_turns(s: SparkSession, d: str, *more: str) -> DataFrame:
-    meta = reports.overlap_metadata(current_units(s, d, ["meeting_id", "turn_indices", "contains_overlap", "heavy_overlap"]))
-    t = valid_turns(s, d, "text").join(meta, ["meeting_id", "turn_index"], "left")
-    moss = hyps.to_turns(current_hyps(s, d).where("model = 'moss'"), _members(s, d))
-    owner = current_units(s, d, ["meeting_id"]).select("unit_key", "meeting_id")
-    moss = moss.join(owner, "unit_key").groupBy("meeting_id", "turn_index").agg(F.max_by("text", "unit_key").alias("moss"))
+def _pass_b_turns(s: SparkSession, d: str, *more: str, unit_rows: DataFrame | None = None, said: DataFrame | None = None) -> DataFrame:
+    """Valid turns with what the second pass needs; units and hypotheses are the current ones of the tables unless given."""
+    u = current_units(s, d, ["meeting_id", "turn_indices", "contains_overlap", "heavy_overlap"]) if unit_rows is None else unit_rows
+    t = valid_turns(s, d, "text").join(reports.overlap_metadata(u), ["meeting_id", "turn_index"], "left")
+    moss = hyps.to_turns((current_hyps(s, d) if said is None else said).where("model = 'moss'"), textgrid.members(u, _grid_turns(s, d)))
+    moss = moss.join(u.select("unit_key", "meeting_id"), "unit_key").groupBy("meeting_id", "turn_index").agg(F.max_by("text", "unit_key").alias("moss"))
     return t.join(moss, ["meeting_id", "turn_index"], "left").select("turn_id", "meeting_id", *more, "text", (F.col("end_ms") - F.col("start_ms")).alias("dur_ms"), F.coalesce("in_overlap", F.lit(False)).alias("overlap"), "moss")
 
 
@@ -372,10 +386,10 @@ def pass_b_sequential(s: SparkSession, d: str) -> DataFrame:
     return passes.sequential_texts(units.reindexed(t).drop("turn_index"), cascading_reply).select("turn_id", "new_text", "path")
 
 
-def _cited(s: SparkSession, d: str, grid: DataFrame, h: DataFrame) -> DataFrame:
+def _cited(s: SparkSession, d: str, grid: DataFrame, h: DataFrame, owner: DataFrame | None = None) -> DataFrame:
     """The texts of a merged grid with what their polish may cite; ``h``: unit_key, model, text."""
-    owner = current_units(s, d, ["meeting_id", "unit_id"])
-    return passes.with_citations(grid.select("unit_key", "text").join(owner, "unit_key"), hyps.by_unit(h), hotword_load(s, d))
+    owner = current_units(s, d, ["meeting_id", "unit_id"]) if owner is None else owner
+    return passes.with_citations(grid.select("unit_key", "text", *[c for c in ("dur_ms",) if c in grid.columns]).join(owner.select("unit_key", "meeting_id", "unit_id"), "unit_key"), hyps.by_unit(h), hotword_load(s, d))
 
 
 def polish_mock(s: SparkSession, d: str) -> DataFrame:
@@ -439,6 +453,20 @@ def neighbor_prompt(s: SparkSession, d: str) -> DataFrame:
     return n.groupBy("unit_key").agg(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))).alias("x")).select("unit_key", F.array_join(F.transform("x", lambda y: y["line"]), "\n").alias("prompt"))
 
 
+def judge_prompts(s: SparkSession, d: str) -> DataFrame:
+    """(unit_key, prompt): what a judge of the first pass is asked about each unit it has to decide, without readings."""
+    u = hyps.by_unit(current_hyps(s, d)).join(current_units(s, d, ["meeting_id", "contains_overlap", "heavy_overlap", "skip_asr"]).where(~F.col("skip_asr")), "unit_key")
+    return asked_units(u, neighbor_prompt(s, d), hotword_load(s, d), readings=False)
+
+
+def asked_units(u: DataFrame, near: DataFrame, terms: DataFrame, readings: bool = True) -> DataFrame:
+    """(unit_key, prompt) for units (unit_key, hyps, contains_overlap, heavy_overlap) that agreement doesn't settle; ``near``: unit_key, prompt (context lines)."""
+    open_units = u.where(F.col("contains_overlap") | ~hyps.all_agree(F.col("hyps")))
+    words = terms.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda x: x["term"]))).scalar()
+    rows = open_units.join(near.withColumnRenamed("prompt", "near"), "unit_key", "left")
+    return rows.select("unit_key", prompts.judge_prompt(F.col("hyps"), words, F.col("near"), F.col("contains_overlap"), F.col("heavy_overlap"), readings).alias("prompt"))
+
+
 def _p6(s: SparkSession, d: str) -> DataFrame:
     return intervals.label_periods(valid_turns(s, d), "meeting_id")
 
@@ -448,7 +476,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
         eval_cer, eval_cp_cer, cer_pairs, cp_cer, eval_documents, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
         neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
-        pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt,
+        pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt, judge_prompts, built_units,
     ]
     return {f.__name__: f for f in plain} | {
         "discovery_pairs": lambda s, d: _sides(s, d)[0],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from turnloom.functions.text import CER_PUNCT
+from turnloom.operators import prompts
 from turnloom.operators.passes import KNOWN
 from turnloom.operators.textgrid import ENDS, JOINER
 from turnloom.plans.queries import DAMAGE
@@ -183,6 +184,35 @@ _SEQUENTIAL = f"""{_TURN_ROWS},
     from (select sq.*, {_cascade("text", "moss", "asked", "near")} as r from sq join (select meeting_id, ts[1:20] as near from ended) using (meeting_id) where pos > 20))"""
 
 
+_BUILT = """o as (select *, row_number() over (partition by meeting_id order by ps, pe, turn_index, k) as r from pc),
+            g as (select meeting_id, r, 0 as unit_seq, ps as us, pe as ue, who, turn_index from o where r = 1
+              union all
+              select o.meeting_id, o.r, case when fit then g.unit_seq else g.unit_seq + 1 end, case when fit then g.us else o.ps end, o.pe, o.who, o.turn_index
+              from g join (select o.*, null as z from o) o on o.meeting_id = g.meeting_id and o.r = g.r + 1,
+                lateral (select o.who = g.who and o.ps - g.ue between 0 and 5000 and o.pe - g.us <= 30000 as fit)),
+            x as (select meeting_id, unit_seq, min(us) as start_ms, max_by(ue, r) as end_ms, any_value(who) as speaker, list(turn_index order by r) as ti from g group by meeting_id, unit_seq),
+            y as (select *, list_filter(ti, lambda a, n: n = 1 or ti[n - 1] <> a) as td from x),
+  ub as (select meeting_id, unit_seq, printf('unit_%04d', unit_seq) as unit_id, start_ms, end_ms, speaker, array_to_string(td, ',') as turn_indices, end_ms - start_ms < 350 as skip_asr,
+              case when end_ms - start_ms < 350 then 'too_short' end as skip_reason, len(td) > 1 as moss_merged from y)"""
+_NEAR = """n as (select unit_key, v.turn_index, v.who, v.text, abs(sp.s + sp.e - v.s - v.e) as d from sp join v on sp.meeting_id = v.meeting_id and abs(sp.s + sp.e - v.s - v.e) <= 1200000
+              where not exists (select 1 from mem where mem.unit_key = sp.unit_key and mem.turn_index = v.turn_index)),
+            r as (select *, row_number() over (partition by unit_key order by d, turn_index) as rank from n),
+            c as (select *, sum(length(coalesce(text, '')) + 32) over (partition by unit_key order by rank) as used from r where rank <= 20),
+  near as (select unit_key, string_agg(to_json({'turn_index': turn_index, 'speaker': who, 'text': coalesce(text, '')})::varchar, chr(10) order by rank) as prompt from c where rank = 1 or used <= 8192 group by unit_key)"""
+_LITERAL = {"hyps": "hyps", "hotwords": "w", "neighbors": "near", "overlap": "case when o then 'true' else 'false' end", "heavy": "case when v then 'true' else 'false' end"}
+
+
+def _template(text: str) -> str:
+    """A prompt's template as a concatenation of literals and columns."""
+    for k, c in _LITERAL.items():
+        text = text.replace("{" + k + "}", f"\0{c}\0")
+    parts = text.split("\0")
+    return " || ".join("'" + x.replace("'", "''") + "'" if i % 2 == 0 else f"({x})" for i, x in enumerate(parts))
+
+
+_PROMPT = _template(prompts._JUDGE)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
@@ -215,28 +245,24 @@ def oracle_sql() -> dict[str, str]:
             case when coalesce(n, 0) > 0 then substring(lost.text, 1, instr(lost.text, a) - 1) || coalesce(b, '') || substring(lost.text, instr(lost.text, a) + length(a)) else coalesce(lost.text, '') end as new_text, coalesce(n, 0)::int as n_located from lost left join pf using (infer_id, damage)""",
         "moss_restore": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' then moss else text end as new_text,
             o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' as restored from pt""",
-        "neighbor_prompt": f"""with {_T}, {_U}, {_V}, {_MEM}, {_SPAN},
-            n as (select unit_key, v.turn_index, v.who, v.text, abs(sp.s + sp.e - v.s - v.e) as d from sp join v on sp.meeting_id = v.meeting_id and abs(sp.s + sp.e - v.s - v.e) <= 1200000
-              where not exists (select 1 from mem where mem.unit_key = sp.unit_key and mem.turn_index = v.turn_index)),
-            r as (select *, row_number() over (partition by unit_key order by d, turn_index) as rank from n),
-            c as (select *, sum(length(coalesce(text, '')) + 32) over (partition by unit_key order by rank) as used from r where rank <= 20)
-            select unit_key, string_agg(to_json({{'turn_index': turn_index, 'speaker': who, 'text': coalesce(text, '')}})::varchar, chr(10) order by rank) as prompt from c where rank = 1 or used <= 8192 group by unit_key""",
+        "neighbor_prompt": f"with {_T}, {_U}, {_V}, {_MEM}, {_SPAN}, {_NEAR} select unit_key, prompt from near",
+        "judge_prompts": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_SPAN}, {_ALIAS}, {_NEAR},
+            said as (select unit_key, string_agg('- ' || model || ': ' || coalesce(text, ''), chr(10) order by model) as hyps, count(distinct case when coalesce(text, '') <> '' then {_norm("text")} end) <= 1 as agree from h group by unit_key),
+            words as (select to_json(list(term order by pos))::varchar as w from term),
+            x as (select said.unit_key, hyps, contains_overlap as o, heavy_overlap as v, coalesce(near.prompt, '') as near from said join u using (unit_key) left join near using (unit_key) where not skip_asr and (contains_overlap or not agree))
+            select unit_key, {_PROMPT} as prompt from x, words""",
+        "built_units": f"""with recursive {_T}, {_V}, {_PIECES}, {_BUILT}, bu as (select *, meeting_id || '/' || unit_id as k from ub),
+            hit as (select k, greatest(bu.start_ms, v.s) as a, least(bu.end_ms, v.e) as b from bu join v on bu.meeting_id = v.meeting_id and bu.speaker <> v.who and v.s < bu.end_ms and bu.start_ms < v.e),
+            hw as (select *, max(b) over (partition by k order by a, b rows between unbounded preceding and 1 preceding) as m from hit),
+            cov as (select k, sum(greatest(0, b - greatest(a, coalesce(m, a)))) as ms from hw group by k),
+            r as (select meeting_id, unit_id, round(coalesce(ms, 0) / (end_ms - start_ms)::double, 9) as overlap_ratio from bu left join cov using (k))
+            select meeting_id, unit_id, overlap_ratio, overlap_ratio > 0 as contains_overlap, overlap_ratio > 0.30 as heavy_overlap from r""",
         "turn_validation": f"""with {_T} select turn_id, meeting_id, turn_index, reason from (select *, case when start_s is null or end_s is null or not isfinite(start_s) or not isfinite(end_s) then 'nan_or_inf'
             when end_s <= start_s then 'end_le_start' when round((end_s - start_s) * 1e6) < 10000 then 'too_short_invalid' end as reason from t) where reason is not null""",
         "turn_positions": f"with {_T}, {_V} select turn_id, row_number() over (partition by meeting_id order by turn_index) - 1 as pos from v",
         "turn_status": f"""with {_T} select turn_id, coalesce(asr_status, case when {_strip("coalesce(text, '')")} <> '' then 'provisional' else 'empty' end) as asr_status, coalesce(source, 'fused') as source, coalesce(confidence, 1.0) as confidence from t""",
         "unit_split_long": f"with {_T}, {_V}, {_PIECES} select turn_id, k::int as piece, n as n_pieces, ps as start_ms, pe as end_ms from pc where n > 1",
-        "unit_build": f"""with recursive {_T}, {_V}, {_PIECES},
-            o as (select *, row_number() over (partition by meeting_id order by ps, pe, turn_index, k) as r from pc),
-            g as (select meeting_id, r, 0 as unit_seq, ps as us, pe as ue, who, turn_index from o where r = 1
-              union all
-              select o.meeting_id, o.r, case when fit then g.unit_seq else g.unit_seq + 1 end, case when fit then g.us else o.ps end, o.pe, o.who, o.turn_index
-              from g join (select o.*, null as z from o) o on o.meeting_id = g.meeting_id and o.r = g.r + 1,
-                lateral (select o.who = g.who and o.ps - g.ue between 0 and 5000 and o.pe - g.us <= 30000 as fit)),
-            x as (select meeting_id, unit_seq, min(us) as start_ms, max_by(ue, r) as end_ms, any_value(who) as speaker, list(turn_index order by r) as ti from g group by meeting_id, unit_seq),
-            y as (select *, list_filter(ti, lambda a, n: n = 1 or ti[n - 1] <> a) as td from x)
-            select meeting_id, unit_seq, printf('unit_%04d', unit_seq) as unit_id, start_ms, end_ms, speaker, array_to_string(td, ',') as turn_indices, end_ms - start_ms < 350 as skip_asr,
-              case when end_ms - start_ms < 350 then 'too_short' end as skip_reason, len(td) > 1 as moss_merged from y""",
+        "unit_build": f"with recursive {_T}, {_V}, {_PIECES}, {_BUILT} select * from ub",
         "unit_short_skip": f"with {_T}, {_U}, {_V}, {_MEM}, {_SPAN} select unit_key, e - s as dur_ms, e - s < 350 as skip_asr from sp",
         "overlap_ratio": f"""with {_T}, {_V},
             hit as (select a.turn_id, greatest(a.s, b.s) as x, least(a.e, b.e) as y from v a join v b on a.meeting_id = b.meeting_id and a.who <> b.who and b.s < a.e and a.s < b.e),

@@ -82,6 +82,53 @@ def read_wavs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", True).load(path).select("path", "content")
 
 
+def split_turns(recordings: DataFrame, turns: DataFrame, cap: float = 30.0, rate: int = RATE) -> DataFrame:
+    """(…, piece, start_s, end_s, text): turns cut at quiet moments until no piece lasts more than ``cap`` seconds.
+
+    ``recordings``: meeting_id, content; ``turns``: meeting_id, turn_index, start_s, end_s, text. Only turns over the cap
+    meet their recording, which is decoded once; without one, or with one that can't be read, they are halved. The
+    first piece keeps the text.
+    """
+    over = F.col("end_s") - F.col("start_s") > cap
+    per = turns.where(over).groupBy("meeting_id").agg(F.collect_list(F.struct("turn_index", "start_s", "end_s")).alias("spans"))
+    form = "meeting_id string, turn_index int, piece int, piece_start double, piece_end double"
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for m, content, wanted in zip(pdf["meeting_id"], pdf["content"], pdf["spans"]):
+                try:
+                    x = decode(content, rate) if content is not None else np.empty(0, np.float32)
+                except (wave.Error, ValueError, EOFError):
+                    x = np.empty(0, np.float32)
+                for t in wanted:
+                    rows += [(m, t["turn_index"], k, a, b) for k, (a, b) in enumerate(split_spans(x, t["start_s"], t["end_s"], cap, rate))]
+            yield pd.DataFrame(rows, columns=["meeting_id", "turn_index", "piece", "piece_start", "piece_end"]).astype({"turn_index": "int32", "piece": "int32"})
+
+    pieces = per.join(recordings.select("meeting_id", "content"), "meeting_id", "left").mapInPandas(cut, form)
+    whole = turns.where(~over).withColumn("piece", F.lit(0))
+    done = turns.where(over).join(pieces, ["meeting_id", "turn_index"]).withColumns({"start_s": F.col("piece_start"), "end_s": F.col("piece_end"), "text": F.when(F.col("piece") == 0, F.col("text")).otherwise("")}).drop("piece_start", "piece_end")
+    return whole.unionByName(done)
+
+
+def clips(recordings: DataFrame, spans: DataFrame, have: DataFrame | None = None, rate: int = RATE) -> DataFrame:
+    """(meeting_id, unit_id, wav): a clip for every span; null where there is no recording or it can't be read.
+
+    ``have``: clips (meeting_id, unit_id, wav) that exist already; those with content are used again.
+    """
+    if have is None:
+        have = spans.sparkSession.createDataFrame([], "meeting_id string, unit_id string, wav binary")
+    kept = have.where(F.length("wav") > 0).select("meeting_id", "unit_id", "wav").join(spans.select("meeting_id", "unit_id"), ["meeting_id", "unit_id"], "left_semi")
+    need = spans.join(kept, ["meeting_id", "unit_id"], "left_anti")
+    made = need.select("meeting_id", "unit_id").join(crops(recordings, need, rate), ["meeting_id", "unit_id"], "left")
+    return kept.unionByName(made)
+
+
+def write_clips(made: DataFrame, path: str) -> None:
+    """Write clips as a table under ``path``, partitioned by meeting; each ``wav`` is a whole file's bytes."""
+    made.where("wav is not null").write.mode("overwrite").partitionBy("meeting_id").parquet(path)
+
+
 def crops(recordings: DataFrame, spans: DataFrame, rate: int = RATE) -> DataFrame:
     """(meeting_id, unit_id, wav): a WAV of each span; recordings that can't be read give none.
 

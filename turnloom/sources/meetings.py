@@ -30,16 +30,40 @@ def turns_of(docs: DataFrame, key: Column) -> DataFrame:
     return t.select("meeting_id", "turn_index", F.col("t.start").alias("start_s"), F.col("t.end").alias("end_s"), "t.speaker_id", F.coalesce("t.text", F.lit("")).alias("text"), "t.asr_status", F.coalesce("t.source", F.lit("fused")).alias("source"), F.coalesce("t.confidence", F.lit(1.0)).alias("confidence"))
 
 
-def meeting_json(turns: DataFrame, stage: str) -> DataFrame:
-    """(meeting_id, value): one JSON document per meeting with its turns in order and the stage in its meta."""
-    t = F.struct(F.col("turn_index"), F.struct(F.col("start_s").alias("start"), F.col("end_s").alias("end"), "speaker_id", "text", "asr_status", "source", "confidence").alias("t"))
-    grouped = turns.groupBy("meeting_id").agg(F.array_sort(F.collect_list(t)).alias("x"))
-    return grouped.select("meeting_id", F.to_json(F.struct(F.struct(F.lit(stage).alias("stage")).alias("meta"), F.transform("x", lambda y: y["t"]).alias("turns"))).alias("value"))
+def meeting_json(turns: DataFrame, stage: str, metas: DataFrame | None = None, order: str = "turn_index", **extra: Column) -> DataFrame:
+    """(meeting_id, value): one JSON document per meeting with its turns in order.
+
+    The meta is that of ``metas`` (meeting_id, meta as a JSON object) with the stage and ``extra`` put over it; columns of
+    ``turns`` beyond the fields of a turn (unit_id, turn_indices) are written with each turn.
+    """
+    fields = [F.col("start_s").alias("start"), F.col("end_s").alias("end"), "speaker_id", "text", "asr_status", "source", "confidence", *[c for c in ("unit_id", "turn_indices") if c in turns.columns]]
+    grouped = turns.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.struct(*fields).alias("t")))).alias("x"), *[c.alias(k) for k, c in extra.items()])
+    own = F.from_json(F.to_json(F.struct(F.lit(stage).alias("stage"), *extra)), "map<string,string>")
+    if metas is None:
+        grouped = grouped.withColumn("old", F.lit(None).cast("map<string,string>"))
+    else:
+        grouped = grouped.join(metas.select("meeting_id", F.from_json("meta", "map<string,string>").alias("old")), "meeting_id", "left")
+    kept = F.coalesce(F.map_filter("old", lambda k, v: ~F.array_contains(F.map_keys(own), k)), F.expr("cast(map() as map<string,string>)"))
+    return grouped.select("meeting_id", F.to_json(F.struct(F.map_concat(kept, own).alias("meta"), F.transform("x", lambda y: y["t"]).alias("turns"))).alias("value"))
+
+
+def metas_of(docs: DataFrame, key: Column) -> DataFrame:
+    """(meeting_id, meta): the meta object of each document that has one, as JSON."""
+    return docs.select(key.alias("meeting_id"), F.try_variant_get(F.try_parse_json("raw"), "$.meta", "string").alias("meta")).where("meta is not null")
 
 
-def write_meetings(turns: DataFrame, stage: str, path: str) -> None:
+def write_meetings(turns: DataFrame, stage: str, path: str, **options) -> None:
     """Write meeting_json under ``path``, one folder per meeting."""
-    meeting_json(turns, stage).repartition("meeting_id").write.mode("overwrite").partitionBy("meeting_id").text(path)
+    meeting_json(turns, stage, **options).repartition("meeting_id").write.mode("overwrite").partitionBy("meeting_id").text(path)
+
+
+def merged_json(grid: DataFrame, n_turns: DataFrame, stage: str, metas: DataFrame | None = None) -> DataFrame:
+    """(meeting_id, value): the merged grid, one turn per unit with its unit_id and turn_indices; the meta names the grid and the number of source turns.
+
+    ``grid``: a turn's fields, unit_seq, unit_id, turn_indices; ``n_turns``: meeting_id, n_source_turns.
+    """
+    rows = grid.join(n_turns, "meeting_id", "left")
+    return meeting_json(rows, stage, metas, "unit_seq", grid=F.lit("asr_units"), n_source_turns=F.max("n_source_turns"))
 
 
 def replace_audits(audits: DataFrame, path: str) -> None:
