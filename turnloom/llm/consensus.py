@@ -27,7 +27,8 @@ from turnloom.llm.one_form import LOOK_ALIKES
 from turnloom.llm.shared_spans import _mix
 from turnloom.session import checkpointed
 
-ROUNDS = 8
+ROUNDS = 12  # at most; fewer where no parameter moves by more than STILL
+STILL = 2e-3
 RIDGE = 1.0  # weight of the squared norm of the classifier's weights
 EMPTY_RIDGE = 0.02  # further weight on the feature of empty variants, for each vote
 POOL = 2.0  # how far the two rows of a confusion matrix are drawn together, in votes for each vote
@@ -251,6 +252,7 @@ class Params:
         self.swap = np.full(n_models, 0.6)  # share of the errors on a word that replace it
         self.copy_of = np.full(n_models, -1)
         self.rho = np.zeros(n_models)
+        self.rounds, self.moved = 0, np.inf  # rounds done, and the largest change in the last one
 
 
 class Slots:
@@ -268,8 +270,27 @@ class Slots:
         self.v_of = np.repeat(np.arange(len(per)), per)
         self.m_of = votes.flatten().to_numpy().astype(np.int64)
         self.s_of = self.slot[self.v_of]
-        self.said = np.full((self.n_slots, n_models), -1)
-        self.said[self.s_of, self.m_of] = self.v_of
+        self.n_models = n_models
+        code = self.s_of * n_models + self.m_of  # a model votes once in a slot
+        self.by_code = np.argsort(code, kind="stable")
+        self.codes = code[self.by_code]
+
+    def vote_of(self, slots: np.ndarray, models: np.ndarray) -> np.ndarray:
+        """The variant that each model says in each slot, or -1."""
+        if not len(self.codes):
+            return np.full(len(slots), -1)
+        want = slots * self.n_models + models
+        at = np.minimum(np.searchsorted(self.codes, want), len(self.codes) - 1)
+        return np.where((self.codes[at] == want) & (models >= 0), self.v_of[self.by_code[at]], -1)
+
+    def meetings(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ordered pairs of different votes of one slot, as positions in the list of votes; only models that meet make any."""
+        first = np.searchsorted(self.s_of, np.arange(self.n_slots + 1))  # votes stand in order of their slots
+        size = np.diff(first)
+        wide = size[self.s_of]
+        a = np.repeat(np.arange(len(self.s_of)), wide)
+        b = np.repeat(first[self.s_of] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+        return a[a != b], b[a != b]
 
     def _softmax(self, score: np.ndarray) -> np.ndarray:
         begin = self.cuts[:-1]
@@ -288,7 +309,7 @@ class Slots:
         on_word = (1 - p.kept[m, 0]) * np.where(self.empty[k], 1 - p.swap[m], p.swap[m] / CONFUSIONS)
         like = np.where(z == k, p.kept[m, self.empty[z].astype(int)], np.where(self.empty[z], (1 - p.kept[m, 1]) / CONFUSIONS, on_word))
         parent = p.copy_of[m]
-        theirs = np.where(parent >= 0, self.said[self.s_of[r], np.maximum(parent, 0)], -1)
+        theirs = self.vote_of(self.s_of, p.copy_of[self.m_of])[r]
         like = np.where(theirs >= 0, p.rho[m] * (theirs == k) + (1 - p.rho[m]) * like, like)
         score = np.log(np.maximum(prior, 1e-12)) + np.bincount(z, np.log(np.maximum(like, 1e-12)), len(self.slot))
         return self._softmax(score), prior
@@ -301,14 +322,26 @@ def _flat_columns() -> list:
     return [F.col("vs")[f].alias(c) for c, f in _COLUMNS.items()]
 
 
-def _statistics(patterns: DataFrame, p: Params, n_models: int) -> np.ndarray:
-    """Sufficient statistics of one round: a vector whose length depends on the number of models alone."""
+@dataclass
+class Statistics:
+    """Sufficient statistics of one round; ``both`` and ``equal`` only for pairs of models that meet."""
+
+    kept: np.ndarray
+    swap: np.ndarray
+    grad: np.ndarray
+    hess: np.ndarray
+    both: dict[tuple[int, int], float]  # (m, o): weight of the slots in which o is wrong and m speaks
+    equal: dict[tuple[int, int], float]  # … and m says the same
+
+
+def _statistics(patterns: DataFrame, p: Params, n_models: int) -> Statistics:
+    """Statistics of one round: some numbers per model and per pair of models that meet, however many slots there are."""
     shared = patterns.sparkSession.sparkContext.broadcast(p)
     d, m_all = FEATURES, n_models
-    size = 5 * m_all + 2 * m_all * m_all + d + d * d
+    fixed = 5 * m_all + d + d * d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q, total = shared.value, np.zeros(size)
+        q, total, pairs = shared.value, np.zeros(fixed), []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -320,40 +353,64 @@ def _statistics(patterns: DataFrame, p: Params, n_models: int) -> np.ndarray:
             hit, none = nv * post[b.v_of], on_empty[b.s_of]
             kept = np.stack([count(np.where(e, 0, hit)), count(nv * (1 - none)), count(np.where(e, hit, 0)), count(nv * none)], 1)
             swap = count(np.where(e, 0, nv * (1 - none) - hit))
-            both, equal = np.zeros((m_all, m_all)), np.zeros((m_all, m_all))
-            for o in range(m_all):
-                there = b.said[:, o] >= 0
-                w = np.where(there, n * (1 - post[np.maximum(b.said[:, o], 0)]), 0.0)  # o is wrong
-                for m in range(m_all):
-                    if m != o:
-                        here = b.said[:, m] >= 0
-                        both[m, o] = w[here].sum()
-                        equal[m, o] = w[here & (b.said[:, m] == b.said[:, o])].sum()
+            x, y = b.meetings()
+            code, at = np.unique(b.m_of[x] * m_all + b.m_of[y], return_inverse=True)
+            wrong = nv[y] * (1 - post[b.v_of[y]])
+            pairs.append((code, np.bincount(at, wrong, len(code)), np.bincount(at, np.where(b.v_of[x] == b.v_of[y], wrong, 0.0), len(code))))
             nx = n[b.slot]
             mean = np.stack([np.add.reduceat(prior * b.x[:, f], b.cuts[:-1]) for f in range(d)], 1)
             diff = b.x - mean[b.slot]
             grad = (nx * (post - prior)) @ b.x
             hess = (diff * (nx * prior)[:, None]).T @ diff
-            total += np.concatenate([kept.ravel(), swap, both.ravel(), equal.ravel(), grad, hess.ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["i", "x"])
-
-    got = patterns.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # some hundred numbers
-    out = np.zeros(size)
-    for r in got:
-        out[r.i] = r.x
-    return out
+            total += np.concatenate([kept.ravel(), swap, grad, hess.ravel()])
+        keys, values = [np.arange(fixed)], [total]
+        if pairs:
+            for k in (1, 2):
+                code, at = np.unique(np.concatenate([x[0] for x in pairs]), return_inverse=True)
+                keys.append(fixed + 2 * code + k - 1)
+                values.append(np.bincount(at, np.concatenate([x[k] for x in pairs]), len(code)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(values).astype(float))], ["i", "x"])
+
+    got = patterns.mapInArrow(run, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    at, x = got.column(0).to_numpy(), got.column(1).to_numpy()
+    out = np.zeros(fixed)
+    out[at[at < fixed]] = x[at < fixed]
+    both, equal = {}, {}
+    for i, v in zip((at[at >= fixed] - fixed).tolist(), x[at >= fixed].tolist()):
+        (equal if i % 2 else both)[divmod(i // 2, m_all)] = v
+    m = m_all
+    return Statistics(out[: 4 * m].reshape(m, 4), out[4 * m : 5 * m], out[5 * m : 5 * m + d], out[5 * m + d :].reshape(d, d), both, equal)
+
+
+def copying(s: Statistics, n_models: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whom each model copies (-1: nobody) and how often, from the errors that models share.
+
+    Of two models the one that has the larger share of the other's errors is the copier: who copies repeats the other's
+    errors and has more of its own. The strongest pairs come first; nobody copies two, and no circle is closed. Names
+    count only between exact ties.
+    """
+    share = {k: s.equal.get(k, 0.0) / v for k, v in s.both.items() if v > 5}
+    copy_of, rho = np.full(n_models, -1), np.zeros(n_models)
+    known = [v for v in share.values() if v > 0]
+    base = float(np.median(known)) if known else 0.0
+    for (a, b), v in sorted(share.items(), key=lambda x: (-x[1], x[0])):
+        if v <= max(0.4, 2 * base):
+            break
+        top = b
+        while top >= 0 and top != a:
+            top = copy_of[top]
+        if copy_of[a] < 0 and top < 0:
+            copy_of[a], rho[a] = b, min(0.98, (v - base) / (1 - base))
+    return copy_of, rho
 
 
 def fit(table: DataFrame, n_models: int, rounds: int = ROUNDS) -> Params:
-    """Expectation-maximisation over all slots; slots of one pattern are counted once with their number."""
+    """Expectation-maximisation over all slots until the parameters stand still; slots of one pattern are counted once with their number."""
     patterns = checkpointed(table.select(*_flat_columns()).groupBy(*_COLUMNS).agg(F.count(F.lit(1)).alias("n")))
     p = Params(n_models)
-    m = n_models
-    for _ in range(rounds):
-        s = _statistics(patterns, p, m)
-        kept, swap = s[: 4 * m].reshape(m, 4), s[4 * m : 5 * m]
-        both, equal = s[5 * m : 5 * m + m * m].reshape(m, m), s[5 * m + m * m : 5 * m + 2 * m * m].reshape(m, m)
-        grad, hess = s[5 * m + 2 * m * m :][:FEATURES], s[5 * m + 2 * m * m + FEATURES :].reshape(FEATURES, FEATURES)
+    for p.rounds in range(1, rounds + 1):
+        s = _statistics(patterns, p, n_models)
+        kept, swap, before = s.kept, s.swap, np.concatenate([p.kept.ravel(), p.swap, p.w, p.rho])
         # both kinds of truth are drawn to the model's own accuracy: else a model that seldom adds words can make its
         # additions true by itself, and the others' silence a loss
         own = (kept[:, 0] + kept[:, 2] + 8.5) / (kept[:, 1] + kept[:, 3] + 10)
@@ -361,15 +418,11 @@ def fit(table: DataFrame, n_models: int, rounds: int = ROUNDS) -> Params:
         p.kept = np.clip(np.stack([(kept[:, 0] + weight * own + 8.5) / (kept[:, 1] + weight + 10), (kept[:, 2] + weight * own + 8.5) / (kept[:, 3] + weight + 10)], 1), 0.02, 0.995)
         p.swap = np.clip((swap + 3) / (np.maximum(0.0, kept[:, 1] - kept[:, 0]) + 5), 0.05, 0.95)
         ridge = np.array([RIDGE + EMPTY_RIDGE * kept[:, 1::2].sum(), RIDGE, RIDGE])  # being empty alone says little
-        p.w = p.w + np.linalg.solve(hess + np.diag(ridge), grad - ridge * p.w)
-        share = np.where(both > 5, equal / np.maximum(both, 1e-9), 0.0)
-        p.copy_of, p.rho = np.full(m, -1), np.zeros(m)
-        base = np.median(share[share > 0]) if (share > 0).any() else 0.0
-        for a in range(m):
-            # a model copies one before it in the order, so that no two copy each other
-            b = int(np.argmax(share[a, :a])) if a else -1
-            if b >= 0 and share[a, b] > max(0.4, 2 * base):
-                p.copy_of[a], p.rho[a] = b, min(0.98, (share[a, b] - base) / (1 - base))
+        p.w = p.w + np.linalg.solve(s.hess + np.diag(ridge), s.grad - ridge * p.w)
+        p.copy_of, p.rho = copying(s, n_models)
+        p.moved = float(np.abs(np.concatenate([p.kept.ravel(), p.swap, p.w, p.rho]) - before).max()) if n_models else 0.0
+        if p.moved <= STILL:
+            break
     return p
 
 
