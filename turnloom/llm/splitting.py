@@ -9,6 +9,7 @@ piece after the first starts the overlap before the end of the one before it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,20 +34,25 @@ def pack_span(start: int, end: int, pauses: list[tuple[int, int]], limit: int, o
 
 
 def _pack(start: int, end: int, pauses: list[tuple[int, int]], limit: int, overlap: int, fill: float, least: tuple[int, ...]) -> list[tuple[int, int, bool]]:
+    levels = [[p for p in pauses if p[1] - p[0] >= longer] for longer in least] + [pauses]
+    begins = [[a for a, _ in ps] for ps in levels]
+
+    def farthest(k: int, upto: int) -> int | None:
+        """The last moment of a pause of level k that is not after ``upto``; pauses are in order, so it is in the last one that begins by then."""
+        i = bisect_right(begins[k], upto)
+        return min(levels[k][i - 1][1], upto) if i else None
+
     pieces, at = [], start
     while end - at > limit:
         cut = None
-        for longer in (*least, None):
-            reach = [min(b, at + limit) for a, b in pauses if a <= at + limit and min(b, at + limit) - overlap > at and (longer is None or b - a >= longer)]
-            if not reach:
-                continue
-            best = max(reach)
-            if longer is not None and best - at < fill * limit:
+        for k in range(len(levels)):
+            best = farthest(k, at + limit)
+            if best is None or best - overlap <= at:
                 continue
-            nxt = best - overlap
-            blocked = end - nxt > limit and not any(a <= nxt + limit and min(b, nxt + limit) > best for a, b in pauses)
-            if longer is not None and blocked:
-                continue  # a farther cut may avoid a forced one
+            if k + 1 < len(levels):
+                nxt = best - overlap
+                if best - at < fill * limit or end - nxt > limit and (farthest(len(levels) - 1, nxt + limit) or best) <= best:
+                    continue  # too short a piece, or the next one would be without a pause, which a farther cut may avoid
             cut = best
             break
         natural = cut is not None
@@ -102,29 +108,48 @@ def found_long_units(units: DataFrame, turns: DataFrame) -> DataFrame:
 TEXT_LEVELS = (r"\n(?=#{1,6} |\[[0-9:]+\])", r"\n\s*\n", r"\n|[。！？!?]+[”’\"')）]*|(?<=[a-z0-9)])[.]+(?=\s)", r"\s+|[，、；：,;:]")
 
 
-def pack_text(text: str, limit: int, overlap: int, fill: float = 0.5) -> list[tuple[int, int, int]]:
-    """Pieces (start, end, level) of a text by the recursive hierarchy; level 4 is a cut between characters."""
+def pack_text(text: str, limit: int, overlap: int, whole_words: bool = False) -> list[tuple[int, int, int]]:
+    """Pieces (start, end, level) of a text; level 4 is a cut between characters, -1 the end of the text.
+
+    The text is split at the coarsest level; parts are packed into a piece while they fit, a part that doesn't fit
+    begins the next piece, and one that doesn't fit a piece at all is split at the next level in the same way. Each
+    piece after the first starts ``overlap`` characters before the end of the one before it, or with ``whole_words`` at
+    the first word that begins there.
+    """
     ends = [[m.end() for m in re.finditer(p, text)] for p in TEXT_LEVELS]
-    pieces, at, n = [], 0, len(text)
-    pos = [0] * len(ends)
-    while n - at > limit:
-        cut, level = at + limit, len(ends)
-        for k, es in enumerate(ends):
-            while pos[k] < len(es) and es[pos[k]] <= at + max(overlap, int(fill * limit)):
-                pos[k] += 1
-            j, best = pos[k], None
-            while j < len(es) and es[j] <= at + limit:
-                best, j = es[j], j + 1
-            if best is not None:
-                cut, level = best, k
-                break
-        pieces.append((at, cut, level))
-        at = cut - overlap
-    pieces.append((at, n, -1))
+    words = sorted({*ends[-1], *ends[-2]}) if whole_words else []
+    pieces: list[tuple[int, int, int]] = []
+    at = 0
+
+    def cut(place: int, level: int) -> None:
+        nonlocal at
+        pieces.append((at, place, level))
+        at = place - overlap
+        k = bisect_left(words, at)
+        if k < len(words) and words[k] < place:
+            at = words[k]
+
+    def walk(a: int, b: int, level: int) -> None:
+        if level == len(ends):
+            while b - at > limit:
+                cut(at + limit, level)
+            return
+        bounds = ends[level][bisect_right(ends[level], a) : bisect_left(ends[level], b)]
+        before = a
+        for place in [*bounds, b]:
+            if place - at > limit:
+                if before > max(a, at + overlap) or before == a > at + overlap:
+                    cut(before, level)
+                if place - at > limit:
+                    walk(before, place, level + 1)
+            before = place
+
+    walk(0, len(text), 0)
+    pieces.append((at, len(text), -1))
     return pieces
 
 
-def split_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 1000, overlap: int = 100) -> DataFrame:
+def split_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 1000, overlap: int = 100, whole_words: bool = False) -> DataFrame:
     """Pieces of at most ``limit`` characters: (key, piece, start, end, level, piece_text), whole texts.
 
     A null or empty text gives no piece; one within the limit gives itself as one piece.
@@ -134,7 +159,7 @@ def split_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", limit:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(d, k, a, b, lv, t[a:b]) for d, t in zip(pdf[key], pdf[text]) for k, (a, b, lv) in enumerate(pack_text(t, limit, overlap))]
+            rows = [(d, k, a, b, lv, t[a:b]) for d, t in zip(pdf[key], pdf[text]) for k, (a, b, lv) in enumerate(pack_text(t, limit, overlap, whole_words))]
             yield pd.DataFrame(rows, columns=[key, "piece", "start", "end", "level", "piece_text"])
 
     src = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(key, text)
