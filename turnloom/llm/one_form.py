@@ -21,10 +21,12 @@ LOOK_ALIKES = {
     "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "γ": "y", "ϲ": "c", "ϳ": "j",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C",
 }
+# Radicals of the supplement that have no decomposition, and a letter of phonetic script, with what they look like.
+SUPPLEMENT = dict(zip("⻅⻆⻉⻋⻓⻔⻙⻚⻛⻜⻝⻢⻥⻦⻨⻩⻬⻮⻰⺠⻁⻄⻘⻤⻣ɡ", "见角贝车长门韦页风飞食马鱼鸟麦黄齐齿龙民虎西青鬼骨g"))
 INVISIBLE_SPANS = ((0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF9, 0xFFFB), (0xE0000, 0xE007F), (0xE0100, 0xE01EF))
 _INV = r"\x{00ad}\x{034f}\x{061c}\x{180b}-\x{180f}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}"
 _EMO = r"\x{1f000}-\x{1faff}\x{2600}-\x{27bf}\x{2190}-\x{21ff}\x{2300}-\x{23ff}\x{2b00}-\x{2bff}\x{2049}\x{203c}\x{3030}\x{303d}\x{3297}\x{3299}"
-EMOJI = rf"(?:[0-9#*]\x{{fe0f}}?\x{{20e3}}|[{_EMO}](?:[\x{{1f3fb}}-\x{{1f3ff}}]|\x{{fe0f}}|\x{{20e3}}|\x{{200d}}(?=[{_EMO}]))*)+"
+EMOJI = rf"(?:[0-9#*]\x{{fe0f}}?\x{{20e3}}|[{_EMO}](?:[\x{{1f3fb}}-\x{{1f3ff}}]|[\x{{e0020}}-\x{{e007f}}]|\x{{fe0f}}|\x{{20e3}}|\x{{200d}}(?=[{_EMO}]))*)+"
 _WORD = rf"[\p{{IsLatin}}\p{{IsCyrillic}}\p{{IsGreek}}][\p{{IsLatin}}\p{{IsCyrillic}}\p{{IsGreek}}\p{{M}}{_INV}]*"
 SEGMENT = rf"{EMOJI}|{_WORD}|(?:(?![{_EMO}]|[0-9#*]\x{{fe0f}}?\x{{20e3}}|[\p{{IsLatin}}\p{{IsCyrillic}}\p{{IsGreek}}])[\s\S])+|[\s\S]"
 #: A character outside the plain set, or a word that mixes scripts.
@@ -76,7 +78,8 @@ def form_rows() -> list[tuple[str, list[tuple[str, int]], str]]:
             out = [ch]
         if out is not None and not (o in range(0x0370, 0x0530) and ch in LOOK_ALIKES):
             rows.append((ch, [(x, unicodedata.combining(x)) for x in out], "any"))
-    rows += [(chr(o), [], "any") for o in hidden if not 0xE0000 <= o]
+    rows += [(chr(o), [], "any") for o in hidden]
+    rows += [(a, [(b, 0)], "any") for a, b in SUPPLEMENT.items()]
     for a, b in LOOK_ALIKES.items():
         rows.append((a, [(x, unicodedata.combining(x)) for x in unicodedata.normalize("NFD", b)], "latin"))
         if len(b) == 1 and b.isascii():
@@ -131,14 +134,14 @@ def form_table(spark: SparkSession) -> DataFrame:
 
 
 def one_form_changes(texts: DataFrame) -> DataFrame:
-    """(tbl, row_id, text, one_form) of each distinct text whose one form differs from it.
+    """(tbl, row_id, text_hash, one_form) of each distinct text whose one form differs from it.
 
     ``texts`` has tbl, row_id and text; extra columns are ignored. Null and empty texts have no change. Rows that
     repeat a text under one id give one row.
     """
-    dirty = texts.where(F.col("row_id").isNotNull()).select("tbl", "row_id", "text").where(F.col("text").rlike(SUSPICIOUS)).dropDuplicates(["tbl", "row_id", "text"])
-    keys = ["tbl", "row_id", "text"]
-    seg = dirty.select(*keys, F.posexplode(F.regexp_extract_all("text", F.lit(f"({SEGMENT})"), F.lit(1))).alias("seg", "piece"))
+    keys = ["tbl", "row_id", "text_hash"]  # a row's texts are told apart by their hash, so that no text is a key
+    dirty = texts.where(F.col("row_id").isNotNull()).select("tbl", "row_id", "text").where(F.col("text").rlike(SUSPICIOUS))
+    seg = dirty.select("tbl", "row_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.regexp_extract_all("text", F.lit(f"({SEGMENT})"), F.lit(1))).alias("seg", "piece"))
     bad = F.col("piece").rlike(SUSPICIOUS + r"|\p{M}") & ~F.col("piece").rlike(f"^(?:{EMOJI})$")
     mixed = F.col("piece").rlike(r"\p{IsLatin}") & F.col("piece").rlike(r"[\p{IsCyrillic}\p{IsGreek}]")
     alien = F.translate("piece", "".join(LOOK_ALIKES), "")
@@ -148,22 +151,23 @@ def one_form_changes(texts: DataFrame) -> DataFrame:
     table = F.broadcast(form_table(texts.sparkSession))
     hit = cps.join(table, (cps["ch"] == table["ch"]) & cps["bad"] & ((table["place"] == "any") | (table["place"] == cps["mix"])), "left").drop(table["ch"])
     one = F.when(F.col("to").isNotNull(), F.col("to")).otherwise(F.array(F.struct(F.col("ch").alias("c"), F.lit(0).alias("k"))))
-    per_seg = hit.groupBy(*keys, "seg", "piece").agg(F.array_sort(F.collect_list(F.struct("idx", one.alias("to")))).alias("e"), F.first("bad").alias("bad"))
+    per_seg = hit.groupBy(*keys, "seg", "piece").agg(F.array_sort(F.collect_set(F.struct("idx", one.alias("to")))).alias("e"), F.first("bad").alias("bad"))
     flat = F.flatten(F.transform("e", lambda x: x["to"]))
     per_seg = per_seg.withColumn("e", flat)
     plain = ~F.exists("e", lambda x: (x["k"] > 0) | F.ascii(x["c"]).between(_L, 0x11FF))
     form = F.when(~F.col("bad"), F.col("piece")).when(plain, F.array_join(F.transform("e", lambda x: x["c"]), "")).otherwise(_recompose(F.col("e")))
-    per_seg = per_seg.select(*keys, "seg", form.alias("form"))
-    whole = per_seg.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "form"))), lambda x: x["form"]), "").alias("one_form"))
-    return whole.where("one_form <> text")
+    per_seg = per_seg.select(*keys, "seg", form.alias("form"), "piece")
+    whole = per_seg.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "form"))), lambda x: x["form"]), "").alias("one_form"), F.bool_or(F.col("form") != F.col("piece")).alias("changed"))
+    return whole.where("changed").drop("changed")
 
 
 def one_form(texts: DataFrame) -> DataFrame:
     """(tbl, row_id, one_form) of every row with a row_id: plain texts pass as they are, null stays null."""
-    plain = texts.where(F.col("row_id").isNotNull() & ~F.coalesce(F.col("text").rlike(SUSPICIOUS), F.lit(False))).select("tbl", "row_id", F.col("text").alias("one_form"))
+    rows = texts.where(F.col("row_id").isNotNull()).select("tbl", "row_id", "text", F.when(F.col("text").rlike(SUSPICIOUS), F.xxhash64("text")).alias("text_hash"))
     changed = one_form_changes(texts)
-    dirty = texts.where(F.col("row_id").isNotNull() & F.col("text").rlike(SUSPICIOUS)).select("tbl", "row_id", "text")
-    return plain.unionByName(dirty.join(changed, ["tbl", "row_id", "text"], "left").select("tbl", "row_id", F.coalesce("one_form", "text").alias("one_form")))
+    plain = rows.where("text_hash is null").select("tbl", "row_id", F.col("text").alias("one_form"))
+    dirty = rows.where("text_hash is not null").join(changed, ["tbl", "row_id", "text_hash"], "left")
+    return plain.unionByName(dirty.select("tbl", "row_id", F.coalesce("one_form", "text").alias("one_form")))
 
 
 def looks_alike_texts(turns: DataFrame, hyps: DataFrame) -> DataFrame:
