@@ -398,3 +398,48 @@ def test_every_stretch_has_an_edge():
 def test_every_query_runs_on_the_smallest_tables(spark):
     for name, q in queries().items():
         assert len(q(spark, "/root/testdata/sf0.001").schema) > 0, name
+
+
+def test_names_of_models_dont_matter(spark):
+    rnd = random.Random(11)
+    rows = []
+    for u in range(300):
+        truth = [rnd.choice("abcdefghijkl") * 2 for _ in range(5)]
+        src = [rnd.choice("mnop") * 2 if rnd.random() < 0.25 else w for w in truth]
+        cp = list(src) if rnd.random() < 0.85 else [rnd.choice("qrst") * 2 if rnd.random() < 0.3 else w for w in truth]
+        for m, w in (("src", src), ("cp", cp), ("p", [rnd.choice("uv") * 2 if rnd.random() < 0.1 else w for w in truth]), ("q", [rnd.choice("wx") * 2 if rnd.random() < 0.1 else w for w in truth])):
+            rows.append((u, m, " ".join(w)))
+    new = {"src": "z", "cp": "a", "p": "m", "q": "b"}
+    found = [{(r.unit_key, r.model) for r in consensus.found_wrong(_hyps(spark, [(u, f(m), t) for u, m, t in rows])).collect()} for f in (lambda m: m, new.get)]
+    assert {(u, new[m]) for u, m in found[0]} == found[1]
+    copies = [{(r.model, r.copies) for r in consensus.reliability(_hyps(spark, [(u, f(m), t) for u, m, t in rows])).collect() if r.copies} for f in (lambda m: m, new.get)]
+    assert len(copies[0]) == 1 and {(new[a], new[b]) for a, b in copies[0]} == copies[1]
+
+
+def test_packing_of_many_pauses_is_quick():
+    import time
+
+    pauses = [(1000 * k + 600, 1000 * k + 950) for k in range(200_000)]
+    began = time.perf_counter()
+    ps = splitting.pack_span(0, 200_000_000, pauses, 30_000, 1000)
+    assert time.perf_counter() - began < 2 and all(p[2] for p in ps) and all(b - a <= 30_000 for a, b, _ in ps)
+
+
+def test_texts_are_split_by_the_hierarchy():
+    t = "# A\n" + "Short one. " * 5 + "\n\n" + "Second paragraph here. " * 4 + "\n# B\n" + "w" * 90 + " " + "v" * 30
+    ps = splitting.pack_text(t, 100, 10)
+    assert all(0 < b - a <= 100 for a, b, _ in ps) and ps[-1][1] == len(t) and all(y[0] == x[1] - 10 for x, y in zip(ps, ps[1:]))
+    assert t[: ps[0][1]].endswith("\n\n") and ps[0][2] == 1 and any(t[b:].startswith("# B") and lv == 0 for _, b, lv in ps)
+    rnd = random.Random(4)
+    for _ in range(300):
+        x = "".join(rnd.choice(["word ", "句子。", "\n", "\n\n", "# h\n", "x" * rnd.randint(1, 60)]) for _ in range(rnd.randint(0, 40)))
+        for whole in (False, True):
+            ps = splitting.pack_text(x, 50, 12, whole)
+            assert all(b - a <= 50 for a, b, _ in ps) and ps[0][0] == 0 and ps[-1][1] == len(x) and all(y[0] >= z[1] - 12 and z[0] < y[0] <= z[1] < y[1] for z, y in zip(ps, ps[1:]))
+
+
+@pytest.mark.parametrize(("text", "want"), [("葛\U000e0100城", "葛城"), ("⻅到⻢", "见到马"), ("ɡood", "good"), ("🏴\U000e0067\U000e0062\U000e007f", None), ("a\U000e0061b", "ab")])
+def test_supplements_and_selectors(spark, text, want):
+    df = spark.createDataFrame([("t", 1, text), ("t", 1, text), ("t", 1, "plain")], "tbl string, row_id bigint, text string")
+    assert [r.one_form for r in one_form.one_form_changes(df).collect()] == ([want] if want else [])
+    assert sorted(r.one_form for r in one_form.one_form(df).collect()) == sorted([want or text] * 2 + ["plain"])
