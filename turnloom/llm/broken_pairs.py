@@ -81,21 +81,34 @@ def tokens(text: str) -> list[str]:
     return re.findall(r"[一-鿿㐀-䶿぀-ヿ가-힯]|\d+|[^\W\d_一-鿿㐀-䶿぀-ヿ가-힯]+", unicodedata.normalize("NFKC", text).lower())
 
 
-def _windows(ids: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows of ``size`` tokens that are all free."""
-    n = len(ids) - size + 1
-    up, down = _powers(1 << max(20, len(ids).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(ids) * down[: len(ids)])])
-    used = np.concatenate([[0], np.cumsum(~free)])
-    at = np.flatnonzero(used[size:] == used[:n])
-    return at, (sums[at + size] - sums[at]) * up[at + size]
+class _Runs:
+    """Token numbers of a text with prefix hashes and marks of what is used."""
+
+    def __init__(self, ids: list[int], powers: tuple[np.ndarray, np.ndarray]):
+        self.n, self.up = len(ids), powers[0]
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(np.array(ids, np.uint64)) * powers[1][: len(ids)])])
+        self.free, self.all_free = np.ones(len(ids), bool), True
+
+    def windows(self, size: int) -> tuple[list[int], list[int]]:
+        """Starts and hashes of the windows of ``size`` tokens that are all free."""
+        at = np.arange(self.n - size + 1)
+        if not self.all_free:
+            used = np.concatenate([[0], np.cumsum(~self.free)])
+            at = np.flatnonzero(used[size:] == used[: len(at)])
+        return at.tolist(), ((self.sums[at + size] - self.sums[at]) * self.up[at + size]).tolist()
+
+    def open(self, at: int, size: int) -> bool:
+        return self.all_free or bool(self.free[at : at + size].all())
+
+    def mark(self, at: int, size: int) -> None:
+        self.free[at : at + size], self.all_free = False, False
 
 
 def tile(a: list[str], b: list[str], least: int) -> int:
     """Tokens of ``a`` covered by greedy string tiling with ``b``, each token used once.
 
     Runs are searched by hash in falling lengths, from the whole of the shorter text down to ``least``; a run that is
-    found goes on as far as both texts agree. Each length is one linear pass.
+    found goes on as far as both texts agree. Each length is one linear pass, and there are logarithmically many.
     """
     if len(a) < least or len(b) < least:
         return 0
@@ -103,32 +116,35 @@ def tile(a: list[str], b: list[str], least: int) -> int:
     if not any(tuple(a[i : i + least]) in grams for i in range(len(a) - least + 1)):
         return 0
     number: dict[str, int] = {}
-    x, y = (np.fromiter((number.setdefault(t, len(number) + 1) for t in ts), np.uint64, len(ts)) for ts in (a, b))
-    free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
+    powers = _powers(1 << max(20, max(len(a), len(b)).bit_length()))
+    x, y = (_Runs([number.setdefault(t, len(number) + 1) for t in ts], powers) for ts in (a, b))
     size = min(len(a), len(b))
     while True:
-        (at_a, h_a), (at_b, h_b) = _windows(x, free_a, size), _windows(y, free_b, size)
-        keep_a, keep_b = np.isin(h_a, h_b), np.isin(h_b, h_a)
-        places: dict[int, list[int]] = {}
-        for j, h in zip(at_b[keep_b][::-1].tolist(), h_b[keep_b][::-1].tolist()):
-            places.setdefault(h, []).append(j)  # the first place is the last of the list
-        upto = 0
-        for i, h in zip(at_a[keep_a].tolist(), h_a[keep_a].tolist()):
-            if i < upto or not free_a[i : i + size].all():
-                continue
-            open_places = places[h]
-            while open_places and not free_b[open_places[-1] : open_places[-1] + size].all():
-                open_places.pop()
-            if not open_places:
-                continue
-            j, k = open_places.pop(), size
-            while i + k < len(a) and j + k < len(b) and free_a[i + k] and free_b[j + k] and a[i + k] == b[j + k]:
-                k += 1
-            free_a[i : i + k] = free_b[j : j + k] = False
-            upto = i + k
-        if size == least:
-            return int((~free_a).sum())
-        size = max(least, size * 3 // 4)
+        (at_a, h_a), (at_b, h_b) = x.windows(size), y.windows(size)
+        common = set(h_a) & set(h_b)
+        if common:
+            places: dict[int, list[int]] = {}
+            for j, h in zip(reversed(at_b), reversed(h_b)):
+                if h in common:
+                    places.setdefault(h, []).append(j)  # the first place is the last of the list
+            upto = 0
+            for i, h in zip(at_a, h_a):
+                if i < upto or h not in common or not x.open(i, size):
+                    continue
+                open_places = places[h]
+                while open_places and not y.open(open_places[-1], size):
+                    open_places.pop()
+                if not open_places:
+                    continue
+                j, k = open_places.pop(), size
+                while i + k < len(a) and j + k < len(b) and x.free[i + k] and y.free[j + k] and a[i + k] == b[j + k]:
+                    k += 1
+                x.mark(i, k)
+                y.mark(j, k)
+                upto = i + k
+        if size == least or len(a) - int((~x.free).sum()) < least:
+            return int((~x.free).sum())
+        size = max(least, size * 2 // 3)
 
 
 _LATIN = re.compile(r"[A-Za-z]")
