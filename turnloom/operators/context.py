@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUDGET, ROW_COST, MAX_TURNS, WINDOW_MS = 8192, 32, 20, 600_000
 
 
-def budget_cut(df: DataFrame, group: list[str], order: list, text: str = "text", k: int = MAX_TURNS, budget: int = BUDGET) -> DataFrame:
+def budget_cut(df: DataFrame, group: list[str], order: list, cost: Column, k: int = MAX_TURNS, budget: int = BUDGET) -> DataFrame:
     """The first rows of each group while the running cost stays within the budget; the first row always stays."""
     w = Window.partitionBy(*group).orderBy(*order)
-    cost = F.length(F.coalesce(F.col(text), F.lit(""))) + ROW_COST
     out = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return out.withColumn("used", F.sum(cost).over(w.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("rank") == 1) | (F.col("used") <= budget))
 
@@ -21,14 +20,15 @@ def nearest_turns(units: DataFrame, turns: DataFrame, window_ms: int = WINDOW_MS
 
     ``units``: unit_key, meeting_id, start_ms, end_ms, turn_indices; ``turns``: meeting_id, turn_index, start_ms,
     end_ms, text. Middles are compared in half milliseconds, so that they are whole numbers. The join is on meeting and
-    a time bucket of the window's width (a unit looks into three), which spreads a hot meeting over its duration.
+    a time bucket of the window's width (a unit looks into three), which spreads a hot meeting over its duration; of a
+    text only its cost goes along.
     """
     mid = (F.col("start_ms") + F.col("end_ms")).alias("mid2")
     u = units.select("unit_key", "meeting_id", "turn_indices", mid).withColumn("bucket", F.explode(F.array(*[F.floor(F.col("mid2") / (2 * window_ms)) + d for d in (-1, 0, 1)])))
-    t = turns.select("meeting_id", "turn_index", "text", F.col("start_ms") + F.col("end_ms")).toDF("meeting_id", "turn_index", "text", "t_mid2").withColumn("bucket", F.floor(F.col("t_mid2") / (2 * window_ms)))
+    t = turns.select("meeting_id", "turn_index", F.length(F.coalesce("text", F.lit(""))) + ROW_COST, F.col("start_ms") + F.col("end_ms")).toDF("meeting_id", "turn_index", "cost", "t_mid2").withColumn("bucket", F.floor(F.col("t_mid2") / (2 * window_ms)))
     dist = F.abs(F.col("mid2") - F.col("t_mid2"))
     near = u.join(t, ["meeting_id", "bucket"]).where((dist <= 2 * window_ms) & ~F.array_contains("turn_indices", F.col("turn_index"))).withColumn("dist_ms2", dist)
-    return budget_cut(near, ["unit_key"], ["dist_ms2", "turn_index"], k=k).select("unit_key", "rank", "turn_index", "dist_ms2")
+    return budget_cut(near, ["unit_key"], ["dist_ms2", "turn_index"], F.col("cost"), k).select("unit_key", "rank", "turn_index", "dist_ms2")
 
 
 def leading_turns(turns: DataFrame, k: int = MAX_TURNS, budget: int = BUDGET) -> DataFrame:

@@ -83,23 +83,26 @@ def parse_aliases(hotwords: DataFrame) -> DataFrame:
     return x.groupBy("alt").agg(F.max_by("canon", F.struct("pos", "k")).alias("canon"), F.min(F.struct("pos", "k")).alias("first")).select("alt", "canon", F.col("first.pos").alias("pos"), F.col("first.k").alias("k"))
 
 
-def alias_array(aliases: DataFrame) -> DataFrame:
-    """One row with the aliases whose readings are near, in order; a hotword list is small by nature."""
-    near = aliases.where(reading_distance(F.col("alt"), F.col("canon")) <= 2)
-    return near.agg(F.array_sort(F.collect_list(F.struct("pos", "k", "alt", "canon"))).alias("aliases"))
-
-
 def rewrite_aliases(texts: DataFrame, aliases: DataFrame, text: str = "text", most: int = 100_000) -> DataFrame:
     """``texts`` with ``new_text`` and ``hits``: every alias replaced by its canon, in list order, chained.
 
-    The aliases are one array from a scalar subquery, refused beyond ``most`` of them.
+    The aliases are one array from a scalar subquery, refused beyond ``most`` of them. One pattern of all aliases says
+    whether a text holds any at all; only those that do (an alias that arises from another's canon needs one first) walk
+    through the list.
     """
-    n = aliases.count()
+    near = checkpointed(aliases.where(reading_distance(F.col("alt"), F.col("canon")) <= 2))
+    n = near.count()
     if n > most:
         raise ValueError(f"{n} aliases; the list of hotwords is meant to be small")
-    zero = F.struct(F.coalesce(F.col(text), F.lit("")).alias("t"), F.array().cast("array<struct<alt:string,canon:string>>").alias("h"))
+    listed = near.agg(F.array_sort(F.collect_list(F.struct("pos", "k", "alt", "canon"))).alias("aliases"))
+    names = [r.alt for r in near.select("alt").collect()]  # bounded by ``most``
+    any_of = "|".join(sorted((r"\Q" + x.replace(r"\E", r"\E\\E\Q") + r"\E" for x in names), key=len)) or r"(?!)"
+    none = F.array().cast("array<struct<alt:string,canon:string>>")
+    zero = F.struct(F.col("__t").alias("t"), none.alias("h"))
     step = lambda acc, a: F.when(acc["t"].contains(a["alt"]), F.struct(F.replace(acc["t"], a["alt"], a["canon"]).alias("t"), F.concat(acc["h"], F.array(F.struct(a["alt"], a["canon"]))).alias("h"))).otherwise(acc)
-    return texts.withColumn("aliases", alias_array(aliases).scalar()).withColumn("r", F.aggregate("aliases", zero, step)).withColumns({"new_text": F.col("r.t"), "hits": F.col("r.h")}).drop("aliases", "r")
+    out = texts.withColumns({"__t": F.coalesce(F.col(text), F.lit("")), "__a": listed.scalar()})
+    out = out.withColumn("__r", F.when(F.col("__t").rlike(any_of), F.aggregate("__a", zero, step)))
+    return out.withColumns({"new_text": F.coalesce("__r.t", "__t"), "hits": F.coalesce("__r.h", none)}).drop("__t", "__a", "__r")
 
 
 def _turn_hyps(text: Column, moss: Column) -> Column:
@@ -115,11 +118,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _turn_decision(text: Column, overlap: Column, reply: Column, second: Column | None = None) -> Column:
     """(text, path, edits, fallback_ok) after a reply of the second pass, of which only the edits are applied; ``second`` is heard if it is invalid."""
-    no_reply = F.lit(None).cast(REPLY)
-
     def decide(r: Column) -> Column:
+        error = pass_b_error(r["a"])
+        if second is None:
+            return _let(F.when(error.isNull(), r["a"]), lambda g: _let(F.when(g.isNotNull(), apply_first(text, g["edits"])).otherwise(text), lambda applied: outcome(r["a"], g, applied, F.lit(False))))
         return _let(
-            F.struct(pass_b_error(r["a"]).alias("ea"), pass_b_error(r["b"]).alias("eb")),
+            F.struct(error.alias("ea"), pass_b_error(r["b"]).alias("eb")),
             lambda e: _let(
                 F.struct(F.when(e["ea"].isNull(), r["a"]).when(r["b"].isNotNull() & e["eb"].isNull(), r["b"]).alias("r"), (r["a"].isNotNull() & e["ea"].isNotNull() & r["b"].isNotNull() & e["eb"].isNull()).alias("second")),
                 lambda g: _let(F.when(g["r"].isNotNull(), apply_first(text, g["r"]["edits"])).otherwise(text), lambda applied: outcome(r["a"], g["r"], applied, g["second"])),
@@ -135,7 +139,7 @@ def _turn_decision(text: Column, overlap: Column, reply: Column, second: Column
         )
         return F.struct(applied.alias("text"), path.alias("path"), F.when(done, r["edits"]).alias("edits"), second_ok.alias("fallback_ok"))
 
-    return _let(F.struct(reply.alias("a"), (no_reply if second is None else second).alias("b")), decide)
+    return _let(F.struct(reply.alias("a"), *([] if second is None else [second.alias("b")])), decide)
 
 
 def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] | DataFrame = mock_reply, short_ms: int = 350, fallback: Callable[[Column, Column], Column] | DataFrame | None = None) -> DataFrame:
@@ -154,7 +158,7 @@ def turn_texts(turns: DataFrame, replies: Callable[[Column, Column], Column] | D
         return t.withColumn(name, F.lit(None).cast(REPLY) if judge is None else F.when(eligible, judge(_turn_hyps(F.col("text"), F.col("moss")), F.col("overlap"))))
 
     t = heard(heard(turns, replies, "reply"), fallback, "second")
-    t = t.withColumn("decided", _turn_decision(F.col("text"), F.col("overlap"), F.col("reply"), F.col("second")))
+    t = t.withColumn("decided", _turn_decision(F.col("text"), F.col("overlap"), F.col("reply"), None if fallback is None else F.col("second")))
     return t.withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path"), "edits": F.col("decided.edits"), "fallback_ok": F.col("decided.fallback_ok")}).drop("reply", "second", "decided")
 
 
