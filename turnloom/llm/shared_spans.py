@@ -134,7 +134,7 @@ def unrepeated(docs: DataFrame) -> DataFrame:
 
 
 def edges(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFrame:
-    """(h, doc_id, pos, len, prev, next): the edges of each text of at least ``span`` characters; prev and next are the neighbours' hashes, 0 at the ends.
+    """(h, doc_id, ord, pos, len, prev, next): the edges of each text of at least ``span`` characters in order; prev and next are the neighbours' hashes, 0 at the ends.
 
     A row that stands twice counts once; a doc_id must not have different texts.
     """
@@ -155,9 +155,9 @@ def edges(docs: DataFrame, span: int = SPAN, k: int = K, w: int = W) -> DataFram
                 chain = d[1:] == d[:-1]
                 prev[1:][chain] = label[:-1][chain]
                 nxt[:-1][chain] = label[1:][chain]
-                yield pd.DataFrame({"h": label, "doc_id": np.asarray(ids, np.int64)[d], "pos": (a - h.begins[d]).astype(np.int32), "len": (b - a).astype(np.int32), "prev": prev, "next": nxt})
+                yield pd.DataFrame({"h": label, "doc_id": np.asarray(ids, np.int64)[d], "ord": np.arange(len(d), dtype=np.int32) - np.searchsorted(d, d).astype(np.int32), "pos": (a - h.begins[d]).astype(np.int32), "len": (b - a).astype(np.int32), "prev": prev, "next": nxt})
 
-    return unrepeated(docs.where(F.length("text") >= span)).mapInPandas(run, "h bigint, doc_id bigint, pos int, len int, prev bigint, next bigint")
+    return unrepeated(docs.where(F.length("text") >= span)).mapInPandas(run, "h bigint, doc_id bigint, ord int, pos int, len int, prev bigint, next bigint")
 
 
 def repeated_paths(e: DataFrame, span: int = SPAN) -> DataFrame:
@@ -168,11 +168,10 @@ def repeated_paths(e: DataFrame, span: int = SPAN) -> DataFrame:
     e = checkpointed(e)  # the texts are hashed once; statistics and join read the edges
     stats = e.groupBy("h").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("prev").alias("p0"), F.max("prev").alias("p1"), F.min("next").alias("n0"), F.max("next").alias("n1"))
     stats = stats.where("d0 < d1").select("h", ((F.col("p0") == F.col("p1")) & (F.col("p0") != 0)).alias("one_prev"), ((F.col("n0") == F.col("n1")) & (F.col("n0") != 0)).alias("one_next"))
-    rep = e.select("h", "doc_id", "pos", "len", "prev", "next").join(stats, "h")
-    doc = Window.partitionBy("doc_id").orderBy("pos")
+    rep = e.select("h", "doc_id", "ord", "pos", "len").join(stats, "h").select("doc_id", "ord", "pos", "len", "one_prev", "one_next")
+    doc = Window.partitionBy("doc_id").orderBy("ord")
     upto = doc.rowsBetween(Window.unboundedPreceding, 0)
-    follows = (F.lag("next").over(doc) == F.col("h")) & (F.col("prev") == F.lag("h").over(doc)) & (F.col("pos") < F.lag(F.col("pos") + F.col("len")).over(doc))
-    rep = rep.withColumn("follows", F.coalesce(follows, F.lit(False)))
+    rep = rep.withColumn("follows", F.coalesce(F.col("ord") == F.lag("ord").over(doc) + 1, F.lit(False)))
     rep = rep.withColumn("linked", F.col("follows") & F.coalesce(F.lag("one_next").over(doc), F.lit(False)) & F.col("one_prev"))
     rep = rep.withColumns({"run": F.sum((~F.col("follows")).cast("int")).over(upto), "part": F.sum((~F.col("linked")).cast("int")).over(upto)})
     paths = rep.groupBy("doc_id", "run", "part").agg(F.min("pos").alias("pos"), F.max(F.col("pos") + F.col("len")).alias("end"))
