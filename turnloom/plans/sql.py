@@ -241,6 +241,13 @@ def oracle_sql() -> dict[str, str]:
             select measure, value, count(*) as n from r group by all""",
         "judgment_checks": f"""with {_I}, {_RUINED}, {_JUDGED} select infer_id, damage, coalesce(lost, head, s1) as schema_error, s2 as span_error, s3 as ladder_error,
             coalesce(lost, head, s1, case when any_a then 'pass_b_rejects_tier_a' end, s2, s4) as pass_b_error from lost left join fe using (infer_id, damage)""",
+        "llm_json_extract": f"""with {_I}, a as (select infer_id, coalesce(response, '') as raw, list_filter(list_transform(regexp_extract_all(coalesce(response, ''), '{_BLOCKS}'), lambda x: {_strip("regexp_replace(x, '^<[^>]*>|</[^>]*>$', '', 'g')")}), lambda x: x <> '') as th from i),
+            b as (select *, {_strip(f"regexp_replace(raw, '{_BLOCKS}', '', 'g')")} as r0 from a),
+            c as (select *, regexp_replace(regexp_replace(r0, '^```(?:json|JSON)?\\s*', ''), '\\s*```$', '') as rest from b),
+            d as (select *, regexp_extract(rest, '(?s)[{{].*[}}]') as o from c),
+            e as (select *, case when json_valid(o) then o else nullif(regexp_extract(rest, '^[^{{]*([{{][^{{}}"]*[}}])', 1), '') end as j from d)
+            select infer_id, j as json_text, coalesce(nullif(array_to_string(th, chr(10) || chr(10)), ''), case when j is not null then nullif({_strip("substring(rest, 1, instr(rest, '{') - 1)")}, '') end) as reasoning,
+              case when j is null then 'no JSON object' end as error from e""",
         "polish_checks": f"""with {_I}, {_RUINED}, {_POLISHED} select infer_id, damage, coalesce(lost, phead, s1, s2) as error,
             case when coalesce(n, 0) > 0 then substring(lost.text, 1, instr(lost.text, a) - 1) || coalesce(b, '') || substring(lost.text, instr(lost.text, a) + length(a)) else coalesce(lost.text, '') end as new_text, coalesce(n, 0)::int as n_located from lost left join pf using (infer_id, damage)""",
         "moss_restore": f"""with {_T}, {_U}, {_H}, {_V}, {_MEM}, {_BY_TURN}, {_PASS_B} select turn_id, case when o and trim(coalesce(text, '')) = '' and coalesce(moss, '') <> '' then moss else text end as new_text,
