@@ -102,3 +102,17 @@ def test_documents_are_compared_place_by_place(spark):
     assert (got["m"].n_turns, got["m"].n_hyp, got["m"].n_ref, got["m"].mean_cer, got["m"].corpus_cer) == (2, 2, 3, 0.25, 0.25)
     assert (got["n"].n_turns, got["n"].n_ref, got["k"].n_hyp, got["k"].mean_cer) == (0, 1, 1, 0.0)
     assert {r.meeting_id: r.mean_cer for r in metrics.document_report(ref, ref).collect()} == {"m": 0.0, "n": 0.0}
+
+
+def test_merged_grid_goes_with_its_units(spark):
+    from turnloom.operators import passes, textgrid
+
+    u = spark.createDataFrame([(1, "m", "unit_0000", 0.0, 2.0, "s", [0, 1]), (2, "m", "unit_0001", 3.0, 4.0, "s", [9])], "unit_key bigint, meeting_id string, unit_id string, start_s double, end_s double, speaker_id string, turn_indices array<int>")
+    t = spark.createDataFrame([("m", 0, "你好", 1.0, "a", 0.5), ("m", 1, "好的", 1.0, "b", 0.7)], "meeting_id string, turn_index int, text string, dur_s double, source string, confidence double")
+    got = {r.unit_id: r for r in textgrid.merged_grid(u, t, whole=True).collect()}
+    assert (got["unit_0000"].text, got["unit_0000"].source, got["unit_0000"].start_s, got["unit_0000"].turn_indices) == ("你好好的", "b", 0.0, [0, 1]) and got["unit_0001"].asr_status == "empty"
+    grid = textgrid.merged_grid(u, t, whole=True).withColumn("unit_seq", F.substring("unit_id", 6, 4).cast("int"))
+    doc = json.loads(meetings.merged_json(grid, t.groupBy("meeting_id").agg(F.count("*").cast("int").alias("n_source_turns")), "merged").first().value)
+    assert [x["unit_id"] for x in doc["turns"]] == ["unit_0000", "unit_0001"] and doc["turns"][0]["end"] == 2.0
+    terms = spark.createDataFrame([(0, "你好|尼好"), (1, "没有"), (2, "|x")], "pos int, term string")
+    assert {tuple(r) for r in passes.recurring(t.select("text").unionByName(spark.createDataFrame([(None,)], "text string")), terms).collect()} == {("你好", True), ("没有", False)}

@@ -105,6 +105,17 @@ def rewrite_aliases(texts: DataFrame, aliases: DataFrame, text: str = "text", mo
     return out.withColumns({"new_text": F.coalesce("__r.t", "__t"), "hits": F.coalesce("__r.h", none)}).drop("__t", "__a", "__r")
 
 
+def recurring(texts: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """(canon, recurs): whether the canon of each hotword (pos, term) stands in any of the texts; null texts hold nothing.
+
+    The list of hotwords goes to the texts as one array; what comes back is at most one row for each of them.
+    """
+    canon = terms.select(F.split("term", r"\|")[0].alias("canon")).where("canon <> ''").distinct()
+    listed = canon.agg(F.collect_list("canon")).scalar()
+    held = texts.select(F.col(text).alias("__t")).where("__t is not null").withColumn("__a", listed).select(F.explode(F.filter("__a", lambda c: F.col("__t").contains(c))).alias("canon")).distinct()
+    return canon.join(held.withColumn("recurs", F.lit(True)), "canon", "left").select("canon", F.coalesce("recurs", F.lit(False)).alias("recurs"))
+
+
 def _turn_hyps(text: Column, moss: Column) -> Column:
     """Moss, if there is any, and the draft."""
     draft = F.struct(F.lit("draft").alias("model"), text.alias("text"))

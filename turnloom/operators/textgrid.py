@@ -82,13 +82,15 @@ def members(units: DataFrame, turns: DataFrame, unit_key: str = "unit_key") -> D
     return got.select(unit_key, F.transform("m", lambda x: x["t"]).alias("members"))
 
 
-def merged_grid(units: DataFrame, turns: DataFrame) -> DataFrame:
+def merged_grid(units: DataFrame, turns: DataFrame, whole: bool = False) -> DataFrame:
     """(unit_key, text, asr_status, source, confidence, n_turns): one row per unit with the stitched text of its turns.
 
-    Source and confidence are those of the last member; a unit without members is empty, fused and 1.0.
+    Source and confidence are those of the last member; a unit without members is empty, fused and 1.0. What ``units``
+    has of meeting_id, unit_id, start_s, end_s, speaker_id and turn_indices goes along if ``whole``.
     """
-    m = units.select("unit_key").join(members(units, turns), "unit_key", "left")
+    own = [c for c in ("meeting_id", "unit_id", "start_s", "end_s", "speaker_id", "turn_indices") if c in units.columns] if whole else []
+    m = units.select("unit_key", *own).join(members(units, turns), "unit_key", "left")
     some = F.coalesce("members", F.array().cast(m.schema["members"].dataType))
     m = m.withColumn("members", some).withColumn("text", stitch_texts(F.transform("members", lambda t: t["text"])))
     last = F.try_element_at(F.col("members"), F.lit(-1))
-    return m.select("unit_key", "text", F.when(F.col("text") != "", "final").otherwise("empty").alias("asr_status"), F.coalesce(last["source"], F.lit("fused")).alias("source"), F.coalesce(last["confidence"], F.lit(1.0)).alias("confidence"), F.size("members").alias("n_turns"))
+    return m.select("unit_key", *own, "text", F.when(F.col("text") != "", "final").otherwise("empty").alias("asr_status"), F.coalesce(last["source"], F.lit("fused")).alias("source"), F.coalesce(last["confidence"], F.lit(1.0)).alias("confidence"), F.size("members").alias("n_turns"))

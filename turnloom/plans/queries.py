@@ -243,6 +243,11 @@ def hotword_alias_rewrite(s: SparkSession, d: str) -> DataFrame:
     return t.select("turn_id", F.explode("hits").alias("h")).select("turn_id", "h.alt", "h.canon")
 
 
+def hotword_recurrence(s: SparkSession, d: str) -> DataFrame:
+    """(canon, recurs): whether each hotword stands in any current turn."""
+    return passes.recurring(current_turns(s, d, ["text"]), hotword_load(s, d))
+
+
 def _infer(s: SparkSession, d: str) -> DataFrame:
     return current_rows(read_table(s, d, "llm_infer"), ["infer_id"], ["pass", "meeting_id", "unit_id", "ok", "error", "user_text", "response"])
 
@@ -475,7 +480,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
     plain = [
         eval_cer, eval_cp_cer, cer_pairs, cp_cer, eval_documents, turn_validation, turn_positions, turn_status, unit_split_long, unit_build, unit_short_skip, overlap_ratio, overlap_metadata, hyp_upsert, moss_fill, model_gate, agreement_gate, best_hyp, cache_misses,
-        neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
+        neighbors_nearest, neighbors_capped, join_turn_texts, hyps_by_turn, merged_grid, hotword_load, hotword_aliases, hotword_alias_rewrite, hotword_recurrence, llm_json_extract, judgment_checks, polish_checks, pass_a_mock, pass_stats_a, pass_b_mock,
         pass_b_sequential, polish_mock, moss_restore, pass_stats_b, pass_stats_polish, audit_replace, batch_summary, neighbor_prompt, judge_prompts, built_units,
     ]
     return {f.__name__: f for f in plain} | {

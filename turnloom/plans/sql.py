@@ -307,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
         "hotword_load": f"with {_ALIAS} select pos, term from term",
         "hotword_aliases": f"""with {_ALIAS}, ok as (select * from al where abs(length(alt) - length(canon)) <= 1)
             select alt, max_by(canon, pos * 1000 + k) as canon, min_by(pos, pos * 1000 + k) as pos from ok group by alt""",
+        "hotword_recurrence": f"with {_T}, {_ALIAS}, c as (select distinct string_split(term, '|')[1] as canon from term) select canon, exists (select 1 from t where contains(t.text, c.canon)) as recurs from c where canon <> ''",
         "audit_replace": f"with {_I} select pass, infer_id, unit_id from i where pass is distinct from 'polish' union all select 'polish', infer_id, unit_id from i where pass = 'polish' and error is null",
         "batch_summary": f"with {_I} select pass, count(*) filter (where ok) as n_ok, count(*) filter (where not ok) as n_error, count(*) filter (where ok is null) as n_null from i group by pass",
         "discovery_pairs": "select dataset, stem from meetings m where exists (select 1 from documents d where d.doc_kind = 'minutes' and d.meeting_id = m.dataset || '/' || m.stem)",
