@@ -19,6 +19,7 @@ from turnloom.functions.text import fold_width, py_strip, speaker_label
 from turnloom.llm.transcript_lines import parse_lines
 from turnloom.operators.intervals import valid_times
 from turnloom.operators.sequences import label_runs
+from turnloom.session import checkpointed
 
 _CLOCK = r"[0-9]{1,4}:[0-5]?[0-9](?::[0-5]?[0-9])?(?:[.,][0-9]{1,6})?"
 _STAMP = r"[0-9]{1,3}:[0-5][0-9]:[0-5][0-9](?:[.,][0-9]{1,6})?"
@@ -144,16 +145,17 @@ def speaker_turns(current: DataFrame, partitions: int | None = None) -> DataFram
     are not in the result.
     """
     rows = valid_times(current.where(F.col("meeting_id").isNotNull())).select("meeting_id", "turn_id", "start_ms", "end_ms", "speaker_id", "text")
-    rows = mark_dirt(turn_lines(rows)).select(
+    # written once before the range sort, which reads its input twice, and before lines without text are filtered, since
+    # that filter would be pushed below the grammars and run them again
+    rows = checkpointed(mark_dirt(turn_lines(rows)).select(
         "meeting_id", "start_ms", "end_ms", "turn_id", "line", F.xxhash64("turn_id", "line").alias("row_key"), "clean_text",
         F.when((F.col("clean_speaker") == "unknown") & F.col("label").isNotNull(), F.trim("label")).otherwise(F.col("clean_speaker")).alias("clean_speaker"),
-    )
+    )).where("clean_text <> ''")
 
     def breaks(before: pd.DataFrame, now: pd.DataFrame) -> np.ndarray:
         return before["clean_speaker"].to_numpy(object) != now["clean_speaker"].to_numpy(object)
 
-    # lines without text are filtered after the range sort's checkpoint: before it the filter would be pushed below the grammars and run them again
-    runs = label_runs(rows, "meeting_id", ["start_ms", "end_ms", "turn_id", "line"], "row_key", breaks, partitions=partitions, keep="clean_text <> ''")
+    runs = label_runs(rows, "meeting_id", ["start_ms", "end_ms", "turn_id", "line"], "row_key", breaks, partitions=partitions)
     parts = runs.mapInPandas(_merged, "meeting_id string, run bigint, speaker string, start_ms bigint, end_ms bigint, text string, n bigint")
     whole = parts.groupBy("meeting_id", "run", "speaker").agg(F.min("start_ms").alias("first"), F.max("end_ms").alias("last"), F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "text"))).alias("x"), F.sum("n").alias("n_turns"))
     return whole.select("meeting_id", F.col("first").alias("start_ms"), F.col("last").alias("end_ms"), "speaker", F.array_join(F.transform("x", lambda y: y["text"]), " ").alias("text"), "n_turns")
