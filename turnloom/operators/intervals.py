@@ -92,14 +92,27 @@ def combine_summaries(rows: list[tuple]) -> dict[int, tuple]:
     return carry
 
 
+def _bytes_read(df: DataFrame) -> int:
+    """Bytes of the files and checkpoints a plan reads; what isn't known counts as nothing."""
+    leaves, total = df._jdf.queryExecution().optimizedPlan().collectLeaves(), 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.nodeName() != "LogicalRDD":
+            total += int(leaf.stats().sizeInBytes())
+        elif (at := leaf.rdd().getCheckpointFile()).isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at.get())
+            total += path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total
+
+
 def range_sorted(df: DataFrame, entity: str, order: list[str], partitions: int | None = None) -> DataFrame:
     """``df`` range-partitioned by entity and order, sorted inside, and written to a reliable checkpoint.
 
     The number of partitions is fixed, so that the two scans that follow see the same ones: spark.sql.shuffle.partitions,
-    or more where the input is so large that they would pass PARTITION_BYTES.
+    or more where the input is so large that they would pass PARTITION_BYTES. Spark takes the product of both sides as
+    the size of a join, and a checkpoint of it keeps that, so its estimate only counts as far as what is read.
     """
     if partitions is None:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        size = min(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()), _bytes_read(df))
         partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, size // PARTITION_BYTES))
     n = partitions
     return checkpointed(df.repartitionByRange(n, entity, *order).sortWithinPartitions(entity, *order))

@@ -195,12 +195,15 @@ def capped(texts: Column, k: int = 20, budget: int = 8192, cost: int = 32) -> Co
 def sequential_texts(turns: DataFrame, replies: Callable[[Column, Column, Column], Column], short_ms: int = 350, k: int = 20) -> DataFrame:
     """(…, new_text, path): the second pass in which later turns see earlier rewrites among their neighbours.
 
-    ``turns`` also has meeting_id and pos; ``replies`` gets the neighbours' texts as a third column. Neighbours are the
-    first ``k`` other turns of the meeting, so only its first k + 1 turns ever change what another turn sees: those are
-    folded in order, one small row per meeting, and all later turns are then judged at once against the final texts.
+    ``turns`` also has meeting_id and pos, by which the turns of a meeting are ordered (nulls last); ``replies`` gets the
+    neighbours' texts as a third column. Neighbours are the first ``k`` other turns of the meeting, so only its first
+    k + 1 turns ever change what another turn sees: those are folded in order, one small row per meeting, which then
+    meets all turns of the meeting; later ones are judged at once against the final texts. Turns of no meeting are dropped.
     """
-    row = F.struct("pos", "text", "dur_ms", "overlap", "moss")
-    head = turns.where(F.col("pos") <= k).groupBy("meeting_id").agg(F.array_sort(F.collect_list(row)).alias("h"))
+    turns = turns.where("meeting_id is not null")
+    order = Window.partitionBy("meeting_id").orderBy(F.col("pos").asc_nulls_last(), "turn_id")
+    row = F.struct("at", "turn_id", "text", "dur_ms", "overlap", "moss")
+    head = turns.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1).groupBy("meeting_id").agg(F.array_sort(F.collect_list(row)).alias("h"))
 
     def judged(text: Column, x: Column, neighbors: Column) -> Column:
         ok = (F.coalesce(text, F.lit("")) != "") & (x["dur_ms"] >= short_ms)
@@ -212,13 +215,12 @@ def sequential_texts(turns: DataFrame, replies: Callable[[Column, Column, Column
         return F.transform(acc, lambda y, j: F.when(j == i, done).otherwise(y))
 
     zero = F.transform("h", lambda x: F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("path"), F.lit(None).cast(EDIT).alias("edits"), F.lit(False).alias("fallback_ok")))
-    folded = head.select("meeting_id", F.transform("h", lambda x: x["pos"]).alias("at"), F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step).alias("final"))
-    first = folded.select("meeting_id", F.explode(F.arrays_zip("at", "final")).alias("x")).select("meeting_id", F.col("x.at").alias("pos"), F.col("x.final").alias("decided"))
-    near = folded.select("meeting_id", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k).alias("near"))
-    begun = turns.where(F.col("pos") <= k).join(first, ["meeting_id", "pos"])
-    rest = turns.where(F.col("pos") > k).join(near, "meeting_id")
-    rest = rest.withColumn("decided", judged(F.col("text"), F.struct("dur_ms", "overlap", "moss"), F.col("near"))).drop("near")
-    return begun.unionByName(rest).withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("decided")
+    folded = head.select("meeting_id", F.transform("h", lambda x: x["turn_id"]).alias("first"), F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), zero, step).alias("final"))
+    folded = folded.withColumn("near", capped(F.transform(F.slice("final", 1, k), lambda y: y["text"]), k))
+    begun = F.array_position("first", F.col("turn_id")).cast("int")
+    late = judged(F.col("text"), F.struct("dur_ms", "overlap", "moss"), F.col("near"))
+    done = turns.join(folded, "meeting_id").withColumn("decided", F.when(begun > 0, F.element_at("final", begun)).otherwise(late)).drop("first", "final", "near")
+    return done.withColumns({"new_text": F.col("decided.text"), "path": F.col("decided.path")}).drop("decided")
 
 
 #: Tokens whose spelling the offline polisher knows.

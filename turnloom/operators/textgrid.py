@@ -75,9 +75,9 @@ def distribute_text(text: Column, durations: Column) -> Column:
 
 
 def members(units: DataFrame, turns: DataFrame, unit_key: str = "unit_key") -> DataFrame:
-    """(unit_key, members): the turns of each unit in order, as structs; a join on meeting and turn index."""
+    """(unit_key, members): the turns of each unit in order, as structs of what ``turns`` has; a join on meeting and turn index."""
     m = units.select(unit_key, "meeting_id", F.posexplode("turn_indices").alias("k", "turn_index"))
-    t = turns.select("meeting_id", "turn_index", F.struct("turn_index", "text", "dur_s", "source", "confidence").alias("t"))
+    t = turns.select("meeting_id", "turn_index", F.struct(*[c for c in ("turn_index", "text", "dur_s", "source", "confidence") if c in turns.columns]).alias("t"))
     got = m.join(t, ["meeting_id", "turn_index"]).groupBy(unit_key).agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("m"))
     return got.select(unit_key, F.transform("m", lambda x: x["t"]).alias("members"))
 
