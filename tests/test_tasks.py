@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.operators import intervals, passes
+from turnloom.operators import intervals, metrics, passes
 from turnloom.plans import queries as q
 from turnloom.session import checkpointed
 
@@ -25,7 +25,7 @@ def most_tasks(spark, query: str) -> int:
     return max(x.numTasks for x in infos if x is not None)
 
 
-@pytest.mark.parametrize("query", ["pass_b_sequential"])
+@pytest.mark.parametrize("query", ["pass_b_sequential", "eval_documents"])
 def test_tasks_follow_the_tables(spark, query):
     assert 0 < most_tasks(spark, query) <= 32
 
@@ -47,3 +47,14 @@ def test_sequential_pass_takes_any_order_of_the_turns(spark):
     df = spark.createDataFrame([*rows[::-1], (None, 0, 99, "无？", 900, False, None)], "meeting_id string, pos int, turn_id bigint, text string, dur_ms bigint, overlap boolean, moss string")
     got = {r.turn_id: r.new_text for r in passes.sequential_texts(df, q.cascading_reply).collect()}
     assert got == {0: "甲。", 1: "乙；", **{i: texts[i] if i == 4 else texts[i].replace("。", "；") for i in range(2, 30)}}
+
+
+def test_aligned_documents_are_rated_as_joined_ones(spark):
+    rows = [("m", 0, "abcd", "abcd"), ("m", 1, "abcd", "abxx"), ("m", 2, None, "y"), ("m", 3, "，", ""), ("m", 4, "zz", None), ("n", 0, "q", None), ("o", 0, None, ""), (None, 0, "q", "q")]
+    t = spark.createDataFrame(rows, "meeting_id string, pos int, ref string, hyp string")
+    doc = lambda c: t.where(f"meeting_id is not null and ('{c}' = 'ref' or hyp is not null)").select("meeting_id", "pos", F.col(c).alias("text"))
+    for readings in (False, True):
+        got, want = metrics.aligned_report(t.select("meeting_id", "ref", "hyp"), readings), metrics.document_report(doc("ref"), doc("hyp"), readings)
+        assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r.meeting_id: (r.n_turns, r.n_hyp, r.n_ref, r.mean_cer, r.corpus_cer) for r in metrics.aligned_report(t.drop("pos")).collect()} == {"m": (4, 4, 5, 0.375, 0.25), "n": (0, 0, 1, 0.0, 0.0), "o": (1, 1, 1, 0.0, 0.0)}

@@ -95,8 +95,26 @@ def document_report(ref: DataFrame, hyp: DataFrame, readings: bool = False) -> D
     return both.select("meeting_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_turns", "n_hyp", "n_ref")], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in rates.columns if c not in ("meeting_id", "n_turns")])
 
 
-def cer_report(rows: DataFrame, *by: str) -> DataFrame:
-    """(by, n, mean_cer, corpus_cer) and mean_cp_cer where rows have it; empty references count in the means, not in the corpus rate."""
+def aligned_report(places: DataFrame, readings: bool = False) -> DataFrame:
+    """``document_report`` of two documents whose places are those of one table: (meeting_id, ref, hyp), null ``hyp`` where the second has none.
+
+    Every place is in the first document, so no join on places is needed and each meeting is one aggregate.
+    """
+    heard = F.col("hyp").isNotNull()
+    rows = cer_rows(places.where("meeting_id is not null").withColumns({"heard": heard, "ref": F.when(heard, F.col("ref"))}), readings)
+    held = [c for c in ("n_ref", "edits", "cer", "cp_cer") if c in rows.columns]
+    rows = rows.select("meeting_id", "heard", *[F.when(F.col("heard"), F.col(c)).alias(c) for c in held])
+    n = F.count_if("heard")
+    out = rows.groupBy("meeting_id").agg(n.alias("n_turns"), n.alias("n_hyp"), F.count(F.lit(1)).alias("places"), *_rates_of(rows))
+    return out.withColumnRenamed("places", "n_ref")
+
+
+def _rates_of(rows: DataFrame) -> list[Column]:
     mean = lambda c: F.round(F.coalesce(F.avg(c), F.lit(0.0)), 9).alias("mean_" + c)
     corpus = F.round(F.coalesce(F.sum(F.when(F.col("n_ref") > 0, F.col("edits"))) / F.sum("n_ref"), F.lit(0.0)), 9).alias("corpus_cer")
-    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), mean("cer"), *([mean("cp_cer")] if "cp_cer" in rows.columns else []), corpus)
+    return [mean("cer"), *([mean("cp_cer")] if "cp_cer" in rows.columns else []), corpus]
+
+
+def cer_report(rows: DataFrame, *by: str) -> DataFrame:
+    """(by, n, mean_cer, corpus_cer) and mean_cp_cer where rows have it; empty references count in the means, not in the corpus rate."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *_rates_of(rows))
